@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_dedup, source_mix, url_filter
-from tallyloom.llm.shared import table
+from tallyloom.llm import line_dedup, packing, source_mix, token_store, url_filter
+from tallyloom.llm.shared import shared_dir, table
+
+
+def tokenizer(name: str) -> str:
+    """Where a public vocabulary lies; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +23,22 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_strict").alias("strict_terms"), F.col("url_soft").alias("soft_terms"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("word_bpe_49k.json"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed")
     return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 
 
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-store")
+    token_store.write_store(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer("byte_bpe_50k.json"))
+    token_store.verify(spark, path)
+    return token_store.read_store(spark, path).select(F.col("doc").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = source_mix.mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -28,7 +46,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op8_token_store": op8_token_store,
     "op10_mix_sources": op10_mix_sources,
 }
 

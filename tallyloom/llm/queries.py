@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_dedup, packing, source_mix, token_store, url_filter
-from tallyloom.llm.shared import shared_dir, table
+from tallyloom.llm import language, line_dedup, media, packing, source_mix, token_store, toxicity, url_filter
+from tallyloom.llm.shared import shared_dir, table, text_or_empty
 
 
 def tokenizer(name: str) -> str:
@@ -18,6 +18,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def crc_mod(doc_id: str, n: int) -> Column:
+    """crc32 of the id as text, modulo ``n``: which fold a row is in."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(n))
+
+
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), "text")
+    rows = media.wav_features(media.to_wav(docs).select("doc_id", "n_bytes", "media"))
+    return rows.select("doc_id", "n_bytes", "media_features.*")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_strict").alias("strict_terms"), F.col("url_soft").alias("soft_terms"))
@@ -32,6 +43,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learned from the labelled rows outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 3) != 1)
+    return toxicity.train(table(spark, sf_dir, "documents").select("doc_id", "text"), labels.select("doc_id", "toxic"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity_model(spark, sf_dir))
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-store")
     token_store.write_store(table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer("byte_bpe_50k.json"))
@@ -39,16 +62,27 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path).select(F.col("doc").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = language.train(docs.where(~held_out))
+    out = language.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = source_mix.mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_media_columns": op3_media_columns,
     "op4_url_filters": op4_url_filters,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_token_store": op8_token_store,
+    "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
 }
 

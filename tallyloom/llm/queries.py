@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import language, line_dedup, media, near_dedup, packing, source_mix, token_store, toxicity, url_filter
+from tallyloom.llm import ann, language, line_dedup, media, near_dedup, packing, source_mix, token_store, toxicity, url_filter
 from tallyloom.llm.shared import shared_dir, table, text_or_empty
 
 
@@ -23,6 +23,10 @@ def crc_mod(doc_id: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(n))
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = near_dedup.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return classes.select(F.col("id").alias("doc_id"), "class_id", (F.col("row") == F.col("keeper")).alias("kept"))
@@ -81,6 +85,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
     "op2_near_dedup": op2_near_dedup,
     "op3_media_columns": op3_media_columns,
     "op4_url_filters": op4_url_filters,

@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents from raw to packed sequences, in stages that each call one operator."""
+"""The corpus pipeline: documents from raw to packed sequences, in stages that each call one operator.
+
+Every stage takes (spark, docs, folder of the tables), works on all rows that its predecessor kept,
+and but for the last returns the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +10,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import line_dedup, source_mix
+from tallyloom.llm import line_dedup, near_dedup, packing, source_mix, toxicity
+from tallyloom.llm.queries import tokenizer, toxicity_model
 from tallyloom.llm.shared import settled, table
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from ``labels`` and the raw documents, calls toxic go."""
+    return toxicity.reject_toxic(docs, toxicity_model(spark, sf_dir))
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows go from the texts."""
+    """Later occurrences of repeated three-line windows go from the texts; every document stays."""
     return line_dedup.dedup_lines(docs)
 
 
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays; documents without a word are left alone."""
+    return near_dedup.dedup_near(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, up to twice."""
     return source_mix.mix(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every row's tokens and its place in a sequence of at most 4096 tokens."""
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
     ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_near),
     ("mix_sources", mix_sources),
+    ("best_fit_packing", pack),
 ]
 
 #: No SQL: the classifier, the hashing and the rounding of some stages have none; tests compare each stage with brute force.

@@ -270,7 +270,7 @@ def hex_dump(columns: Mapping[str, Column]) -> Column:
 
 def tidy(s: Column) -> Column:
     """No-break spaces as spaces, runs of white space as one, trimmed [SCL-38]."""
-    return F.trim(F.regexp_replace(F.translate(s, " ", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.translate(s, "\u00a0", " "), r"\s+", " "))
 
 
 def is_complete(columns: Sequence[Column]) -> Column:

@@ -39,7 +39,7 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def run_gaps(runs: DataFrame, at: str, by: Sequence[str], over_s: float) -> DataFrame:
     """Gaps between runs: number, least, median, largest, and how many exceed a limit [WIN-05, AGG-20, CHK-19]."""
     w = Window.partitionBy(*by).orderBy(at, "run_id")
-    gap = F.unix_micros(at) / 1e6 - F.unix_micros(F.lag(at).over(w)) / 1e6
+    gap = F.unix_micros(F.col(at).cast("timestamp")) / 1e6 - F.unix_micros(F.lag(at).over(w).cast("timestamp")) / 1e6
     return runs.withColumn("gap", F.round(gap, 3)).groupBy(*by).agg(F.count("gap").alias("n_gaps"), F.min("gap").alias("least"), F.round(F.median("gap"), 3).alias("middle"), F.max("gap").alias("largest"), F.count_if(F.col("gap") > over_s).alias("n_over"))
 
 
@@ -78,7 +78,7 @@ def status_grid(cells: DataFrame, row: str, column: str) -> DataFrame:
 def freshness(runs: DataFrame, target: str, at: str, ok: Column, now: Column) -> DataFrame:
     """Last success of each target and its lag in seconds [AGG-28, CHK-18]."""
     last = F.max(F.when(ok, F.col(at)))
-    return runs.groupBy(target).agg(last.alias("last_ok")).withColumn("lag_s", F.round(F.unix_micros(now) / 1e6 - F.unix_micros("last_ok") / 1e6, 3))
+    return runs.groupBy(target).agg(last.alias("last_ok")).withColumn("lag_s", F.round(F.unix_micros(now.cast("timestamp")) / 1e6 - F.unix_micros(F.col("last_ok").cast("timestamp")) / 1e6, 3))
 
 
 def version_histogram(rows: DataFrame, doc: str, at: str, cap: int = 5) -> DataFrame:

@@ -89,9 +89,10 @@ class Store:
         filled = {r[0] for r in have.select(spec.partition).collect()}
         if (empty := sorted(set(parts) - filled)) and spec.on_empty == "fail":
             raise ValueError(f"partitions would be empty: {empty}")
-        old = self.current(parts)
+        old = self.current_with_part()
         same: set[int] = set()
         if old is not None:
+            old = old.where(F.col(spec.partition).isin(*parts))
             differing = {r[0] for r in compare(fingerprint(old, spec.checksum, spec.measures, by), have, by).select(spec.partition).distinct().collect()}
             same = filled - differing
         done = {p: "unchanged" if p in same else "published" if p in filled else "cleared" for p in parts}

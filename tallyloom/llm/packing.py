@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.shared import settled
-from tallyloom.llm.tokens import Encoder
+from tallyloom.llm.tokens import encoder
 
 CAPACITY = 4096
 #: Rounds of multiplicative weights, and how strongly a fully covered length's weight shrinks in one.
@@ -156,7 +156,7 @@ def slots(groups: list[tuple[int, dict[int, int]]]):
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str = "text", leading_space: bool = False, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str = "text", end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """(id, row, piece, start, length, ids_crc32): each whole text's ids and the end id, cut only where longer than ``capacity``.
 
     A null or empty text is one piece, the end id.  ``row`` tells rows that share an id apart.
@@ -167,11 +167,11 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str
 
         import pyarrow as pa
 
-        encoder, end = Encoder(tokenizer, leading_space=leading_space), end_id.to_bytes(4, "little")
+        coder, end = encoder(tokenizer), end_id.to_bytes(4, "little")
         for batch in batches:
             out = []
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            for doc, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoder.ids(texts)):
+            for doc, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), coder.ids(texts)):
                 raw += end
                 for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]

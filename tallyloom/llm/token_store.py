@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.tokens import Encoder
+from tallyloom.llm.tokens import encoder
 
 SPAN, MIN_IDS, MAX_IDS, CUT_BITS = 16, 128, 4096, 10
 
@@ -88,7 +88,7 @@ def crc32_join(a, b, b_bytes):
     return a ^ b.astype(np.uint32)
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text: str = "text", leading_space: bool = True, end_id: int = 2, wide: bool = False, parts: int | None = None) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "doc_id", text: str = "text", end_id: int = 2, wide: bool = False, parts: int | None = None) -> None:
     """Encodes every whole text and writes the store to ``path``, a folder that all executors see.
 
     Null and empty texts hold the end id alone.  Rows that share an id are documents of their own,
@@ -101,12 +101,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
         import numpy as np
         import pyarrow as pa
 
-        encoder, seen = Encoder(tokenizer, leading_space=leading_space), set()
+        coder, seen = encoder(tokenizer), set()
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows: list[tuple] = []
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            for doc, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encoder.ids(texts)):
+            for doc, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), coder.ids(texts)):
                 ids, at = np.concatenate([np.frombuffer(raw, "<u4"), end]), 0
                 for seq, upto in enumerate(cuts(ids)):
                     blob = ids[at:upto].astype("<u4" if wide else "<u2").tobytes()

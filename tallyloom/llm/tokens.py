@@ -1,23 +1,24 @@
-"""Whole texts to token ids with the tokenizers library, each distinct word encoded once a task.
+"""Whole texts to token ids with the tokenizers library, each distinct word encoded once a worker.
 
 A tokenizer that splits texts into words before it merges gives a word the same ids wherever it
-stands, so a text's ids are its words' ids in a row.  ``Encoder`` cuts a text at single spaces
-between two characters that are no white space, looks the pieces up in a bounded table, and passes
-only unseen pieces to the library.  Both kinds of vocabulary in use here never form a token across
-such a cut: the byte-level one starts a token at the space and never goes on over one; the
-word-end one drops white space.
+stands, so a text's ids are its words' ids in a row.  ``Encoder`` cuts a text before single spaces
+and line feeds that stand between two characters that are no white space, looks the pieces up in a
+bounded table, and passes only unseen pieces to the library.  Both kinds of vocabulary in use here
+never form a token across such a cut: the byte-level one starts a token at the space, and has a token
+for a single line feed; the word-end one drops white space.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 #: White space other than the space and the line feed, as Python and Unicode know it.
 ODD_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces held at most; beyond it the table starts anew.
-TABLE = 400_000
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Pieces in the table at most; beyond it the table starts anew.
+TABLE = 900_000
 #: Characters encoded at a time.
 STEP = 2_000_000
 
@@ -25,10 +26,11 @@ STEP = 2_000_000
 class Encoder:
     """``ids(texts)`` yields each text's ids as little-endian unsigned 32-bit bytes, without special tokens.
 
-    ``leading_space``: whether the space before a word is part of its first token.
+    ``code`` numbers the pieces; the ids of piece c are ``pool[start[c] : start[c] + length[c]]``.
+    The strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, *, leading_space: bool):
+    def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -36,41 +38,108 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.space = " " if leading_space else ""
-        self.table: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        import numpy as np
+
+        self.code = Codes()
+        self.pool, self.start, self.length = (np.zeros(1 << 16, kind) for kind in ("<u4", np.int64, np.int64))
+        self.filled = self.known = 0
 
     def pieces(self, text: str) -> list[str]:
-        if "  " in text or " \n" in text or "\n " in text or any(c in text for c in ODD_SPACE):
-            return _CUT.split(text)
-        return text.split(" ")
+        """The first piece behind a NUL, the others without the space before them; line feeds stay.  A text that holds a NUL stays whole."""
+        if "\0" in text:
+            return ["\0" + text]
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1:] in ("\n", " ") or text[:1] in ("\n", " ") or any(c in text for c in ODD_SPACE):
+            cut = _CUT.split(text)
+            return ["\0" + cut[0], *[p[1:] if p[0] == " " else p for p in cut[1:]]]
+        return ("\0" + text.replace("\n", " \n")).split(" ")
 
-    def learn(self, unseen: list[str], heads: list[str]) -> list[bytes]:
-        """Puts ``unseen`` into the table; returns the ids of ``heads``, which have no space before them."""
+    def encode(self, keys: list[str]):
+        """(ids of all keys in a row, numbers of ids).
+
+        Keys that begin and end in no white space go to the library as one text, cut by the ids' offsets.
+        """
         import numpy as np
 
-        found = self.tokenizer.encode_batch_fast([self.space + p for p in unseen] + heads, add_special_tokens=False)
-        ids = [np.array(e.ids, "<u4").tobytes() for e in found]
-        self.table.update(zip(unseen, ids))
-        return ids[len(unseen) :]
+        counts = np.zeros(len(keys), np.int64)
+        plain = [k for k, key in enumerate(keys) if key[0] != "\0" and not key[-1].isspace()]
+        alone = sorted({*range(len(keys))}.difference(plain))
+        written = [keys[k] if keys[k][0] == "\n" else " " + keys[k] for k in plain]
+        ids, owner = [], []
+        if written:
+            found = self.tokenizer.encode_batch(["".join(written)], add_special_tokens=False)[0]
+            ends = np.cumsum([len(w) for w in written])
+            at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+            ids.append(np.array(found.ids, "<u4"))
+            owner.append(np.array(plain)[np.searchsorted(ends, at, "right")])
+        for k, e in zip(alone, self.tokenizer.encode_batch_fast([keys[k][1:] if keys[k][0] == "\0" else keys[k] if keys[k][0] == "\n" else " " + keys[k] for k in alone], add_special_tokens=False)):
+            ids.append(np.array(e.ids, "<u4"))
+            owner.append(np.full(len(e.ids), k))
+        if not ids:
+            return np.zeros(0, "<u4"), counts
+        owner = np.concatenate(owner)
+        return np.concatenate(ids)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(keys))
+
+    def learn(self) -> None:
+        """Encodes the pieces numbered since the last call."""
+        import numpy as np
+
+        ids, counts = self.encode(self.code.new)
+        n, more = len(counts), len(ids)
+        while self.filled + more > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while self.known + n > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        self.pool[self.filled : self.filled + more] = ids
+        self.start[self.known : self.known + n] = self.filled + np.cumsum(counts) - counts
+        self.length[self.known : self.known + n] = counts
+        self.filled, self.known = self.filled + more, self.known + n
+        self.code.new.clear()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
+        import numpy as np
+
         at = 0
         while at < len(texts):
             upto, size = at, 0
             while upto < len(texts) and (upto == at or size + len(texts[upto]) <= STEP):
                 size += len(texts[upto])
                 upto += 1
+            if len(self.code) > TABLE:
+                self.clear()
             split = [self.pieces(t) for t in texts[at:upto]]
-            if len(self.table) > TABLE:
-                self.table = {}
-            unseen: set[str] = set()
-            for p in split:
-                unseen.update(p)
-            heads = self.learn(list(unseen - self.table.keys()), [p[0] for p in split] if self.space else [])
-            get = self.table.__getitem__
-            for k, p in enumerate(split):
-                if self.space:
-                    yield heads[k] + b"".join(map(get, p[1:]))
-                else:
-                    yield b"".join(map(get, p))
+            sizes = np.array([len(p) for p in split])
+            codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+            self.learn()
+            n = self.length[codes]
+            ends = np.cumsum(n)
+            raw = self.pool[np.repeat(self.start[codes] - ends + n, n) + np.arange(ends[-1])].tobytes()
+            last = ends[np.cumsum(sizes) - 1]
+            for a, b in zip((last - np.add.reduceat(n, np.cumsum(sizes) - sizes)).tolist(), last.tolist()):
+                yield raw[4 * a : 4 * b]
             at = upto
+
+
+class Codes(dict):
+    """piece -> its number; a new piece gets the next one and waits in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        self.new.append(piece)
+        return n
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """This process's encoder for the vocabulary at ``path``; later tasks of a worker find its tables filled."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]

@@ -89,3 +89,17 @@ def schema_changes(have: StructType, want: StructType) -> list[tuple[str, str]]:
         if c in b and a[c] != b[c]:
             out.append((c, "widened" if b[c] in WIDER.get(a[c], ()) or b[c] == "string" else "narrowed"))
     return sorted(out)
+
+
+def summary(tables: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
+    """(name, n_source, n_target, n_duplicate, verdict) of each (source, target, key) [CHK-11, CHK-12].
+
+    Each target is grouped by its key once; its rows and surplus rows are sums over the groups.
+    """
+    frames = []
+    for name, (source, target, keys) in tables.items():
+        groups = target.groupBy(*keys).agg(F.count("*").alias("n"))
+        held = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_target"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicate"))
+        frames.append(source.agg(F.count("*").alias("n_source")).join(held).withColumn("name", F.lit(name)))
+    verdict = F.when(F.col("n_duplicate") > 0, "DUPLICATES").when(F.col("n_source") != F.col("n_target"), "DIFF").otherwise("OK")
+    return reduce(DataFrame.unionByName, frames).select("name", "n_source", "n_target", "n_duplicate", verdict.alias("verdict"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import scalars as S
-from tallyloom.operators import audit, changes, checks, datasets, fingerprint, hierarchy, keys, merge
+from tallyloom.operators import audit, changes, checks, datasets, dimensions, fingerprint, hierarchy, keys, merge
 from tallyloom.plans import publish
 from tallyloom.sources import relational
 from tallyloom.specs import ColumnSpec, PublishSpec, SourceSpec, TargetSpec, UnionSpec
@@ -703,3 +703,52 @@ def typed_defaults(spark, sf):
     """PRJ-08, PRJ-09"""
     nothing = F.lit(None).cast("string")
     return t(spark, sf, "supplier").select("s_suppkey", S.typed(S.finite(F.col("s_acctbal")), "double").alias("balance"), S.typed(F.trim("s_name"), "string").alias("name"), S.typed(nothing, "bigint").alias("missing"), S.typed(nothing, "timestamp").alias("no_time"))
+
+
+# ---- dimensions, modes, reports
+
+_DIM = "dim as (select c_custkey as guid, c_custkey * 2 as id, case when c_custkey % 5 <> 0 then c_name end as name, c_custkey % 5 = 0 as is_stub, case when c_custkey % 5 <> 0 then timestamp '2024-01-01' end as marked_at from customer where c_custkey % 4 <> 0), src as (select c_custkey as guid, c_name || '!' as name, case when c_custkey % 3 = 0 then timestamp '2024-02-01' else timestamp '2023-12-01' end as marked_at from customer)"
+
+
+def dim_frames(spark, sf):
+    c = t(spark, sf, "customer")
+    at = lambda s: F.lit(s).cast("timestamp")
+    known = F.col("c_custkey") % 5 != 0
+    dim = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("guid"), (F.col("c_custkey") * 2).alias("id"), F.when(known, F.col("c_name")).alias("name"), (~known).alias("is_stub"), F.when(known, at("2024-01-01")).alias("marked_at"))
+    return dim, c.select(F.col("c_custkey").alias("guid"), F.concat("c_name", F.lit("!")).alias("name"), F.when(F.col("c_custkey") % 3 == 0, at("2024-02-01")).otherwise(at("2023-12-01")).alias("marked_at"))
+
+
+@query(f"with {_DIM}, changed as (select * from src where marked_at > (select max(marked_at) from dim)) select d.guid, id, coalesce(c.name, d.name) as name, is_stub and c.guid is null as is_stub, coalesce(c.marked_at, d.marked_at) as marked_at from dim d left join changed c on c.guid = d.guid union all select guid, row_number() over (order by guid) + (select max(id) from dim), name, false, marked_at from changed where guid not in (select guid from dim)")
+def dimension_incremental(spark, sf):
+    """STR-16, STR-18, STR-19, SNK-13"""
+    dim, source = dim_frames(spark, sf)
+    return dimensions.incremental(dim, source, "guid", ["name"], "marked_at")
+
+
+@query(f"with {_DIM}, queue as (select guid from dim where is_stub order by case when id > 100 then 0 else 1 end, id limit 50) select guid, id, case when guid in (select guid from queue) then guid::varchar || '?' else name end as name, is_stub and guid not in (select guid from queue) as is_stub, marked_at from dim")
+def stub_pass(spark, sf):
+    """STR-17, STR-22, WIN-09, SCL-39"""
+    dim, source = dim_frames(spark, sf)
+    return dimensions.stub_pass(dim, source.withColumn("name", F.concat(F.col("guid").cast("string"), F.lit("?"))), "guid", ["name"], ["name"], 100, 50)
+
+
+@query("select user_id, hour(last_at)::int as hour, case when last_at >= date_trunc('day', last_at) + interval 3 hour and coalesce(swept, timestamp '1970-01-01') < date_trunc('day', last_at) + interval 3 hour then 'sweep' when coalesce(hot, timestamp '1970-01-01') <= last_at - interval 1 hour then 'hot' else 'patch' end as mode from (select user_id, max(ts) as last_at, max(ts) filter (where event_type = 'view') as swept, max(ts) filter (where event_type = 'click') as hot from events group by 1)")
+def due_modes(spark, sf):
+    """STR-10"""
+    last = lambda kind: F.max(F.when(F.col("event_type") == kind, F.col("ts"))).cast("timestamp")
+    per = t(spark, sf, "events").groupBy("user_id").agg(F.max("ts").cast("timestamp").alias("last_at"), last("view").alias("swept"), last("click").alias("hot"))
+    return per.select("user_id", F.hour("last_at").alias("hour"), publish.due_mode(F.col("swept"), F.col("hot"), F.col("last_at")).alias("mode"))
+
+
+@query("with d as (select o_orderkey from orders where o_orderkey % 50 <> 0) select 'orders' as name, (select count(*) from orders) as n_source, (select count(*) from d) as n_target, 0::bigint as n_duplicate, case when (select count(*) from orders) = (select count(*) from d) then 'OK' else 'DIFF' end as verdict union all select 'lineitem', count(*), count(*), (select coalesce(sum(n - 1), 0)::bigint from (select count(*) as n from lineitem group by l_orderkey, l_linenumber having count(*) > 1)), 'DUPLICATES' from lineitem")
+def summary_report(spark, sf):
+    """CHK-11, CHK-12"""
+    orders, li = t(spark, sf, "orders"), t(spark, sf, "lineitem")
+    return checks.summary({"orders": (orders, orders.where("o_orderkey % 50 <> 0"), ["o_orderkey"]), "lineitem": (li, li, ["l_orderkey", "l_linenumber"])})
+
+
+@query("select c_custkey from customer where c_custkey % 6 <> 1 except select c_custkey from customer where c_custkey % 3 <> 0")
+def vanished_references(spark, sf):
+    """SET-07, SET-05"""
+    c = t(spark, sf, "customer").select("c_custkey")
+    return dimensions.vanished(c.where("c_custkey % 6 <> 1"), c.where("c_custkey % 3 <> 0"), "c_custkey")

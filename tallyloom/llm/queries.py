@@ -115,4 +115,4 @@ select d.doc_id,
   coalesce(g.n, 0) as n_removed, coalesce(array_to_string(g.cut_lines, ','), '') as removed_lines
 from documents d left join gone g on d.doc_id = g.doc_id and d.text = g.text"""
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filter.oracle(), "op6_line_dedup": _OP6}
+ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filter.oracle(), "op6_line_dedup": _OP6, "op10_mix_sources": source_mix.oracle()}

@@ -123,3 +123,43 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
     taken = marked.join(per_id, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{OWN}id")))
     copies = F.expr(f"coalesce(try_element_at({OWN}copies, {OWN}occ), 0)")
     return taken.withColumn(f"{OWN}copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def oracle(levels: int = 4) -> str:
+    """``mix_plan`` of documents in DuckDB's SQL, with the default options.
+
+    ``levels`` of the tree serve up to FAN_IN ** levels documents a source; levels beyond a source's
+    root leave it as it is.
+    """
+
+    def unit_of(d: str, o: str, salt: object) -> str:
+        return f"('0x' || substr(md5(concat_ws('|', 'mix', coalesce({d}::varchar, '~'), {o}::varchar, '{salt}')), 1, 8))::bigint / 4294967296.0::double"
+
+    def carry(who: str, p: str, settled_one: str, up: int) -> str:
+        return f"{{'d': {who}.d, 'o': {who}.o, 'p': {p}, 's': {who}.s, 'u': it.u, 'out': list_append(acc.out, {{'d': {settled_one}.d, 'o': {settled_one}.o, 'up': {up}}})}}"
+
+    toward, away = "least((1 - acc.p) * acc.s, it.p * it.s)", "least(acc.p * acc.s, (1 - it.p) * it.s)"
+    meet = f"""case when it.u * ({toward} + {away}) < {away}
+      then case when (1 - acc.p) * acc.s <= it.p * it.s then {carry("it", "it.p - (1 - acc.p) * acc.s / it.s", "acc", 1)} else {carry("acc", "acc.p + it.p * it.s / acc.s", "it", 0)} end
+      else case when acc.p * acc.s <= (1 - it.p) * it.s then {carry("it", "it.p + acc.p * acc.s / it.s", "acc", 0)} else {carry("acc", "acc.p - (1 - it.p) * it.s / acc.s", "it", 1)} end end"""
+    none = "[]::struct(d bigint, o bigint, up integer)[]"
+    sql = f"""
+with sized as (select doc_id as d, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) as size from documents),
+numbered as (select *, row_number() over (partition by d order by size, source nulls last) as o from sized),
+per as (select source, sum(size)::bigint as source_size, count(*) as n, [5.0, 2.0, 1.0][((row_number() over (order by source nulls last)) - 1) % 3 + 1]::double as w from sized group by source),
+capped as (select *, source_size * 2.0::double as cap from per),
+levels as (select *, (sum(source_size) over () * 1.5::double - coalesce(sum(cap) over rising, 0)) / (sum(w) over () - coalesce(sum(w) over rising, 0)) as level from capped
+  window rising as (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding)),
+targets as (select source, source_size, n, case when cap < level * w then cap else least(cap, (select arg_min(level, (cap / w, source is null, source)) from levels where cap >= level * w) * w) end as target from levels),
+placed as (select r.*, t.source_size, t.n, t.target, case when r.size > 0 then t.target / nullif(t.source_size, 0) else 0.0 end as rate from numbered r join targets t on r.source is not distinct from t.source),
+based as (select *, floor(rate)::int as base, rate - floor(rate)::int as p from placed),
+pool1 as (select source, floor({unit_of("d", "o", "block")} * ceil(n / {FAN_IN}.0))::bigint as block, {{'d': d, 'o': o, 'p': p, 's': size::double, 'u': {unit_of("d", "o", 1)}, 'out': {none}}} as item from based where p > 0 and size > 0)"""
+    for k in range(1, levels + 1):
+        sql += f""",
+node{k} as (select source, block, list_reduce(list(item order by item.s desc, item.u, item.d, item.o), lambda acc, it: {meet}) as x from pool{k} group by source, block),
+pool{k + 1} as (select source, block // {FAN_IN} as block, {{'d': x.d, 'o': x.o, 'p': x.p, 's': x.s, 'u': {unit_of("x.d", "x.o", k + 1)}, 'out': {none}}} as item from node{k})"""
+    decided = " union all ".join(f"select unnest(x.out) as y from node{k}" for k in range(1, levels + 1))
+    return f"""{sql},
+ups as (select y.d as d, y.o as o, y.up as up from ({decided}) union all select x.d, x.o, (x.p >= 0.5)::int from node{levels})
+select b.d as doc_id, b.size::bigint as size, b.source_size, b.target, (b.size * (b.base + coalesce(u.up, 0)))::bigint as taken
+from based b left join ups u on b.d is not distinct from u.d and b.o = u.o"""

@@ -24,30 +24,35 @@ from tallyloom.llm.shared import settled
 from tallyloom.llm.tokens import encoder
 
 CAPACITY = 4096
-#: Rounds of multiplicative weights, and how strongly a fully covered length's weight shrinks in one.
-ROUNDS, RATE = 80, 4.0
+#: Rounds of multiplicative weights at most, how far one goes, and how strongly being covered lessens a size's worth.
+ROUNDS, STRIDE, RATE = 4000, 0.1, 2.0
+#: Parts of a sequence that the program's sizes are whole numbers of; pieces up to 1/SHORT of a sequence are left to best fit.
+GRAIN, SHORT = 256, 16
+#: Rounded uses leave sizes' rounding as gaps; where short pieces are too few to fill them, fewer uses and more best fit do better.
+SHARES = (1.0, 0.8, 0.6, 0.4, 0.2)
 #: Pieces in a ranking block, on average.
 BLOCK = 20_000
 
 
 def best_configuration(worth, most, capacity: int) -> dict[int, int]:
-    """The multiset of lengths of total at most ``capacity`` that is worth most, by dynamic programming.
+    """The multiset of sizes of total at most ``capacity`` that is worth most, by dynamic programming.
 
-    ``worth[l]`` is the worth of one piece of length l and ``most[l]`` how many there are; lengths
-    with none are left out.  The program is over unbounded uses; uses beyond ``most`` are cut after.
+    ``worth[s]`` is the worth of one piece of size s and ``most[s]`` how many a configuration may
+    hold; sizes with none are left out.  The program is over unbounded uses; uses beyond ``most`` are
+    cut after.
     """
     import numpy as np
 
-    lengths = np.flatnonzero(most[: capacity + 1] > 0)
-    lengths = lengths[lengths > 0]
+    sizes = np.flatnonzero(most[: capacity + 1] > 0)
+    sizes = sizes[sizes > 0]
     value, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    price = worth[lengths]
-    for c in range(int(lengths[0]) if len(lengths) else capacity + 1, capacity + 1):
-        k = int(np.searchsorted(lengths, c, "right"))
-        gain = value[c - lengths[:k]] + price[:k]
-        best = int(gain.argmax())
+    price, upto = worth[sizes], np.searchsorted(sizes, np.arange(capacity + 1), "right")
+    for c in range(int(sizes[0]) if len(sizes) else capacity + 1, capacity + 1):
+        k = upto[c]
+        gain = value[c - sizes[:k]] + price[:k]
+        best = gain.argmax()
         if gain[best] > value[c - 1]:
-            value[c], choice[c] = gain[best], lengths[best]
+            value[c], choice[c] = gain[best], sizes[best]
         else:
             value[c] = value[c - 1]
     out: dict[int, int] = {}
@@ -56,50 +61,89 @@ def best_configuration(worth, most, capacity: int) -> dict[int, int]:
         if not choice[c]:
             c -= 1
             continue
-        length = int(choice[c])
-        out[length] = out.get(length, 0) + 1
-        c -= length
-    return {length: min(n, int(most[length])) for length, n in out.items()}
+        size = int(choice[c])
+        out[size] = out.get(size, 0) + 1
+        c -= size
+    return {size: min(n, int(most[size])) for size, n in out.items()}
+
+
+def fractional_cover(need, capacity: int, rounds: int) -> list[tuple[float, dict[int, int]]]:
+    """(uses, configuration) that together cover ``need`` pieces of each size, few uses in sum.
+
+    Multiplicative weights: a size is worth its share of a sequence, less by a factor that grows with
+    how far it is covered.  Each round uses the best configuration until the scarcest of its sizes is
+    ``STRIDE`` further; a size that is covered drops out.
+    """
+    import numpy as np
+
+    done, size = np.zeros(len(need)), np.arange(len(need)) / capacity
+    found: dict[tuple, float] = {}
+    for _ in range(rounds):
+        open_need = np.where(done < 1 - 1e-9, need, 0)
+        if not open_need.any():
+            break
+        config = best_configuration(size * np.exp(-RATE * done), open_need, capacity)
+        step = min(min(STRIDE, 1 - done[s]) * need[s] / n for s, n in config.items())
+        key = tuple(sorted(config.items()))
+        found[key] = found.get(key, 0.0) + step
+        for s, n in config.items():
+            done[s] += step * n / need[s]
+    return [(amount, dict(key)) for key, amount in found.items()]
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[int, dict[int, int]]]:
     """(number of sequences, {length: pieces in each}) that together hold the histogram exactly.
 
-    Work and result depend on ``capacity`` and ``rounds``, not on how many pieces there are.
+    The program is over long pieces, their lengths rounded up to ``GRAIN`` parts of a sequence; uses
+    are rounded down, of all or a share of the program's uses, whichever of ``SHARES`` gives fewest
+    sequences, and filled with the longest pieces of each size.  Short pieces, and what is left
+    of the long ones, go best-fit into gaps and new sequences.  Work and result depend on ``capacity``
+    and ``rounds``, not on how many pieces there are.
     """
     import numpy as np
 
-    need = np.zeros(capacity + 1, dtype=np.int64)
+    left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         if not 0 < length <= capacity:
             raise ValueError(f"length {length} is outside 1 to {capacity}")
-        need[length] = n
+        left[length] = n
     groups: list[tuple[int, dict[int, int]]] = []
-    if need[capacity]:
-        groups.append((int(need[capacity]), {capacity: 1}))
-        need[capacity] = 0
-    worth = np.arange(capacity + 1) / capacity
-    found: dict[tuple, float] = {}
-    total = float((need * np.arange(capacity + 1)).sum()) / capacity
-    if total:
-        share, uses = total / rounds, 0.0
-        for _ in range(rounds):
-            config = best_configuration(worth, need, capacity)
-            step = min(share * 4, min(need[length] / n for length, n in config.items()) / 2)
-            found[tuple(sorted(config.items()))] = found.get(tuple(sorted(config.items())), 0.0) + step
-            for length, n in config.items():
-                worth[length] *= np.exp(-RATE * step * n / need[length] / 4)
-            uses += step
-            if uses >= total:
-                break
-    left = need.copy()
-    for config, amount in sorted(found.items(), key=lambda x: -x[1]):
-        whole = min(int(amount), min(int(left[length]) // n for length, n in config))
-        if whole > 0:
-            groups.append((whole, dict(config)))
-            for length, n in config:
-                left[length] -= whole * n
-    return best_fit(left, groups, capacity)
+    if left[capacity]:
+        groups.append((int(left[capacity]), {capacity: 1}))
+        left[capacity] = 0
+    unit = -(-capacity // GRAIN)
+    sizes = -(-np.arange(capacity + 1) // unit)
+    long = np.arange(capacity + 1) > capacity // SHORT
+    need = np.bincount(sizes, np.where(long, left, 0)).astype(np.int64)
+    cover = sorted(fractional_cover(need, capacity // unit, rounds), key=lambda x: -x[0])
+    plans = []
+    for share in SHARES:
+        rest, used = left.copy(), list(groups)
+        for amount, config in cover:
+            used += filled(int(share * amount), config, rest, unit)
+        plans.append(best_fit(rest, used, capacity))
+    return min(plans, key=lambda plan: sum(n for n, _ in plan))
+
+
+def filled(n: int, config: dict[int, int], left, unit: int) -> list[tuple[int, dict[int, int]]]:
+    """Up to ``n`` sequences of rounded sizes as runs of actual lengths, longest first, taken out of ``left``."""
+    slots_ = [size for size, k in config.items() for _ in range(k)]
+    out: list[tuple[int, dict[int, int]]] = []
+    while n > 0:
+        lengths: dict[int, int] = {}
+        for size in slots_:
+            for length in range(min(size * unit, len(left) - 1), (size - 1) * unit, -1):
+                if left[length] > lengths.get(length, 0):
+                    lengths[length] = lengths.get(length, 0) + 1
+                    break
+            else:
+                return out
+        run = min(n, min(int(left[length]) // k for length, k in lengths.items()))
+        for length, k in lengths.items():
+            left[length] -= run * k
+        out.append((run, lengths))
+        n -= run
+    return out
 
 
 def best_fit(left, groups: list[tuple[int, dict[int, int]]], capacity: int) -> list[tuple[int, dict[int, int]]]:

@@ -23,11 +23,10 @@ BONUS_START = "2022-10-12"
 #: Types that ``typed`` knows, with what a missing value becomes in a table without nulls.
 DEFAULTS = {"bigint": 0, "int": 0, "smallint": 0, "double": 0.0, "decimal(18,4)": 0, "string": "", "boolean": False, "timestamp": "1970-01-01 00:00:00", "date": "1970-01-01"}
 
-_PARTS = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
 
-
-def _dashed(h: Column) -> Column:
-    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in _PARTS])
+def dashed(h: Column) -> Column:
+    """32 hex digits with the dashes of a uuid; other text stays."""
+    return F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
 
 
 def binary_to_uuid(b: Column) -> Column:
@@ -50,7 +49,7 @@ def binary_to_hex(b: Column) -> Column:
 def parse_uuid(s: Column) -> Column:
     """Lenient: trims, drops ``0x``, dashes and spaces, any case; 32 hex digits or null [SCL-04]."""
     h = F.regexp_replace(F.regexp_replace(F.lower(F.trim(s)), "^0x", ""), "[- ]", "")
-    return F.when(F.rlike(h, F.lit("^[0-9a-f]{32}$")), _dashed(h))
+    return F.when(F.rlike(h, F.lit("^[0-9a-f]{32}$")), dashed(h))
 
 
 def norm_key(s: Column) -> Column:

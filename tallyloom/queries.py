@@ -37,7 +37,7 @@ def uuid_sql(expr: str) -> str:
 
 
 def uuid_of(c: Column) -> Column:
-    return S.parse_uuid(F.md5(c.cast("string")))
+    return S.dashed(F.md5(c.cast("string")))
 
 
 def query(sql: str) -> Callable:
@@ -257,7 +257,7 @@ def stable_ids(spark, sf):
     """KEY-01: old ids stay, new keys go on from the largest"""
     orders = t(spark, sf, "orders").withColumn("guid", uuid_of(F.col("o_custkey")))
     empty = spark.createDataFrame([], "guid string, id bigint, is_stub boolean")
-    first = keys.issue_ids(empty, orders.where(F.col("o_orderdate") < CUT), ["guid"], stub=F.lit(False))
+    first = keys.issue_ids(empty, orders.where(F.col("o_orderdate") < CUT), ["guid"], stub=F.lit(False)).persist()
     return keys.issue_ids(first, orders.where(F.col("o_orderdate") >= CUT), ["guid"], stub=F.lit(True))
 
 
@@ -266,7 +266,7 @@ def document_ids(spark, sf):
     """KEY-02: ids by key and type; a stub is cleared when its document comes"""
     docs = t(spark, sf, "orders").withColumn("kind", kind())
     empty = spark.createDataFrame([], "o_orderkey bigint, kind int, id bigint, is_stub boolean")
-    registry = keys.issue_ids(empty, docs, ["o_orderkey", "kind"], stub=F.lit(True))
+    registry = keys.issue_ids(empty, docs, ["o_orderkey", "kind"], stub=F.lit(True)).persist()
     return keys.clear_stubs(registry, docs.where(F.col("o_orderdate") < CUT), ["o_orderkey", "kind"])
 
 

@@ -9,9 +9,9 @@ the one of lowest rank in each of ``BANDS * ROWS`` hashed coordinates is the sig
 
 Texts that agree on a whole band meet in its bucket.  Groups of any size stay cheap: equal texts are
 one node; a bucket links its members to its smallest member alone, and a link counts only if the
-shingle sets, from the whole texts, are similar enough.  After connected components are found, the
-pairs of a bucket that its star left in different components are verified too, so no link that the
-bands show is lost.
+shingle sets, from the whole texts, are similar enough.  After connected components are found, members of a bucket that its star left in
+different components are compared with each other, block by block, so no link that the bands show
+is lost.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Signatures that agree on fewer coordinates than this share come from similarities under 0.8, but for 1 pair in 10 million.
 LEAST_AGREEMENT = 0.63
-#: Elements hashed at a time.
-STEP = 600_000
+#: Elements hashed at a time, and members of a bucket compared at a time.
+STEP, BLOCK = 600_000, 256
 
 
 def mix(h):
@@ -124,7 +124,9 @@ def buckets(sig):
 
 
 def text_key(text: str = "text") -> Column:
-    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    """16 bytes that tell texts apart; all texts without a word are one."""
+    c = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return F.unhex(F.md5(F.when(F.length(F.regexp_replace(c, r"(?U)\s", "")) == 0, F.lit("")).otherwise(c)))
 
 
 def row_key(id_col: str, text: str) -> Column:
@@ -133,7 +135,7 @@ def row_key(id_col: str, text: str) -> Column:
 
 
 def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
-    """(t, bands, sig) of each text with a word: the first 64 bits of its key, its bucket keys, and 32 bits of each coordinate."""
+    """(t, bands, sig) of each text with a word: the first 60 bits of its key, its bucket keys, and 8 bits of each coordinate."""
 
     def sign(batches: Iterator) -> Iterator:
         import numpy as np
@@ -156,7 +158,7 @@ def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
                 elements = np.concatenate([s[0] for s in sets])
                 weights = np.concatenate([s[1] for s in sets]).astype(np.float64) if weighting == "count" else np.ones(len(elements))
                 sig = signatures(elements, weights, np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets]), len(sets), BANDS * ROWS)
-                low = (sig & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                low = (sig & np.uint64(0xFF)).astype(np.uint8)
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(buckets(sig).ravel()), BANDS).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(named, pa.int64()), bands, pa.array([x.tobytes() for x in low], pa.binary())], ["t", "bands", "sig"])
 
@@ -164,19 +166,38 @@ def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
 
 
 def short_key(key: Column) -> Column:
-    """The first 64 bits of a key, signed, as ``t``; only candidates are looked up by it, links carry whole keys."""
+    """The first 60 bits of a key as ``t``; only candidates are looked up by it, links carry whole keys."""
     return F.conv(F.substring(F.hex(key), 1, 15), 16, 10).cast("long").alias("t")
 
 
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(t, key, text) of the texts whose short key is in ``wanted``, each once."""
+    rows = nodes.join(wanted.select("t").distinct(), "t").select("row", "t", "key")
+    found = docs.select(row_key(id_col, text).alias("row"), F.col(f"`{text}`").alias("text")).join(rows, "row").select("row", "t", "key", "text")
+    return found.withColumn("one", F.row_number().over(Window.partitionBy("row").orderBy(F.lit(1)))).where("one = 1").drop("one", "row")
+
+
+def similar(a, n, b, m, similarity: float) -> bool:
+    """Whether two sets of sorted elements, with counts n and m, are similar enough."""
+    import numpy as np
+
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    both = int(np.minimum(n[i], m[j]).sum())
+    return both >= similarity * (int(n.sum() + m.sum()) - both)
+
+
+def weighed(text: str, hashes: WordHashes, weighting: str):
+    import numpy as np
+
+    elements, counts = shingles(text, hashes)
+    return elements, counts if weighting == "count" else np.ones(len(elements), np.int64)
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str, similarity: float, weighting: str) -> DataFrame:
     """Of candidate (a, b) short keys, the links (u, v) between texts of at least ``similarity``, by whole keys, u < v."""
-    wanted = pairs.select(F.col("a").alias("t")).union(pairs.select(F.col("b").alias("t"))).distinct()
-    rows = nodes.join(wanted, "t").select("row", "t", "key")
-    texts = docs.select(row_key(id_col, text).alias("row"), F.col(f"`{text}`").alias("text")).join(rows, "row").select("row", "t", "key", "text")
-    texts = settled(texts.withColumn("one", F.row_number().over(Window.partitionBy("row").orderBy(F.lit(1)))).where("one = 1").drop("one", "row"), "near-texts")
+    texts = settled(texts_of(pairs.select(F.col("a").alias("t")).union(pairs.select(F.col("b").alias("t"))), nodes, docs, id_col, text), "near-texts")
 
     def compare(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         hashes, kept = WordHashes(), {}
@@ -185,19 +206,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
             if key not in kept:
                 if len(kept) > 2000:
                     kept.clear()
-                kept[key] = shingles(t, hashes)
+                kept[key] = weighed(t, hashes, weighting)
             return kept[key]
 
         for batch in batches:
-            links = []
-            for ka, ta, kb, tb in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                (a, n), (b, m) = elements(ka, ta), elements(kb, tb)
-                if weighting != "count":
-                    n, m = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
-                _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-                both = int(np.minimum(n[i], m[j]).sum())
-                if both >= similarity * (int(n.sum() + m.sum()) - both):
-                    links.append((min(ka, kb), max(ka, kb)))
+            links = [(min(ka, kb), max(ka, kb)) for ka, ta, kb, tb in zip(*(batch.column(k).to_pylist() for k in range(4))) if similar(*elements(ka, ta), *elements(kb, tb), similarity)]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["u", "v"])
 
     side = lambda name: texts.select(F.col("t").alias(name), F.col("key").alias(f"k{name}"), F.col("text").alias(f"text_{name}"))
@@ -205,6 +218,101 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     return both.select("ka", "text_a", "kb", "text_b").mapInArrow(compare, "u binary, v binary")
 
 
+def near_pairs(rows: list[dict], n_first: int, apart: bool, band: int) -> list[tuple[int, int, int]]:
+    """(-agreement, i, k) of rows of different components that their signatures do not rule out, the likeliest first.
+
+    Rows i are the first ``n_first``; rows k come after them, or, with ``apart``, after all of them.  A
+    pair that shares several bands is found in the first of them alone.
+    """
+    import numpy as np
+
+    sig, c, near = np.stack([np.frombuffer(r["sig"], np.uint8) for r in rows]), np.array([r["c"] for r in rows]), []
+    for i in range(n_first):
+        begin = n_first if apart else i + 1
+        equal = sig[begin:] == sig[i]
+        agree = equal.sum(axis=1)
+        for k in np.flatnonzero((agree >= LEAST_AGREEMENT * BANDS * ROWS) & (c[begin:] != c[i])):
+            if equal[k].reshape(BANDS, ROWS).all(axis=1).argmax() == band:
+                near.append((-int(agree[k]), i, begin + int(k)))
+    return sorted(near)
+
+
+def block_pairs(split: DataFrame, member: list[str], name: str) -> DataFrame:
+    """(bucket, band, m, m2): each pair of blocks of a bucket's members, and each block alone with a null ``m2``."""
+    sizes = split.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("t"), F.col("blocks")).alias("block")
+    blocks = settled(split.join(sizes, "bucket").groupBy("bucket", "band", block).agg(F.collect_list(F.struct(*member)).alias("m")), name)
+    right = blocks.select(F.col("bucket").alias("b2"), F.col("block").alias("block2"), F.col("m").alias("m2"))
+    pairs = blocks.join(right, (F.col("bucket") == F.col("b2")) & (F.col("block") <= F.col("block2")))
+    return pairs.select("bucket", "band", "m", F.when(F.col("block") < F.col("block2"), F.col("m2")).alias("m2"))
+
+
+def close_members(split: DataFrame) -> DataFrame:
+    """(bucket, t) of members of ``split`` (t, band, bucket, c, sig) that may be similar to a member of another component."""
+
+    def find(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for bucket, band, first, second in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                rows = first + (second or [])
+                found = {i for _, a, b in near_pairs(rows, len(first), second is not None, band) for i in (a, b)}
+                out += [(bucket, rows[i]["t"]) for i in sorted(found)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["bucket", "t"])
+
+    return block_pairs(split, ["t", "c", "sig"], "near-blocks").mapInArrow(find, "bucket long, t long").distinct()
+
+
+def links_across(split: DataFrame, texts: DataFrame, similarity: float, weighting: str) -> DataFrame:
+    """(u, v): links inside buckets between texts of different components.
+
+    ``split`` has (t, band, bucket, c, sig) of members that may be similar across components.  Each pair
+    of blocks is one row, in which pairs are compared exactly, the likeliest first, and only while
+    nothing yet joins their components.  So a row gives fewer links than it has members.
+    """
+
+    def elements(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [weighed(x, hashes, weighting) for x in batch.column("text").to_pylist()]
+            counts = pa.array([s[1].tobytes() if weighting == "count" else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("t"), batch.column("key"), pa.array([s[0].tobytes() for s in sets], pa.binary()), counts], ["t", "key", "e", "n"])
+
+    def compare(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            links = []
+            for _, band, first, second in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                rows, root, sets = first + (second or []), {}, {}
+
+                def top(c, root=root):
+                    while root.get(c, c) != c:
+                        root[c] = root.get(root[c], root[c])
+                        c = root[c]
+                    return c
+
+                def get(i, rows=rows, sets=sets):
+                    if i not in sets:
+                        e, n = np.frombuffer(rows[i]["e"], np.uint64), rows[i]["n"]
+                        sets[i] = e, np.frombuffer(n, np.int64) if n is not None else np.ones(len(e), np.int64)
+                    return sets[i]
+
+                for _, i, k in near_pairs(rows, len(first), second is not None, band):
+                    a, b = top(rows[i]["c"]), top(rows[k]["c"])
+                    if a != b and similar(*get(i), *get(k), similarity):
+                        root[a] = b
+                        links.append((min(rows[i]["key"], rows[k]["key"]), max(rows[i]["key"], rows[k]["key"])))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["u", "v"])
+
+    sets = texts.select("t", "key", "text").mapInArrow(elements, "t long, key binary, e binary, n binary")
+    return block_pairs(split.join(sets, "t"), ["key", "c", "sig", "e", "n"], "near-close-blocks").mapInArrow(compare, "u binary, v binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, u): every node that is not its component's smallest, and that smallest node.
 
@@ -230,13 +338,14 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
 
     ``row`` and ``key`` name the row by id and text and the text alone; ``class_id`` is the smallest
     id in the row's class; ``keeper`` is the ``row`` to keep of the class.  Equal texts share a
-    class.  Null, empty and blank texts have no shingle: each such row is a class of its own id.
-    Null ids take part and are nobody's class id unless all of a class are null.
+    class, and so do all texts without a word (null, empty and blank ones), which have no shingle
+    and link to nothing else.  Null ids take part and are nobody's class id unless all of a class are
+    null.  An empty table gives no rows.
     """
     if weighting not in ("distinct", "count"):
         raise ValueError("weighting is distinct or count")
-    rows = settled(docs.select(row_key(id_col, text).alias("row"), F.col(f"`{id_col}`").alias("id"), text_key(text).alias("key"), (F.length(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), r"(?U)\s", "")) == 0).alias("blank")), "near-rows")
-    nodes = rows.where("not blank").groupBy("key").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("row"), F.min("id").alias("id")).withColumn("t", short_key(F.col("key")))
+    rows = settled(docs.select(row_key(id_col, text).alias("row"), F.col(f"`{id_col}`").alias("id"), text_key(text).alias("key")), "near-rows")
+    nodes = rows.groupBy("key").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("row"), F.min("id").alias("id")).withColumn("t", short_key(F.col("key")))
     nodes = settled(nodes, "near-nodes")
     table = settled(signed(docs, text, weighting), "near-signatures")
     members = table.select("t", F.explode("bands").alias("bucket"))
@@ -247,32 +356,26 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
 
     member_of = nodes.select("key", "t").join(labels.select(F.col("v").alias("key"), "u"), "key", "left").select("t", F.coalesce("u", "key").alias("u"))
     met = stars.select(F.col("a").alias("t")).union(stars.select(F.col("b").alias("t"))).distinct()
-    known = table.join(met, "t").dropDuplicates(["t"]).join(member_of, "t").select("t", F.explode("bands").alias("bucket"), F.xxhash64("u").alias("c"))
+    known = table.select("t", "bands").join(met, "t").dropDuplicates(["t"]).join(member_of, "t").select("t", F.xxhash64("u").alias("c"), F.posexplode("bands").alias("band", "bucket"))
     mixed = known.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("bucket")
-    split = settled(known.join(mixed, "bucket"), "near-split")
-    sigs = settled(table.join(split.select("t").distinct(), "t").dropDuplicates(["t"]).select("t", "sig"), "near-split-signatures")
-    split = split.join(sigs, "t")
-    left, right = (split.select(F.col("t").alias(n), F.col("c").alias(f"c{n}"), F.col("sig").alias(f"s{n}"), "bucket") for n in "ab")
-    agree = F.expr(f"aggregate(sequence(0, {BANDS * ROWS - 1}), 0, (n, i) -> n + if(substr(sa, 4 * i + 1, 4) = substr(sb, 4 * i + 1, 4), 1, 0))")
-    rest = left.join(right, (left.bucket == right.bucket) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & (agree >= int(LEAST_AGREEMENT * BANDS * ROWS))).select("a", "b").distinct()
-    rest = settled(rest.join(stars, ["a", "b"], "left_anti"), "near-rest")
-    if not rest.isEmpty():
-        more = settled(verified(rest, nodes, docs, id_col, text, similarity, weighting), "near-more-links")
-        if not more.isEmpty():
-            labels = components(labels.select("u", "v").unionByName(more))
+    split = known.join(mixed, "bucket")
+    sigs = table.select("t", "sig").join(met, "t").dropDuplicates(["t"])
+    split = settled(split.join(sigs, "t"), "near-split")
+    close = settled(split.join(close_members(split), ["bucket", "t"], "left_semi"), "near-close")
+    more = settled(links_across(close, texts_of(close, nodes, docs, id_col, text), similarity, weighting), "near-more-links")
+    if not more.isEmpty():
+        labels = components(labels.select("u", "v").unionByName(more))
 
     grouped = nodes.join(labels.select(F.col("v").alias("key"), "u"), "key", "left").select("key", "row", "id", F.coalesce("u", "key").alias("u"))
     kept = grouped.groupBy("u").agg(F.min("id").alias("class_id"), F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("keeper"))
     by_key = grouped.join(kept, "u").select(F.col("key").alias("k"), "class_id", "keeper")
-    joined = rows.join(by_key, (F.col("key") == F.col("k")) & ~F.col("blank"), "left")
-    return joined.select("row", "id", "key", F.when(F.col("blank"), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("keeper", "row").alias("keeper"))
+    return rows.join(by_key, F.col("key") == F.col("k")).select("row", "id", "key", "class_id", "keeper")
 
 
 def dedup_near(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, weighting: str = "distinct") -> DataFrame:
-    """One row of each class of ``near_classes``, the one of the smallest id; of equal rows one.  Rows without a word all stay."""
+    """One row of each class of ``near_classes``, the one of the smallest id; of equal rows one."""
     classes = near_classes(docs, id_col=id_col, text=text, similarity=similarity, weighting=weighting)
-    own, blank = f"{OWN}row", F.length(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), r"(?U)\s", "")) == 0
+    own, first = f"{OWN}row", F.row_number().over(Window.partitionBy(f"{OWN}row").orderBy(F.lit(1)))
     keepers = classes.where("row = keeper").select(F.col("row").alias(own)).distinct()
-    marked = docs.withColumn(own, row_key(id_col, text)).withColumn(f"{OWN}blank", blank)
-    first = F.row_number().over(Window.partitionBy(own).orderBy(F.lit(1)))
-    return marked.join(keepers, own).withColumn(f"{OWN}n", first).where((F.col(f"{OWN}n") == 1) | F.col(f"{OWN}blank")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = docs.withColumn(own, row_key(id_col, text)).join(keepers, own).withColumn(f"{OWN}n", first).where(F.col(f"{OWN}n") == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -26,7 +26,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays; documents without a word are left alone."""
+    """One document of each group of near-duplicates stays, and one of those that have no word (left)."""
     return near_dedup.dedup_near(docs)
 
 

@@ -135,7 +135,7 @@ def row_key(id_col: str, text: str) -> Column:
 
 
 def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
-    """(t, bands, sig) of each text with a word: the first 60 bits of its key, its bucket keys, and 8 bits of each coordinate."""
+    """(t, bands, sig) of each text with a word: the first 60 bits of its key, its bucket keys, and 8 bits of each coordinate before the bytes of the bucket keys."""
 
     def sign(batches: Iterator) -> Iterator:
         import numpy as np
@@ -158,9 +158,9 @@ def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
                 elements = np.concatenate([s[0] for s in sets])
                 weights = np.concatenate([s[1] for s in sets]).astype(np.float64) if weighting == "count" else np.ones(len(elements))
                 sig = signatures(elements, weights, np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets]), len(sets), BANDS * ROWS)
-                low = (sig & np.uint64(0xFF)).astype(np.uint8)
-                bands = pa.FixedSizeListArray.from_arrays(pa.array(buckets(sig).ravel()), BANDS).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(named, pa.int64()), bands, pa.array([x.tobytes() for x in low], pa.binary())], ["t", "bands", "sig"])
+                low, shared = (sig & np.uint64(0xFF)).astype(np.uint8), buckets(sig)
+                bands = pa.FixedSizeListArray.from_arrays(pa.array(shared.ravel()), BANDS).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(named, pa.int64()), bands, pa.array([x.tobytes() + k.tobytes() for x, k in zip(low, shared)], pa.binary())], ["t", "bands", "sig"])
 
     return docs.select(short_key(text_key(text)), F.col(f"`{text}`").alias("text")).mapInArrow(sign, "t long, bands array<long>, sig binary")
 
@@ -222,17 +222,18 @@ def near_pairs(rows: list[dict], n_first: int, apart: bool, band: int) -> list[t
     """(-agreement, i, k) of rows of different components that their signatures do not rule out, the likeliest first.
 
     Rows i are the first ``n_first``; rows k come after them, or, with ``apart``, after all of them.  A
-    pair that shares several bands is found in the first of them alone.
+    pair that shares several buckets is found in the first of them alone, by the whole bucket keys.
     """
     import numpy as np
 
-    sig, c, near = np.stack([np.frombuffer(r["sig"], np.uint8) for r in rows]), np.array([r["c"] for r in rows]), []
+    raw, c, near = np.stack([np.frombuffer(r["sig"], np.uint8) for r in rows]), np.array([r["c"] for r in rows]), []
+    sig, keys = np.ascontiguousarray(raw[:, : BANDS * ROWS]), np.ascontiguousarray(raw[:, BANDS * ROWS :]).view(np.int64)
     for i in range(n_first):
         begin = n_first if apart else i + 1
         equal = sig[begin:] == sig[i]
         agree = equal.sum(axis=1)
         for k in np.flatnonzero((agree >= LEAST_AGREEMENT * BANDS * ROWS) & (c[begin:] != c[i])):
-            if equal[k].reshape(BANDS, ROWS).all(axis=1).argmax() == band:
+            if (keys[begin + k] == keys[i]).argmax() == band:
                 near.append((-int(agree[k]), i, begin + int(k)))
     return sorted(near)
 

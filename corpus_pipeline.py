@@ -21,8 +21,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows go from the texts; every document stays."""
-    return line_dedup.dedup_lines(docs)
+    """Later occurrences of repeated three-line windows, of passages of over 50 words and of whole short texts go; every document stays."""
+    return line_dedup.dedup_lines(docs, passages=50)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

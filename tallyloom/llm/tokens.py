@@ -27,17 +27,19 @@ class Encoder:
     """``ids(texts)`` yields each text's ids as little-endian unsigned 32-bit bytes, without special tokens.
 
     ``code`` numbers the pieces; the ids of piece c are ``pool[start[c] : start[c] + length[c]]``.
-    The strings of special tokens in a text are ordinary text.
+    The strings of special tokens in a text are ordinary text, or with ``special`` the one id that the
+    library gives them by default; a text that holds one then goes to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.whole = ["\0", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special)]
         self.clear()
 
     def clear(self) -> None:
@@ -48,8 +50,8 @@ class Encoder:
         self.filled = self.known = 0
 
     def pieces(self, text: str) -> list[str]:
-        """The first piece behind a NUL, the others without the space before them; line feeds stay.  A text that holds a NUL stays whole."""
-        if "\0" in text:
+        """The first piece behind a NUL, the others without the space before them; line feeds stay.  A text that holds a NUL, or a special token's string, stays whole."""
+        if any(w in text for w in self.whole):
             return ["\0" + text]
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1:] in ("\n", " ") or text[:1] in ("\n", " ") or any(c in text for c in ODD_SPACE):
             cut = _CUT.split(text)
@@ -141,5 +143,5 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """This process's encoder for the vocabulary at ``path``; later tasks of a worker find its tables filled."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special=True)
     return _ENCODERS[path]

@@ -25,6 +25,8 @@ from tallyloom.llm.shared import OWN, row_hash, settled
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in a leaf block on average, and children of an inner node.
 FAN_IN = 32
+#: Rows in a part of the order that numbers the rows of an id, on average.
+PART = 20_000
 
 ITEM = "struct<d:bigint,o:int,p:double,s:double,u:double>"
 #: One meeting of the carried fraction (acc) with the next (it).  ``toward`` moves mass from ``it`` to ``acc``.
@@ -72,6 +74,29 @@ def source_targets(sizes: DataFrame, source: str, weights: Sequence[float], shar
     return per.select(source, "source_size", "n", F.when(F.col("capped"), F.col("cap")).otherwise(F.least(F.col("cap"), level * F.col("w"))).alias("target"))
 
 
+def content_hash(docs: DataFrame) -> Column:
+    """``row_hash`` that also tells apart which columns are null."""
+    return F.xxhash64(row_hash(docs), *[F.col(f"`{c}`").isNull() for c in docs.columns])
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (d, source, size, h) with ``o``: the number of each among those of its ``d``, from 1, by size, source and h.
+
+    All rows are laid in that order in range parts; a row's number is its place among its id's rows of
+    the part and the count of those in parts before, so an id of many rows is no task of its own.
+    Rows equal in all of these are told apart by a number that only serves to spread them.
+    """
+    rows = settled(rows.withColumn("tie", F.monotonically_increasing_id()), "mix-sized")
+    parts = max(1, rows.count() // PART)
+    order = [F.col("size"), F.col("source").asc_nulls_last(), F.col("h"), F.col("tie")]
+    laid = settled(rows.repartitionByRange(parts, F.col("d"), *order).withColumn("part", F.spark_partition_id()), "mix-laid")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("d").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = laid.groupBy("d", "part").agg(F.count("*").alias("n")).withColumn("before", before).where("before > 0").select(F.col("d").alias("b_d"), F.col("part").alias("b_part"), "before")
+    placed = laid.withColumn("o", F.row_number().over(Window.partitionBy("d", "part").orderBy(*order)))
+    placed = placed.join(offsets, F.col("d").eqNullSafe(F.col("b_d")) & (F.col("part") == F.col("b_part")), "left")
+    return placed.select("d", "source", "size", "h", (F.col("o") + F.coalesce("before", F.lit(0))).cast("int").alias("o"))
+
+
 def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
     """How many times the mix takes each row: (id, occ, size, source_size, target, copies).
 
@@ -80,11 +105,12 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", sou
     A null text has size 0; a row of size 0 is taken 0 times, and so is every row of a source whose
     size is 0.  A null source is a source of its own.  An empty table gives an empty plan.
     """
-    occurrence = Window.partitionBy("d").orderBy("size", F.col("source").asc_nulls_last(), "h")
-    rows = settled(
-        docs.select(F.col(id_col).alias("d"), F.col(source).alias("source"), word_count(text).alias("size"), row_hash(docs).alias("h")).withColumn("o", F.row_number().over(occurrence)).drop("h"),
-        "mix-rows",
-    )
+    return hashed_plan(docs, id_col, text, source, weights, share, cap, seed).drop("h")
+
+
+def hashed_plan(docs: DataFrame, id_col: str, text: str, source: str, weights: Sequence[float], share: float, cap: float, seed: str) -> DataFrame:
+    """``mix_plan`` with ``h``, the row's ``content_hash``."""
+    rows = settled(numbered(docs.select(F.col(id_col).alias("d"), F.col(source).alias("source"), word_count(text).alias("size"), content_hash(docs).alias("h"))), "mix-rows")
     targets = settled(source_targets(rows, "source", weights, share, cap), "mix-targets")
     most = targets.agg(F.max("n")).first()[0] or 0
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "n")
@@ -111,18 +137,24 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", sou
         ups = ups.unionByName(more)
     ups = ups.select(F.col("d").alias("u_d"), F.col("o").alias("u_o"), "up")
     joined = placed.join(ups, F.col("d").eqNullSafe(F.col("u_d")) & (F.col("o") == F.col("u_o")), "left")
-    return joined.select(F.col("d").alias(id_col), F.col("o").alias("occ"), "size", "source_size", "target", (F.col("base") + F.coalesce(F.col("up"), F.lit(0))).alias("copies"))
-
-
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as ``mix_plan`` takes it, with its own columns."""
-    plan = mix_plan(docs, id_col=id_col, text=text, source=source, **options)
-    per_id = plan.where("copies > 0").groupBy(F.col(id_col).alias(f"{OWN}id")).agg(F.map_from_entries(F.collect_list(F.struct("occ", "copies"))).alias(f"{OWN}copies"))
-    occurrence = Window.partitionBy(f"`{id_col}`").orderBy(f"{OWN}size", F.col(f"`{source}`").asc_nulls_last(), f"{OWN}hash")
-    marked = docs.withColumn(f"{OWN}size", word_count(text)).withColumn(f"{OWN}hash", row_hash(docs)).withColumn(f"{OWN}occ", F.row_number().over(occurrence))
-    taken = marked.join(per_id, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{OWN}id")))
-    copies = F.expr(f"coalesce(try_element_at({OWN}copies, {OWN}occ), 0)")
-    return taken.withColumn(f"{OWN}copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(F.col("d").alias(id_col), "h", F.col("o").alias("occ"), "size", "source_size", "target", (F.col("base") + F.coalesce(F.col("up"), F.lit(0))).alias("copies"))
+
+
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
+    """The mixed corpus: every row of ``docs`` as often as ``mix_plan`` takes it, with its own columns.
+
+    Rows that are equal in all columns are taken as one, as often as all of them together.
+    """
+    key, own = f"{OWN}key", f"{OWN}copies"
+    plan = hashed_plan(docs, id_col, text, source, weights, share, cap, seed)
+    total = plan.where("copies > 0").groupBy(content_key(F.col(id_col), F.col("h")).alias(key)).agg(F.sum("copies").cast("int").alias(own))
+    marked = docs.withColumn(key, content_key(F.col(f"`{id_col}`"), content_hash(docs)))
+    one = marked.withColumn(f"{OWN}n", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))).where(F.col(f"{OWN}n") == 1)
+    return one.join(total, key).withColumn(f"{OWN}copy", F.explode(F.sequence(F.lit(1), F.col(own)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def content_key(d: Column, h: Column) -> Column:
+    return F.concat_ws("|", h, F.coalesce(d.cast("string"), F.lit("~")))
 
 
 def oracle(levels: int = 4) -> str:

@@ -383,6 +383,12 @@ def signal_for_keys(spark, sf):
     return changes.signal_for(t(spark, sf, "orders").where("o_orderkey % 97 = 0").select(F.col("o_orderkey").cast("string").alias("uid")), signalled(spark, sf))
 
 
+@query(f"with {_SIG} select k.uid, s.updated_at from (select distinct o_orderkey::varchar as uid from orders) k left join sig s using (uid)")
+def signal_for_all_keys(spark, sf):
+    """SRC-13, over every order"""
+    return changes.signal_for(t(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("uid")), signalled(spark, sf))
+
+
 @query(f"with {_SIG} select * from sig where updated_at >= timestamp '2024-01-15' and uid not in (select o_orderkey::varchar from orders where o_orderdate < timestamp '{CUT}')")
 def tail_pickup(spark, sf):
     """STR-02, JOI-11"""
@@ -473,6 +479,17 @@ def affected_partitions(spark, sf):
     return changes.affected_partitions([("hot", relational.partitions(rows.where("o_orderdate >= '1998-11-01'"), "part")), ("changed", moved), ("unequal", unequal)])
 
 
+@query(f"select part, arg_min(reason, k) as reason from (select distinct {_PART} as part, 0 as k, 'hot' as reason from orders where o_orderdate >= timestamp '1998-11-01' union all select {_PART}, 1, 'changed' from orders where o_orderstatus = 'P' and o_orderdate >= timestamp '1996-01-01' union all select {_PART}, 2, 'unequal' from orders where o_orderkey % 1000 = 7) group by 1")
+def affected_partitions_all_orders(spark, sf):
+    """STR-07, STR-08, JOI-20, over every order: those of a status since a date changed"""
+    rows = parted(spark, sf)
+    changed = rows.where("o_orderstatus = 'P' and o_orderdate >= '1996-01-01'")
+    moved = publish.touched_partitions(rows, changed, changed.where("o_totalprice > 100000"), SPEC)
+    other = fingerprint.fingerprint(rows.where("o_orderkey % 1000 <> 7"), SPEC.checksum, SPEC.measures, ["part"])
+    unequal = fingerprint.differing_parts(fingerprint.fingerprint(rows, SPEC.checksum, SPEC.measures, ["part"]), other, ["part"])
+    return changes.affected_partitions([("hot", relational.partitions(rows.where("o_orderdate >= '1998-11-01'"), "part")), ("changed", moved), ("unequal", unequal)])
+
+
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
 def duplicate_keys(spark, sf):
     """AGG-09, AGG-10"""

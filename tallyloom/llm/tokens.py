@@ -6,6 +6,11 @@ and line feeds that stand between two characters that are no white space, looks
 bounded table, and passes only unseen pieces to the library.  Both kinds of vocabulary in use here
 never form a token across such a cut: the byte-level one starts a token at the space, and has a token
 for a single line feed; the word-end one drops white space.
+
+Unseen pieces of Latin letters, digits and ASCII punctuation (no apostrophe) are cut here where the
+vocabularies' patterns cut them, at each change of class, and go to the library's merges in one call
+behind a splitter of one character; all other pieces go through the library's own normaliser and
+pattern.
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ from itertools import chain
 #: White space other than the space and the line feed, as Python and Unicode know it.
 ODD_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Characters on whose classes all versions of Unicode, and on whose lower case Python and the library, agree: Latin letters, digits, punctuation.
+_LETTER, _DIGIT, _MARK = "A-Za-zÀ-ÖØ-öø-įı-ſ", "0-9", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf"\n?[{_LETTER}{_DIGIT}{_MARK}]+")
 #: Pieces in the table at most; beyond it the table starts anew.
 TABLE = 900_000
 #: Characters encoded at a time.
@@ -40,8 +48,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.whole = ["\0", *(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if special)]
+        self.prepare(Tokenizer)
         self.clear()
 
+    def prepare(self, kind) -> None:
+        """The merges behind a splitter at NUL, the pattern that cuts plain pieces, and which ids begin (or, with word ends, end) a part."""
+        import numpy as np
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
+
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.word_ends = bool(suffix)
+        self.merges = kind(self.tokenizer.model)
+        self.merges.pre_tokenizer = CharDelimiterSplit("\0")
+        space, digits = ("", _DIGIT.join("[]")) if suffix else (" ?", f" ?[{_DIGIT}]+")
+        self.parts = re.compile(rf"{'' if suffix else '\n|'}{space}[{_LETTER}]+|{digits}|{space}[{_MARK}]+").findall
+        shown = {chr(b): ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(b))[0][0] for b in range(1, 128)}
+        # a byte from 128 on is seen in a two-byte character: its second byte, or its first
+        pairs = [ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(128, 2048)]
+        shown |= {chr(b): pairs[k][j] for k in range(len(pairs)) for j, b in enumerate(chr(128 + k).encode())}
+        self.shown = str.maketrans(shown)
+        first = (shown[" "], shown["\n"])
+        marks = [w.endswith(suffix) if suffix else w.startswith(first) for w in map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))]
+        self.marks = np.array(marks, bool)
+
     def clear(self) -> None:
         import numpy as np
 
@@ -59,31 +88,44 @@ class Encoder:
         return ("\0" + text.replace("\n", " \n")).split(" ")
 
     def encode(self, keys: list[str]):
-        """(ids of all keys in a row, numbers of ids).
-
-        Keys that begin and end in no white space go to the library as one text, cut by the ids' offsets.
-        """
+        """(ids of all keys in a row, numbers of ids)."""
         import numpy as np
 
-        counts = np.zeros(len(keys), np.int64)
-        plain = [k for k, key in enumerate(keys) if key[0] != "\0" and not key[-1].isspace()]
-        alone = sorted({*range(len(keys))}.difference(plain))
-        written = [keys[k] if keys[k][0] == "\n" else " " + keys[k] for k in plain]
-        ids, owner = [], []
-        if written:
-            found = self.tokenizer.encode_batch(["".join(written)], add_special_tokens=False)[0]
-            ends = np.cumsum([len(w) for w in written])
-            at = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
-            ids.append(np.array(found.ids, "<u4"))
-            owner.append(np.array(plain)[np.searchsorted(ends, at, "right")])
-        for k, e in zip(alone, self.tokenizer.encode_batch_fast([keys[k][1:] if keys[k][0] == "\0" else keys[k] if keys[k][0] == "\n" else " " + keys[k] for k in alone], add_special_tokens=False)):
+        plain = [k for k, key in enumerate(keys) if _PLAIN.fullmatch(key)]
+        others = sorted({*range(len(keys))}.difference(plain))
+        ids, owner = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        if plain:
+            found, place = self.encode_plain([keys[k] for k in plain])
+            ids.append(found)
+            owner.append(np.array(plain)[place])
+        for k, e in zip(others, self.tokenizer.encode_batch_fast([keys[k][1:] if keys[k][0] == "\0" else keys[k] if keys[k][0] == "\n" else " " + keys[k] for k in others], add_special_tokens=False)):
             ids.append(np.array(e.ids, "<u4"))
             owner.append(np.full(len(e.ids), k))
-        if not ids:
-            return np.zeros(0, "<u4"), counts
         owner = np.concatenate(owner)
         return np.concatenate(ids)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(keys))
 
+    def encode_plain(self, keys: list[str]):
+        """(ids, place of the key of each) of keys that ``_PLAIN`` fits.
+
+        With word ends, an id that ends a word tells the parts apart, else the id of a space or line
+        feed tells the keys apart; parts before which neither stands belong to the key before.
+        """
+        import numpy as np
+
+        written = "".join([k if k[0] == "\n" else " " + k for k in keys])
+        if self.word_ends:
+            cut = [self.parts(k.lower()) for k in keys]
+            of_part = np.repeat(np.arange(len(keys)), [len(p) for p in cut])
+            parts = list(chain.from_iterable(cut))
+        else:
+            parts = self.parts(written)
+        text = "\0".join(parts).encode().decode("latin-1").translate(self.shown)
+        ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        marks = self.marks[ids]
+        if self.word_ends:
+            return ids, of_part[np.cumsum(marks) - marks]
+        return ids, np.cumsum(marks) - 1
+
     def learn(self) -> None:
         """Encodes the pieces numbered since the last call."""
         import numpy as np

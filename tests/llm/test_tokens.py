@@ -23,3 +23,18 @@ def test_encoder(monkeypatch, name):
         texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 30))) for _ in range(8)]
         have = [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)]
         assert have == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_characters(name):
+    """Every character that goes past the library's own pattern, beside every class of neighbour, and lines of such words."""
+    from tokenizers import Tokenizer
+
+    plain, encoder, rng = Tokenizer.from_file(tokenizer(name)), tokens.Encoder(tokenizer(name), special=True), random.Random(2)
+    letters = [chr(c) for c in range(33, 0x250)]
+    texts = ["x " + " ".join(f"{c} a{c} {c}a 1{c} {c}1 ,{c} {c}, {c}{c}" for c in letters[k : k + 20]) for k in range(0, len(letters), 20)]
+    texts += ["\n".join(" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(6)) for _ in range(5)) for _ in range(300)]
+    have = [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)]
+    assert have == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    again = [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)]
+    assert again == have

@@ -2,11 +2,14 @@
 
 1. Texts are encoded once into pieces of at most ``capacity`` tokens: (length, checksum) rows.
 2. The histogram of lengths, ``capacity`` numbers however large the corpus, goes to the driver.
-   There the fractional cover by configurations (multisets of lengths that fit a sequence) is found by
+   There the fractional cover by configurations (multisets of sizes that fit a sequence) is found by
    multiplicative weights: each round a knapsack dynamic program prices the configuration worth most
-   under the current weights of the lengths, the round uses it, and the weights of what it covered
-   shrink in proportion.  Uses are rounded down to whole sequences; what stays uncovered is packed
-   best-fit decreasing, into new sequences and the gaps left in the others.
+   under the current weights of the sizes, the round uses it, and the weights of what it covered
+   shrink in proportion.  A size stands for the lengths of one ``GRAIN``-th of a sequence and is as
+   long as the longest of them, so a length that is alone there is priced as it is.  Uses are
+   rounded down to whole sequences, and each sequence takes real lengths of its sizes, the last two
+   so that they fill it.  What no use filled is solved again, in ``PASSES``; what is left after those
+   is packed best-fit decreasing, into new sequences and the gaps left in the others.
 3. The plan says for each length which ranks go to which run of sequences.  Pieces are ranked within
    their length by two-level counts (blocks of bounded size, then offsets), so that no task holds one
    length, and each task looks its ranks up in the plan.
@@ -24,82 +27,77 @@ from tallyloom.llm.shared import settled
 from tallyloom.llm.tokens import encoder
 
 CAPACITY = 4096
-#: Rounds of multiplicative weights at most, how far one goes, and how strongly being covered lessens a size's worth.
-ROUNDS, STRIDE, RATE = 4000, 0.1, 2.0
-#: Parts of a sequence that the program's sizes are whole numbers of; pieces up to 1/SHORT of a sequence are left to best fit.
-GRAIN, SHORT = 256, 16
-#: Rounded uses leave sizes' rounding as gaps; where short pieces are too few to fill them, fewer uses and more best fit do better.
-SHARES = (1.0, 0.8, 0.6, 0.4, 0.2)
+#: Rounds of multiplicative weights a pass at most, how strongly being covered lessens a size's worth, and the power of its share of a sequence that it is worth at first (above 1, so that long pieces, which are harder to place, are not left to the end).
+ROUNDS, RATE, WORTH = 4000, 2.0, 1.5
+#: Parts of a sequence whose lengths are one size of the program.
+GRAIN = 256
+#: Passes of the program: how far a round takes a size, and whether a sequence may stay as empty as its configuration is, or must be full.
+PASSES = ((0.2, False), (0.5, False), (0.5, True))
 #: Pieces in a ranking block, on average.
 BLOCK = 20_000
 
 
-def best_configuration(worth, most, capacity: int) -> dict[int, int]:
-    """The multiset of sizes of total at most ``capacity`` that is worth most, by dynamic programming.
+def best_configuration(lengths, worth, most, capacity: int) -> dict[int, int]:
+    """{size: pieces} of total length at most ``capacity`` that is worth most, by dynamic programming.
 
-    ``worth[s]`` is the worth of one piece of size s and ``most[s]`` how many a configuration may
-    hold; sizes with none are left out.  The program is over unbounded uses; uses beyond ``most`` are
-    cut after.
+    ``lengths[s]`` and ``worth[s]`` are those of one piece of size s, ``most[s]`` how many there are.
+    Copies of a size are tried in bundles of 1, 2, 4, ..., which add up to every number of them.
     """
     import numpy as np
 
-    sizes = np.flatnonzero(most[: capacity + 1] > 0)
-    sizes = sizes[sizes > 0]
-    value, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    price, upto = worth[sizes], np.searchsorted(sizes, np.arange(capacity + 1), "right")
-    for c in range(int(sizes[0]) if len(sizes) else capacity + 1, capacity + 1):
-        k = upto[c]
-        gain = value[c - sizes[:k]] + price[:k]
-        best = gain.argmax()
-        if gain[best] > value[c - 1]:
-            value[c], choice[c] = gain[best], sizes[best]
-        else:
-            value[c] = value[c - 1]
+    value, taken = np.zeros(capacity + 1), []
+    for s in np.flatnonzero(most):
+        length, left, bundle = int(lengths[s]), min(int(most[s]), capacity // int(lengths[s])), 1
+        while left:
+            bundle = min(bundle, left)
+            with_it = value[: capacity + 1 - bundle * length] + bundle * worth[s]
+            better = with_it > value[bundle * length :]
+            np.maximum(value[bundle * length :], with_it, out=value[bundle * length :])
+            taken.append((int(s), bundle, bundle * length, better))
+            left, bundle = left - bundle, bundle * 2
     out: dict[int, int] = {}
     c = capacity
-    while c > 0:
-        if not choice[c]:
-            c -= 1
-            continue
-        size = int(choice[c])
-        out[size] = out.get(size, 0) + 1
-        c -= size
-    return {size: min(n, int(most[size])) for size, n in out.items()}
+    for s, bundle, length, better in reversed(taken):
+        if c >= length and better[c - length]:
+            out[s] = out.get(s, 0) + bundle
+            c -= length
+    return out
 
 
-def fractional_cover(need, capacity: int, rounds: int) -> list[tuple[float, dict[int, int]]]:
+def fractional_cover(need, lengths, capacity: int, stride: float, rounds: int) -> list[tuple[float, dict[int, int]]]:
     """(uses, configuration) that together cover ``need`` pieces of each size, few uses in sum.
 
-    Multiplicative weights: a size is worth its share of a sequence, less by a factor that grows with
-    how far it is covered.  Each round uses the best configuration until the scarcest of its sizes is
-    ``STRIDE`` further; a size that is covered drops out.
+    Multiplicative weights: a size is worth a power of its share of a sequence, less by a factor that
+    grows with how far it is covered.  Each round uses the best configuration until the scarcest of its sizes is
+    ``stride`` further, or once if that is more; a size that is covered drops out.
     """
     import numpy as np
 
-    done, size = np.zeros(len(need)), np.arange(len(need)) / capacity
-    found: dict[tuple, float] = {}
+    got, found = np.zeros(len(need)), {}
     for _ in range(rounds):
-        open_need = np.where(done < 1 - 1e-9, need, 0)
-        if not open_need.any():
+        left = np.ceil(np.maximum(need - got - 1e-9, 0)).astype(np.int64)
+        if not left.any():
             break
-        config = best_configuration(size * np.exp(-RATE * done), open_need, capacity)
-        step = min(min(STRIDE, 1 - done[s]) * need[s] / n for s, n in config.items())
+        config = best_configuration(lengths, (lengths / capacity) ** WORTH * np.exp(-RATE * got / np.maximum(need, 1)), left, capacity)
+        step = min(min((need[s] - got[s]) / n for s, n in config.items()), max(1.0, min(stride * need[s] / n for s, n in config.items())))
         key = tuple(sorted(config.items()))
         found[key] = found.get(key, 0.0) + step
         for s, n in config.items():
-            done[s] += step * n / need[s]
+            got[s] += step * n
     return [(amount, dict(key)) for key, amount in found.items()]
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[int, dict[int, int]]]:
     """(number of sequences, {length: pieces in each}) that together hold the histogram exactly.
 
-    The program is over long pieces, their lengths rounded up to ``GRAIN`` parts of a sequence; uses
-    are rounded down, of all or a share of the program's uses, whichever of ``SHARES`` gives fewest
-    sequences, and filled with the longest pieces of each size.  Short pieces, and what is left
-    of the long ones, go best-fit into gaps and new sequences.  Work and result depend on ``capacity``
-    and ``rounds``, not on how many pieces there are.
+    Work and result depend on ``capacity`` and ``rounds``, not on how many pieces there are.
     """
+    left, groups = program(histogram, capacity, rounds)
+    return best_fit(left, groups, capacity)
+
+
+def program(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS):
+    """(pieces left of each length, sequences that the program fills)."""
     import numpy as np
 
     left = np.zeros(capacity + 1, dtype=np.int64)
@@ -108,40 +106,60 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, rounds:
             raise ValueError(f"length {length} is outside 1 to {capacity}")
         left[length] = n
     groups: list[tuple[int, dict[int, int]]] = []
-    if left[capacity]:
-        groups.append((int(left[capacity]), {capacity: 1}))
-        left[capacity] = 0
     unit = -(-capacity // GRAIN)
     sizes = -(-np.arange(capacity + 1) // unit)
-    long = np.arange(capacity + 1) > capacity // SHORT
-    need = np.bincount(sizes, np.where(long, left, 0)).astype(np.int64)
-    cover = sorted(fractional_cover(need, capacity // unit, rounds), key=lambda x: -x[0])
-    plans = []
-    for share in SHARES:
-        rest, used = left.copy(), list(groups)
-        for amount, config in cover:
-            used += filled(int(share * amount), config, rest, unit)
-        plans.append(best_fit(rest, used, capacity))
-    return min(plans, key=lambda plan: sum(n for n, _ in plan))
-
-
-def filled(n: int, config: dict[int, int], left, unit: int) -> list[tuple[int, dict[int, int]]]:
-    """Up to ``n`` sequences of rounded sizes as runs of actual lengths, longest first, taken out of ``left``."""
-    slots_ = [size for size, k in config.items() for _ in range(k)]
+    for stride, as_planned in PASSES:
+        need, longest = np.bincount(sizes, left).astype(np.int64), np.zeros(sizes[-1] + 1, dtype=np.int64)
+        np.maximum.at(longest, sizes, np.where(left > 0, np.arange(capacity + 1), 0))
+        cover = fractional_cover(need, longest, capacity, stride, rounds)
+        for amount, config in sorted(cover, key=lambda x: (-x[0], sorted(x[1].items()))):
+            planned = capacity - sum(int(longest[s]) * n for s, n in config.items())
+            groups += filled(int(amount + 1e-6), config, left, unit, capacity, planned if as_planned else 0)
+    return left, groups
+
+
+def filled(n: int, config: dict[int, int], left, unit: int, capacity: int, slack: int) -> list[tuple[int, dict[int, int]]]:
+    """Up to ``n`` sequences of a configuration as runs of real lengths, taken out of ``left``.
+
+    All pieces but two are of the commonest length of their size; then comes a length of the next
+    size and the longest that fits beside it, those that leave least room.  It ends where a size has no
+    piece, or more than ``slack`` would stay empty.
+    """
+    import numpy as np
+
+    slots_ = sorted((s for s, k in config.items() for _ in range(k)), reverse=True)
     out: list[tuple[int, dict[int, int]]] = []
+    lengths_of = lambda s, most: slice((s - 1) * unit + 1, min(s * unit, most) + 1)
     while n > 0:
-        lengths: dict[int, int] = {}
-        for size in slots_:
-            for length in range(min(size * unit, len(left) - 1), (size - 1) * unit, -1):
-                if left[length] > lengths.get(length, 0):
-                    lengths[length] = lengths.get(length, 0) + 1
-                    break
-            else:
+        free, used, room = left.copy(), {}, capacity
+        for s in slots_[:-2]:
+            length = lengths_of(s, capacity).start + int(free[lengths_of(s, capacity)].argmax())
+            if free[length] < 1:
                 return out
-        run = min(n, min(int(left[length]) // k for length, k in lengths.items()))
-        for length, k in lengths.items():
+            free[length] -= 1
+            used[length] = used.get(length, 0) + 1
+            room -= length
+        window = lengths_of(slots_[-2:][0], room)
+        first = window.start + np.flatnonzero(free[window] > 0)
+        if not len(first):
+            return out
+        second = np.zeros_like(first)
+        if len(slots_) > 1:
+            longest = np.maximum.accumulate(np.where(free > 0, np.arange(len(free)), 0))  # the longest piece up to a length
+            second = longest[room - first]
+            second = np.where((second == first) & (free[first] < 2), longest[np.minimum(first - 1, room - first)], second)
+        runs = np.where(second == first, free[first] // 2, np.minimum(free[first], np.where(second > 0, free[second], free[first])))
+        at = np.lexsort((-runs, room - first - second))[0]
+        for length in (int(first[at]), int(second[at])):
+            if length:
+                used[length] = used.get(length, 0) + 1
+                room -= length
+        if room > slack:
+            return out
+        run = min(n, min(int(left[length]) // k for length, k in used.items()))
+        for length, k in used.items():
             left[length] -= run * k
-        out.append((run, lengths))
+        out.append((run, used))
         n -= run
     return out
 
@@ -229,8 +247,10 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str
 def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", capacity: int = CAPACITY, rounds: int = ROUNDS, **options) -> DataFrame:
     """Every piece's place: ``id_col``, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Sequences are gapless from offset 0 and hold at most ``capacity`` tokens.  Rows that share an id
-    are packed apart.  An empty table gives no rows.
+    Sequences are gapless from offset 0 and hold at most ``capacity`` tokens.  Rows that share an id,
+    or are equal, are packed apart.  A null or empty text is one piece of the end id, a text of any
+    length is cut whole.  Ids that are no whole numbers fail the cast.  An empty table gives no rows;
+    columns other than the id and the text play no part.
     """
     spark = docs.sparkSession
     cut = settled(pieces(docs, tokenizer, id_col=id_col, capacity=capacity, **options), "pieces")

@@ -7,13 +7,16 @@ SHA-256 of its bytes.  The store at ``path`` holds three Parquet tables:
 ``chunks``    a row for each use of a chunk; its bytes (ids, little-endian, 16 bits where the
               vocabulary allows, else 32) stand in exactly one row of each name
 ``recipes``   in ascending document id: the names of a document's chunks, their numbers of ids, the
-              Merkle root over the names, and where the document starts in its part
+              Merkle root over the names, and where the document starts in its part (``kind`` is
+              ``document``); and a sum of each part (``kind`` is ``part``)
 ``manifest``  a row for each part of the recipes: documents, ids, ids before it, and the Merkle root
               over its documents' roots
 
 A text is encoded once.  Only the first use of a chunk in a task ships its bytes, keyed by name;
 other uses travel without bytes under a key of their own, so a chunk that a third of all documents
-share fills no task.  Reading verifies names against bytes and roots against names.
+share fills no task.  The number of parts follows the number of documents.  Writing computes a
+part's root document by document, in memory of its logarithm; verifying computes it again as a tree
+of blocks of ``LEAVES`` documents.  Reading verifies names against bytes and roots against names.
 """
 
 from __future__ import annotations
@@ -24,9 +27,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.shared import settled
 from tallyloom.llm.tokens import encoder
 
 SPAN, MIN_IDS, MAX_IDS, CUT_BITS = 16, 128, 4096, 10
+#: Documents in a part on average, and in a block of a part when its root is verified (a power of two, so that the tree is the same).
+PART, LEAVES = 200_000, 4096
 
 
 def cuts(ids) -> list[int]:
@@ -57,12 +63,37 @@ def cuts(ids) -> list[int]:
 
 def merkle(leaves: list[bytes]) -> bytes:
     """Root of the binary tree over ``leaves``; an odd one out moves up."""
-    level = [hashlib.sha256(b"\0" + x).digest() for x in leaves] or [hashlib.sha256(b"").digest()]
+    return merkle_up([hashlib.sha256(b"\0" + x).digest() for x in leaves])
+
+
+def merkle_up(level: list[bytes]) -> bytes:
+    """Root over nodes that stand at one height of the tree."""
+    level = level or [hashlib.sha256(b"").digest()]
     while len(level) > 1:
         level = [hashlib.sha256(b"\1" + b"".join(level[i : i + 2])).digest() if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
     return level[0]
 
 
+class Tree:
+    """``merkle`` over leaves that come one by one: of the tree so far only the roots of its whole halves are held."""
+
+    def __init__(self):
+        self.whole: list[tuple[int, bytes]] = []
+
+    def add(self, leaf: bytes) -> None:
+        height, node = 0, hashlib.sha256(b"\0" + leaf).digest()
+        while self.whole and self.whole[-1][0] == height:
+            node, height = hashlib.sha256(b"\1" + self.whole.pop()[1] + node).digest(), height + 1
+        self.whole.append((height, node))
+
+    def root(self) -> bytes:
+        nodes = [node for _, node in self.whole] or [hashlib.sha256(b"").digest()]
+        root = nodes.pop()
+        while nodes:
+            root = hashlib.sha256(b"\1" + nodes.pop() + root).digest()
+        return root
+
+
 def crc32_join(a, b, b_bytes):
     """crc32 of x + y from crc32(x), crc32(y) and the length of y, over arrays.
 
@@ -92,8 +123,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
     """Encodes every whole text and writes the store to ``path``, a folder that all executors see.
 
     Null and empty texts hold the end id alone.  Rows that share an id are documents of their own,
-    next to each other.  An empty table gives empty tables.  ``wide`` stores 32-bit ids, needed for
-    vocabularies of over 65,536 ids.
+    next to each other.  Ids that are no whole numbers fail the cast.  An empty table gives empty
+    tables.  ``wide`` stores 32-bit ids; without it an id of 65,536 or more raises ValueError.  A text
+    of any length is encoded whole and becomes chunks of bounded size.
     """
     spark = docs.sparkSession
 
@@ -108,6 +140,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for doc, row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), coder.ids(texts)):
                 ids, at = np.concatenate([np.frombuffer(raw, "<u4"), end]), 0
+                if not wide and ids.max() > 0xFFFF:
+                    raise ValueError(f"id {ids.max()} needs a wide store")
                 for seq, upto in enumerate(cuts(ids)):
                     blob = ids[at:upto].astype("<u4" if wide else "<u2").tobytes()
                     name = hashlib.sha256(blob).digest()
@@ -127,38 +161,69 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "do
     once = uses.withColumn("key", key).withColumn("first", first).withColumn("blob", F.when(F.col("first") == 1, F.col("blob"))).drop("key", "first")
     once.write.option("compression", "zstd").parquet(f"{path}/chunks")
 
-    merkle_root = F.udf(lambda names: merkle([bytes(x) for x in names]), "binary")
-    recipes = (
+    recipes = settled(
         spark.read.parquet(f"{path}/chunks").select("doc", "row", "seq", "name", "n").groupBy("doc", "row")
         .agg(F.sort_array(F.collect_list(F.struct("seq", "name", "n"))).alias("c"))
         .select("doc", "row", F.col("c.name").alias("names"), F.col("c.n").alias("counts"))
-        .withColumn("n_ids", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).withColumn("root", merkle_root("names"))
+        .withColumn("n_ids", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)),
+        "store-recipes",
     )
-    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    in_order = recipes.repartitionByRange(parts, "doc").sortWithinPartitions(F.col("doc").asc_nulls_first(), "n_ids", "root").withColumn("part", F.spark_partition_id())
-    schema = "doc long, names array<binary>, counts array<int>, n_ids long, root binary, part int, place long, part_start long"
+    order = [F.col("doc").asc_nulls_first(), F.col("n_ids"), F.xxhash64("names"), F.col("row")]
+    parts = parts or max(1, -(-recipes.count() // PART))
+    in_order = recipes.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    schema = "doc long, names array<binary>, counts array<int>, n_ids long, part int, root binary, place long, part_start long, kind string"
 
     def placed(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        place = start = 0
+        place, start, part, tree = 0, 0, None, Tree()
+        names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             n = batch.column("n_ids").to_numpy(zero_copy_only=False)
-            ends = start + np.cumsum(n)
-            extra = [pa.array(place + np.arange(len(n), dtype=np.int64)), pa.array((ends - n).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "place", "part_start"])
-            place, start = place + len(n), int(ends[-1]) if len(n) else start
-
-    in_order.select("doc", "names", "counts", "n_ids", "root", "part").mapInArrow(placed, schema).write.option("compression", "zstd").parquet(f"{path}/recipes")
-    per_part(spark, path).withColumn("ids_before", F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).write.parquet(f"{path}/manifest")
+            if not len(n):
+                continue
+            ends, part = start + np.cumsum(n), batch.column("part")[0].as_py()
+            flat, at = batch.column("names").flatten().to_pylist(), np.cumsum([0, *batch.column("names").value_lengths().to_pylist()]).tolist()
+            roots = [merkle(flat[a:b]) for a, b in zip(at, at[1:])]
+            for root in roots:
+                tree.add(root)
+            extra = [pa.array(roots, pa.binary()), pa.array(place + np.arange(len(n), dtype=np.int64)), pa.array((ends - n).astype(np.int64)), pa.array(["document"] * len(n))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names)
+            place, start = place + len(n), int(ends[-1])
+        if part is not None:
+            row = [(None, pa.int64()), (None, pa.list_(pa.binary())), (None, pa.list_(pa.int32())), (start, pa.int64()), (part, pa.int32()), (tree.root(), pa.binary()), (place, pa.int64()), (None, pa.int64()), ("part", pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in row], names)
+
+    in_order.select("doc", "names", "counts", "n_ids", "part").mapInArrow(placed, schema).write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/recipes")
+    before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a part
+    sums = recipes_of(spark, path, "part").select("part", F.col("place").alias("n_docs"), "n_ids", "root")
+    sums.withColumn("ids_before", before).write.parquet(f"{path}/manifest")
+
+
+def recipes_of(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    schema = "doc long, names array<binary>, counts array<int>, n_ids long, part int, root binary, place long, part_start long, kind string"
+    return spark.read.schema(schema).parquet(f"{path}/recipes").where(F.col("kind") == kind).drop("kind")
 
 
 def per_part(spark: SparkSession, path: str) -> DataFrame:
-    """(part, n_docs, n_ids, root) from the recipes: what the manifest must say."""
-    root = F.udf(lambda roots: merkle([bytes(x.root) for x in roots]), "binary")
-    recipes = spark.read.parquet(f"{path}/recipes")
-    return recipes.groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_ids").alias("n_ids"), root(F.sort_array(F.collect_list(F.struct("place", "root")))).alias("root"))
+    """(part, n_docs, n_ids, root) from the documents' recipes: what the manifest must say."""
+
+    def rooted(up):
+        def run(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            for batch in batches:
+                nodes = [up([x["root"] for x in c]) for c in batch.column("c").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("part", "block", "n_docs", "n_ids")), pa.array(nodes, pa.binary())], ["part", "block", "n_docs", "n_ids", "root"])
+
+        return run
+
+    schema, nodes = "part int, block long, n_docs long, n_ids long, root binary", F.sort_array(F.collect_list(F.struct("at", "root"))).alias("c")
+    blocks = recipes_of(spark, path, "document").select("part", F.floor(F.col("place") / LEAVES).alias("block"), F.col("place").alias("at"), "root", "n_ids")
+    blocks = blocks.groupBy("part", "block").agg(F.count("*").alias("n_docs"), F.sum("n_ids").alias("n_ids"), nodes).mapInArrow(rooted(merkle), schema)
+    tops = blocks.withColumn("at", F.col("block")).groupBy("part").agg(F.min("block").alias("block"), F.sum("n_docs").alias("n_docs"), F.sum("n_ids").alias("n_ids"), nodes)
+    return tops.select("part", "block", "n_docs", "n_ids", "c").mapInArrow(rooted(merkle_up), schema).drop("block")
 
 
 def verify(spark: SparkSession, path: str) -> None:
@@ -197,19 +262,20 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            pieces = batch.column("c").to_pylist()
-            for p, root in zip(pieces, batch.column("root").to_pylist()):
-                if any(x["crc"] is None for x in p) or merkle([x["name"] for x in p]) != root:
-                    raise ValueError("a recipe does not match its chunks")
-            crc, k = np.zeros(len(pieces), np.uint32), 0
-            while (more := np.array([len(p) > k for p in pieces], bool)).any():
-                at = [p[k] for p in pieces if len(p) > k]
-                crc[more] = crc32_join(crc[more], np.array([x["crc"] for x in at]), np.array([4 * x["n"] for x in at]))
-                k += 1
+            c = batch.column("c")
+            lengths = c.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            at, flat = np.cumsum(lengths) - lengths, c.flatten()
+            names, crcs, n = flat.field("name").to_pylist(), flat.field("crc"), flat.field("n").to_numpy(zero_copy_only=False)
+            if crcs.null_count or any(merkle(names[a : a + m]) != root for a, m, root in zip(at.tolist(), lengths.tolist(), batch.column("root").to_pylist())):
+                raise ValueError("a recipe does not match its chunks")
+            crc, crcs = np.zeros(len(lengths), np.uint32), crcs.to_numpy(zero_copy_only=False)
+            for k in range(int(lengths.max(initial=0))):
+                more = np.flatnonzero(lengths > k)
+                crc[more] = crc32_join(crc[more], crcs[at[more] + k], 4 * n[at[more] + k].astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("part"), batch.column("part_start"), batch.column("n_ids"), pa.array(crc.astype(np.int64))], ["doc", "part", "part_start", "n_ids", "ids_crc32"])
 
     chunks = spark.read.parquet(f"{path}/chunks").where("blob is not null").select("name", "n", "blob").mapInArrow(read, "name binary, crc long")
-    recipes = spark.read.parquet(f"{path}/recipes").select("doc", "part", "place", "part_start", "n_ids", "root", F.posexplode(F.arrays_zip("names", "counts")).alias("seq", "x"))
+    recipes = recipes_of(spark, path, "document").select("doc", "part", "place", "part_start", "n_ids", "root", F.posexplode(F.arrays_zip("names", "counts")).alias("seq", "x"))
     found = recipes.select("*", F.col("x.names").alias("name"), F.col("x.counts").alias("n")).drop("x").join(chunks, "name", "left")
     whole = found.groupBy("part", "place").agg(*[F.first(c).alias(c) for c in ("doc", "part_start", "n_ids", "root")], F.sort_array(F.collect_list(F.struct("seq", "name", "n", "crc"))).alias("c"))
     out = whole.mapInArrow(rebuilt, "doc long, part int, part_start long, n_ids long, ids_crc32 long")

@@ -6,6 +6,9 @@ each pair of its languages, trained on that family's documents alone, votes on t
 machines are fitted in parallel, one pair to a task, by averaged stochastic subgradient steps on the
 hinge loss, from a bounded sample of labelled rows (``sample`` a language, those with the smallest
 hash); everything else reads every row.
+
+A letter is a character of a Unicode category L.  All other characters, digits and marks of any
+script among them, count as blanks.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import OWN
+from tallyloom.llm.shared import OWN, settled
 
 #: Families of languages by ISO code.  A language named nowhere here is a family of its own.
 FAMILIES = {
@@ -37,6 +40,18 @@ def family_of(lang: str) -> str:
     return next((name for name, langs in FAMILIES.items() if lang in langs), f"only {lang}")
 
 
+_LETTERS: list = []
+
+
+def letters():
+    """bool[0x110000]: which code points are letters, by Unicode's categories; made once a process."""
+    import numpy as np
+
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
+    return _LETTERS[0]
+
+
 def features(text: str):
     """float32[DIM] of unit length, or None if the text holds no letter: hashed counts of 1 to 3 letters, square-rooted.
 
@@ -49,8 +64,7 @@ def features(text: str):
     seen = False
     for at in range(0, max(1, len(codes)), STEP):
         part = codes[max(0, at - 2) : at + STEP]
-        low = part < 128
-        letter = np.where(low, (part >= 97) & (part <= 122), (part >= 0xC0) & (part != 0xD7) & (part != 0xF7) & ~((part >= 0x2000) & (part <= 0x2BFF)) & ~((part >= 0x3000) & (part <= 0x303F)) & ~((part >= 0xFE00) & (part <= 0xFE0F)) & ~((part >= 0x1F000) & (part <= 0x1FAFF)))
+        letter = letters()[part]
         if not letter.any():
             continue
         seen = True
@@ -89,17 +103,30 @@ def fit_pair(x, y, seed: int = 0):
     return (mean / (EPOCHS - EPOCHS // 2) / -(-len(x) // batch)).astype(np.float32)
 
 
+def hash_bound(share: float) -> int:
+    """The 64-bit hash up to which about ``share`` of all hashes lie."""
+    return min((1 << 63) - 1, -(1 << 63) + int(min(1.0, share) * (1 << 64)))
+
+
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> dict:
     """The model, from rows with a text and a non-null language.
 
-    ``sample`` distinct texts of each language, those with the smallest hash, are used.  Texts without
-    a letter teach nothing.  With no usable row the model is empty and knows no language; with one
-    language it always answers that.
+    ``sample`` distinct texts of each language, those with the smallest hash, are used; repeated texts
+    count once.  Texts without a letter teach nothing.  With no usable row the model is empty and
+    knows no language; with one language it always answers that.
+
+    A language's number of texts gives the hash below which about twice the sample lies; only texts
+    below it are ranked, so no language, whatever its share of the rows, fills a task.
     """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("text is not null and lang is not null").withColumn("h", F.xxhash64("text"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()  # a row a language
+    within = F.lit(False)
+    for r in counts:
+        within = within | ((F.col("lang") == r.lang) & (F.col("h") <= hash_bound((2 * sample + 200) / max(1, r.n))))
     smallest = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    limits = rows.select("lang", "h").distinct().withColumn("k", smallest).where(F.col("k") <= sample).groupBy("lang").agg(F.max("h").alias("h")).collect()  # a row a language
-    langs = sorted(r.lang for r in limits)
+    near = rows.where(within).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    chosen = settled(near.withColumn("k", smallest).where(F.col("k") <= sample).drop("k"), "language-sample")
+    langs = sorted(r.lang for r in counts)
     families = sorted({family_of(x) for x in langs})
     pairs = [("family", *p) for p in combinations(families, 2)] + [(f, *p) for f in families for p in combinations([x for x in langs if family_of(x) == f], 2)]
     if not pairs:
@@ -120,10 +147,7 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
         pdf = pdf.sort_values(["lang", "h"])
         return pd.DataFrame({"pair": [key[0]], "w": [fit_pair(np.stack([np.frombuffer(v, np.float32) for v in pdf["v"]]), pdf["side"].to_numpy(np.float64)).tobytes()]})
 
-    within = F.lit(False)
-    for r in limits:
-        within = within | ((F.col("lang") == r.lang) & (F.col("h") <= r.h))
-    chosen = rows.where(within).select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, v binary").groupBy("lang", "h").agg(F.first("v").alias("v"))
+    chosen = chosen.select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, v binary")
     by_pair = chosen.join(labelled.sparkSession.createDataFrame(sides, "pair int, lang string, side int"), "lang")
     fitted = by_pair.groupBy("pair").applyInPandas(fit, "pair int, w binary").collect()  # a row a pair of languages
     return {"langs": langs, "families": families, "pairs": {pairs[r.pair]: bytes(r.w) for r in fitted}}
@@ -169,6 +193,11 @@ def predict(text: Column, model: dict) -> Column:
 
 
 def identify(docs: DataFrame, model: dict, *, text: str = "text", to: str = "lang_pred", score: str = "lang_score") -> DataFrame:
-    """``docs`` with the predicted language and its score (0 to 1); every row stays, columns of these names are replaced."""
+    """``docs`` with the predicted language and its score (0 to 1).
+
+    Every row stays, repeated ones and null ids too, and texts of any length are read whole; columns
+    of these names are replaced, all others kept.  Null and empty texts, and texts without a letter,
+    are ``und`` with score 0.  An empty table gives no rows.
+    """
     own = f"{OWN}lang"
     return docs.withColumn(own, predict(F.col(f"`{text}`"), model)).withColumn(to, F.col(f"{own}.lang")).withColumn(score, F.col(f"{own}.score")).drop(own)

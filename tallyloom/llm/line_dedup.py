@@ -59,13 +59,17 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", removed: str | None = None, passages: int | None = None) -> DataFrame:
     """``docs`` with later occurrences of repeated windows cut from their texts: of three lines, and with ``passages`` shorter ones.
 
-    All rows and columns stay; ``removed`` names a column to add that holds the numbers of the lines
-    cut (an empty array for an untouched text).  A text that loses all lines becomes empty; a null
-    text stays null.
+    All rows and columns stay; ``removed`` names a column to add, or to replace, that holds the numbers
+    of the lines cut (an empty array for an untouched text).  A text that loses all lines becomes
+    empty; a null text stays null.  Repeated rows share their outcome; null ids are one id, the first.
+    A text of any length is cut in one pass over its lines and the spans to cut.  An empty table
+    gives no rows.
     """
     cut = repeated_lines(docs, id_col=id_col, text=text, passages=passages).select(F.col("id").alias(f"{OWN}id"), F.col("h").alias(f"{OWN}h"), F.col("lines").alias(f"{OWN}lines"))
     joined = docs.join(cut, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{OWN}id")) & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col(f"{OWN}h")), "left")
-    kept = F.array_join(F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda _, i: ~F.array_contains(F.col(f"{OWN}lines"), i)), "\n")
+    # the lines between two cut ones are a slice each, so the work is that of the lines, however many are cut
+    kept = F.expr(f"array_join(flatten(zip_with(array_insert({OWN}lines, 1, -1), array_append({OWN}lines, size({OWN}l)), (a, b) -> slice({OWN}l, a + 2, b - a - 1))), '\\n')")
+    joined = joined.withColumn(f"{OWN}l", F.when(F.col(f"{OWN}lines").isNotNull(), F.split(F.col(f"`{text}`"), "\n")))
     new = F.when(F.col(f"{OWN}lines").isNull(), F.col(f"`{text}`")).otherwise(kept)
-    columns = [new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    columns = [new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != removed]
     return joined.select(*columns, *([F.coalesce(f"{OWN}lines", F.array().cast("array<int>")).alias(removed)] if removed else []))

@@ -2,7 +2,9 @@
 
 ``to_wav`` writes a text's UTF-8 bytes, zero-padded to a positive multiple of 64, as the samples of
 an 8-bit mono WAV file in a binary column.  ``wav_features`` reads such a column with the wave
-module: payload digests, and a fingerprint from the short-time Fourier transform.  The strongest
+module: payload digests, and a fingerprint from the short-time Fourier transform.  Frames overlap by
+half under a periodic Hann window, the first one reaching half a frame before the first sample, so
+the windows add up to 1 over every sample and none is left out.  The strongest
 local peaks of each frame pair with the later peaks of that frame and of the next frames; a pair's code is time, first
 frequency, second frequency and time step, and the codes in order of time are a fingerprint array.
 Both are map-side only: nothing is shuffled, and a text is a row's business alone.
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RATE, UNIT = 8000, 64
-FRAME, HOP, PEAKS, AHEAD = 512, 512, 3, 2
+FRAME, HOP, PEAKS, AHEAD = 512, 256, 3, 2
 #: Frames transformed at a time, so that a very long text needs no more memory than this many.
 FRAMES = 2048
 
@@ -45,19 +47,24 @@ def wav_payload(media: bytes) -> bytes:
         return f.readframes(f.getnframes())
 
 
+def frames_of(n_samples: int) -> int:
+    """Frames whose windows cover the samples: one starts half a frame before the first, the last one at a sample."""
+    return -(-n_samples // HOP) + 1
+
+
 def peaks(samples: bytes):
     """(frame, bin) of up to PEAKS largest local maxima of each frame's magnitude spectrum, frames in order, then bins."""
     import numpy as np
 
     x = np.frombuffer(samples, np.uint8)
-    n_frames = max(1, -(-len(x) // HOP))
-    window = np.hanning(FRAME)
+    n_frames = frames_of(len(x))
+    window, level = np.hanning(FRAME + 1)[:-1], np.round(x.mean()) if len(x) else 0.0
     for at in range(0, n_frames, FRAMES):
         n = min(FRAMES, n_frames - at)
-        piece = np.zeros((n - 1) * HOP + FRAME)
-        part = x[at * HOP : at * HOP + len(piece)]
-        piece[: len(part)] = part.astype(np.float64) - 128.0
-        piece[len(part) :] = 0.0
+        piece = np.full((n - 1) * HOP + FRAME, level)  # silence before the first sample and after the last
+        begin = at * HOP - HOP
+        part = x[max(0, begin) : begin + len(piece)]
+        piece[max(0, -begin) : max(0, -begin) + len(part)] = part
         frames = np.lib.stride_tricks.sliding_window_view(piece, FRAME)[::HOP]
         size = np.abs(np.fft.rfft((frames - frames.mean(axis=1, keepdims=True)) * window, axis=1))
         size = np.round(size, 3)  # so that a last bit of rounding decides no tie
@@ -89,7 +96,9 @@ def fingerprint(samples: bytes) -> list[int]:
 def to_wav(docs: DataFrame, *, text: str = "text", media: str = "media") -> DataFrame:
     """``docs`` and the binary column ``media``: each whole text as a WAV file.
 
-    Null and empty texts are 64 zero samples.  A column already named ``media`` is replaced.
+    Null and empty texts are 64 zero samples.  Every row stays, repeated ones too; equal texts give
+    equal bytes.  A column already named ``media`` is replaced, all others kept.  An empty table gives
+    no rows.  A WAV file holds at most 4 GiB; a longer text fails the job.
     """
 
     @F.pandas_udf("binary")
@@ -106,6 +115,8 @@ def wav_features(rows: DataFrame, *, media: str = "media") -> DataFrame:
 
     ``pairs`` is the fingerprint array; ``feature`` sums it up: frames, pairs and a digest of the
     codes.  A null media value has null features; bytes that are no 8-bit mono WAV fail the job.
+    Every row stays, repeated ones too; a column already named ``media_features`` is replaced, all
+    others kept.  An empty table gives no rows.
     """
     schema = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pairs array<long>"
 
@@ -127,7 +138,7 @@ def wav_features(rows: DataFrame, *, media: str = "media") -> DataFrame:
                 payload = wav_payload(value)
                 pairs = fingerprint(payload)
                 digest = hashlib.blake2b(np.array(pairs, "<i8").tobytes(), digest_size=12).hexdigest()
-                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(value), hashlib.sha256(value).hexdigest(), f"stft:{-(-len(payload) // HOP)}:{len(pairs)}:{digest}", pairs))
+                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(value), hashlib.sha256(value).hexdigest(), f"stft:{frames_of(len(payload))}:{len(pairs)}:{digest}", pairs))
             yield pd.DataFrame(out, columns=names)
 
     return rows.withColumn("media_features", read(F.col(f"`{media}`")))

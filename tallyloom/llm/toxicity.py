@@ -3,10 +3,11 @@
 The features of a whole text are rates: lexicon hits, hits near a word of the second person,
 capitals, punctuation and obfuscated words.  The lexicon is a short fixed list and, beside it, the
 words and word beginnings that the labelled rows show to be far more frequent in toxic texts.
-All is learned from a bounded sample of the labelled rows (``sample`` a class, by hash).  The trees
-see each half of it through the lexicon of the other half, so that they learn what the lexicon's
-hits are worth on texts it was not made from; where the sample is large, the calibration has a
-quarter of the rows to itself.
+All is learned from a bounded sample of the labelled rows (about ``sample`` a class, by hash) in two
+halves.  The trees see each half through the lexicon of the other half, so that they learn what the
+lexicon's hits are worth on texts it was not made from; the calibration sees each half's scores by
+trees of the other half alone, so that it learns what a score is worth on texts no tree was fitted
+to.  The trees and the lexicon in use are then those of all rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.shared import OWN, settled
@@ -30,8 +31,6 @@ SAMPLE, LEXICON = 6000, 2000
 #: Word beginnings that the lexicon may hold, by length.
 STEMS = (8, 7, 6, 5, 4, 3)
 TREES, DEPTH, NEAR = 20, 3, 5
-#: Rows of either class in a quarter of the sample from which on the calibration has one to itself.
-APART = 100
 THRESHOLD = 0.7
 NAMES = ("hit_rate", "hits", "top_weight", "weight_rate", "near_rate", "second_rate", "capital_rate", "bang_rate", "question_rate", "punctuation_rate", "digit_rate", "obfuscated_rate", "obfuscated_hits", "insult_rate", "insults", "length")
 
@@ -132,8 +131,10 @@ def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from the texts of ``docs`` that ``labels`` (id, 0 or 1) covers.
 
-    ``sample`` bounds the rows a class.  An id labelled twice is toxic if one label says so; null
-    labels and ids are skipped.  Without labelled texts every score is 0; with one class, that class.
+    About ``sample`` rows a class are used, all of a smaller class: those whose id's hash lies below
+    the class's share of the hashes, so nothing is ranked and no class fills a task.  An id labelled
+    twice is toxic if one label says so; null labels and ids are skipped, and of several texts of an
+    id one is used.  Without labelled texts every score is 0; with one class, that class.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -141,29 +142,41 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
 
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic")).where("id is not null and toxic is not null").groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     totals = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
-    hashed = marks.withColumn("h", F.crc32(F.concat(F.lit("t"), F.col("id").cast("string"))))
-    picked = hashed.withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "id"))).where(F.col("k") <= sample).withColumn("part", F.pmod("k", F.lit(4)))
-    found = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), "id")  # at most ``sample`` rows a class
-    rows = settled(found.dropDuplicates(["id"]).select("text", "toxic", "part"), "toxicity-sample")
-    sizes = {(r.part, r.toxic): r["count"] for r in rows.groupBy("part", "toxic").count().collect()}
+    hashed = lambda salt: F.crc32(F.concat(F.lit(salt), F.col("id").cast("string")))
+    share = F.when(F.col("toxic") == 1, sample / max(1, totals.get(1, 0))).otherwise(sample / max(1, totals.get(0, 0)))
+    picked = marks.where(hashed("t") < share * 2.0**32).withColumn("half", F.pmod(hashed("h"), F.lit(2)))
+    found = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(picked), "id")  # about ``sample`` rows a class
+    rows = settled(found.dropDuplicates(["id"]).select("text", "toxic", "half"), "toxicity-sample")
+    sizes = {(r.half, r.toxic): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
     seen = {y: sum(n for (_, t), n in sizes.items() if t == y) for y in (0, 1)}
     if not seen[0] or not seen[1]:
         return Model({}, constant=float(seen[1] > 0))
-    size_of = lambda parts: [sum(sizes.get((p, y), 0) for p in parts) for y in (1, 0)]
-    halves = ((0, 1), (2, 3))
-    across = [add_features(rows.where(F.col("part").isin(*a)), learn_lexicon(rows.where(F.col("part").isin(*b)), *size_of(b)), "text", "x") for a, b in (halves, halves[::-1])]
     weight = F.when(F.col("toxic") == 1, totals[1] / seen[1]).otherwise(totals[0] / seen[0])
-    measured = settled(across[0].unionByName(across[1]).select("part", F.col("toxic").cast("double").alias("toxic"), weight.alias("weight"), "x"), "toxicity-features")
+    half = lambda k: rows.where(F.col("half") == k)
+    across = [add_features(half(k), learn_lexicon(half(1 - k), sizes.get((1 - k, 1), 0), sizes.get((1 - k, 0), 0)), "text", "x") for k in (0, 1)]
+    measured = settled(across[0].unionByName(across[1]).select("half", F.col("toxic").cast("double").alias("toxic"), weight.alias("weight"), "x"), "toxicity-features")
     vectors = measured.withColumn("features", array_to_vector("x")).drop("x")
-    large = min(sizes.get((p, y), 0) for p in range(4) for y in (0, 1)) >= APART
-    trees = GBTClassifier(labelCol="toxic", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(vectors.where(F.col("part") != 3) if large else vectors)
-    scored = trees.transform(vectors.where(F.col("part") == 3) if large else vectors).select("toxic", "weight", vector_to_array("probability")[1].alias("raw"))
+    grow = GBTClassifier(labelCol="toxic", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+
+    def outside(k: int) -> DataFrame:
+        """Half ``k`` scored by trees of the other half."""
+        mine, others = vectors.where(F.col("half") == k), vectors.where(F.col("half") == 1 - k)
+        if not sizes.get((1 - k, 0)) or not sizes.get((1 - k, 1)):  # a half of one class has no trees; it says that class
+            return mine.select("toxic", "weight", F.lit(float(sizes.get((1 - k, 1), 0) > 0)).alias("raw"))
+        return grow.fit(others).transform(mine).select("toxic", "weight", vector_to_array("probability")[1].alias("raw"))
+
+    scored = settled(outside(0).unionByName(outside(1)), "toxicity-outside")
     calibration = IsotonicRegression(labelCol="toxic", weightCol="weight", featuresCol="raw", predictionCol="score").fit(scored)
-    return Model(learn_lexicon(rows, *size_of(range(4))), trees, calibration)
+    return Model(learn_lexicon(rows, seen[1], seen[0]), grow.fit(vectors), calibration)
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", to: str = "toxicity") -> DataFrame:
-    """``docs`` and the score ``to``, from 0 to 1.  Null texts score as empty ones; every row stays."""
+    """``docs`` and the score ``to``, from 0 to 1.
+
+    Null texts score as empty ones, texts of any length are read whole, equal texts score alike.  Every
+    row stays, repeated ones and null ids too; a column already named ``to`` is replaced, all others
+    kept.  An empty table gives no rows.
+    """
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     if model.trees is None:

@@ -18,6 +18,8 @@ BUSINESS_ZONE = "Asia/Almaty"
 #: The words that stand for true and false.
 TRUE_WORDS = ("true", "t", "yes", "y", "1", "да")
 FALSE_WORDS = ("false", "f", "no", "n", "0", "нет")
+#: What the names of returns, sales and till receipts hold.
+SIGN_WORDS = ("Возврат", "Реализация", "ЧекККМ")
 #: Fixed value: the day from which bonus sales are counted the new way.
 BONUS_START = "2022-10-12"
 #: Types that ``typed`` knows, with what a missing value becomes in a table without nulls.
@@ -136,9 +138,10 @@ def to_decimal(s: Column, scale: int = 2) -> Column:
 
 
 def to_bool(s: Column) -> Column:
-    """[SCL-17]"""
-    t = F.lower(F.trim(s.cast("string")))
-    return F.when(t.isin(*TRUE_WORDS), True).when(t.isin(*FALSE_WORDS), False)
+    """Truth words in text, and whether a number is not 0; anything else null [SCL-17]."""
+    kind, t = F.typeof(s), F.lower(F.trim(s.cast("string")))
+    number = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double") | F.startswith(kind, F.lit("decimal"))
+    return F.when(number, s.cast("string").try_cast("double") != 0).when(t.isin(*TRUE_WORDS), True).when(t.isin(*FALSE_WORDS), False)
 
 
 CASTS: dict[str, Callable[[Column], Column]] = {"int": to_int, "float": to_float, "str": lambda c: c.cast("string"), "decimal": to_decimal, "bool": to_bool, "date": lambda c: F.to_date(parse_date(c.cast("string")))}
@@ -149,11 +152,14 @@ def cast(c: Column, kind: str) -> Column:
     return CASTS.get(kind, lambda x: x)(c)
 
 
-def doc_sign(kind: Column, operation: Column) -> Column:
-    """-1 for returns, 1 for sales, by operation for the till, else 0 [SCL-21]."""
-    k, o = F.lower(F.coalesce(kind, F.lit(""))), F.lower(F.coalesce(operation, F.lit("")))
-    by_operation = F.when(F.contains(o, F.lit("return")), -1).when(F.contains(o, F.lit("sale")), 1).otherwise(0)
-    return F.when(F.contains(k, F.lit("return")), -1).when(F.contains(k, F.lit("sale")), 1).when(F.contains(k, F.lit("till")), by_operation).otherwise(0)
+def doc_sign(kind: Column, operation: Column, words: tuple[str, str, str] = SIGN_WORDS) -> Column:
+    """-1 for returns, 1 for sales, for the till -1 where the operation is a return and else 1, else 0 [SCL-21].
+
+    ``words`` are what the names of returns, sales and till receipts hold, letter by letter.
+    """
+    gone, sold, till = (F.lit(w) for w in words)
+    k, o = F.coalesce(kind.cast("string"), F.lit("")), F.coalesce(operation.cast("string"), F.lit(""))
+    return F.when(F.contains(k, gone), -1).when(F.contains(k, sold), 1).when(F.contains(k, till), F.when(F.contains(o, gone), -1).otherwise(1)).otherwise(0)
 
 
 def _zero(c: Column) -> Column:
@@ -206,6 +212,27 @@ def partition_start(key: Column) -> Column:
     return F.to_date(key.cast("string"), "yyyyMM")
 
 
+def months_of(year: int, current: int) -> list[int]:
+    """Months ``yyyymm`` of a year up to the current one; in January last year's December too [SCL-29]."""
+    months = [year * 100 + m for m in range(1, 13) if year * 100 + m <= current]
+    return [(year - 1) * 100 + 12, *months] if current == year * 100 + 1 else months
+
+
+def hot_months(now: Column) -> Column:
+    """Last month and this one as ``yyyymm`` numbers [SCL-29, STR-08]."""
+    return F.array(partition_key(F.add_months(now, -1)), partition_key(now))
+
+
+def ref_if(ref: Column, code: Column, wanted: int) -> Column:
+    """The reference where its type code is the wanted one, else null [FLT-13]."""
+    return F.when(code == wanted, ref)
+
+
+def safe_sum(c: Column) -> Column:
+    """Sum of what is a number: NaN counts as missing [AGG-13]."""
+    return F.sum(F.when(~F.isnan(c), c))
+
+
 def partition_end(key: Column) -> Column:
     """First day after it [SCL-28]."""
     return F.add_months(partition_start(key), 1)

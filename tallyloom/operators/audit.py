@@ -7,12 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.scalars import binary_to_int, checkpoint_field, deviation, safe_sum
+
 #: Severity of a reconciliation status.
 SEVERITY = {"PASS": 0, "WAIT": 1, "FAIL": 2}
 
 
-def stock_current(moves: DataFrame, keys: Sequence[str], kind: str, quantity: str, amount: str, at: str) -> DataFrame:
-    """Signed totals of active movements by key (kind 0 in, else out); keys of quantity 0 are left out [AGG-01, FLT-06]."""
+def stock_current(moves: DataFrame, keys: Sequence[str], kind: str, quantity: str, amount: str, at: str, active: Column | None = None) -> DataFrame:
+    """Signed totals by key (kind 0 in, else out) of movements that are ``active``; keys of quantity 0 are left out [AGG-01, FLT-06]."""
+    if active is not None:
+        moves = moves.where(active)
     sign = F.when(F.col(kind) == 0, F.lit(1)).otherwise(F.lit(-1))
     return moves.groupBy(*keys).agg(F.sum(sign * F.col(quantity)).alias("quantity"), F.sum(sign * F.col(amount)).alias("amount"), F.max(at).alias("last_at")).where("quantity <> 0")
 
@@ -54,11 +58,19 @@ def streaks(runs: DataFrame, by: Sequence[str], at: str, status: str) -> DataFra
 def vanished_lines(lines: DataFrame, headers: DataFrame, key: str, stamp: str, touched: str, now: Column, older: str = "INTERVAL 30 MINUTES", recent: str = "INTERVAL 60 MINUTES") -> DataFrame:
     """Lines that the last load of their document did not touch [WIN-07]."""
     side = headers.select(F.col(key).alias("__key"), F.col(touched).alias("__at"))
-    return lines.join(side, F.col(key) == F.col("__key")).where((F.col("__at") >= now - F.expr(recent)) & (F.col(stamp) <= F.col("__at") - F.expr(older))).select(*lines.columns)
+    return lines.join(side, F.col(key) == F.col("__key")).where(is_vanished(F.col(stamp), F.col("__at"), now, older, recent)).select(*lines.columns)
+
+
+def is_vanished(stamp: Column, touched: Column, now: Column, older: str, recent: str) -> Column:
+    """The document was loaded within ``recent``, and the line's stamp is ``older`` than that load."""
+    return (touched >= now - F.expr(recent)) & (stamp <= touched - F.expr(older))
 
 
 def outliers(daily: DataFrame, measure: str, times: float = 3.0) -> DataFrame:
-    """Rows beyond ``times`` the median of all [WIN-08]."""
+    """Rows beyond ``times`` the median of all [WIN-08].
+
+    Meant for a row a day or so: the exact median brings the distinct values of ``measure`` together in one task.
+    """
     return daily.join(daily.agg(F.median(measure).alias("middle"))).where(F.col(measure) > times * F.col("middle"))
 
 
@@ -81,6 +93,82 @@ def freshness(runs: DataFrame, target: str, at: str, ok: Column, now: Column) ->
     return runs.groupBy(target).agg(last.alias("last_ok")).withColumn("lag_s", F.round(F.unix_micros(now.cast("timestamp")) / 1e6 - F.unix_micros(F.col("last_ok").cast("timestamp")) / 1e6, 3))
 
 
+def lags(source: DataFrame, source_at: str, data: DataFrame, data_at: str, runs: DataFrame, run_at: str, now: Column) -> DataFrame:
+    """One row: seconds since the last signal, the last loaded row and the last run [CHK-18]."""
+    parts = [df.agg(F.round(F.unix_micros(now.cast("timestamp")) / 1e6 - F.unix_micros(F.max(at).cast("timestamp")) / 1e6, 3).alias(name)) for df, at, name in ((source, source_at, "source_s"), (data, data_at, "data_s"), (runs, run_at, "pipeline_s"))]
+    return parts[0].join(parts[1]).join(parts[2])  # one row each
+
+
+def backlog(signalled: DataFrame, warehouse: DataFrame, key: str, watermark: Column) -> DataFrame:
+    """(scanned, present, n): signals before and after the watermark, by whether the warehouse has their key [CHK-18]."""
+    had = warehouse.select(F.col(key).cast("string").alias("__uid")).distinct()
+    joined = signalled.join(had, F.col("uid") == F.col("__uid"), "left")
+    return joined.groupBy((F.col("updated_at") < watermark).alias("scanned"), F.col("__uid").isNotNull().alias("present")).agg(F.count("*").alias("n"))
+
+
+def run_windows(runs: DataFrame, checkpoint: str, begin: str = "from", end: str = "to") -> DataFrame:
+    """(hour, n_runs, least, largest, mean) of the minutes that runs' windows span, read from their checkpoint text [CHK-19]."""
+    at = {name: checkpoint_field(F.col(checkpoint), name).try_cast("timestamp") for name in (begin, end)}
+    minutes = (F.unix_micros(at[end]) - F.unix_micros(at[begin])) / 60e6
+    return runs.select(F.hour(at[end]).alias("hour"), minutes.alias("m")).where("m is not null").groupBy("hour").agg(F.count("*").alias("n_runs"), F.round(F.min("m"), 3).alias("least"), F.round(F.max("m"), 3).alias("largest"), F.round(F.avg("m"), 3).alias("mean"))
+
+
+def delta_classes(rows: DataFrame, early: str, later: str, bounds: Mapping[str, tuple[str, str]], other: str = "other") -> DataFrame:
+    """(class, n, least, largest) of the seconds between two times; a class spans [from, to) intervals, the first that fits counts [AGG-21]."""
+    seconds = F.unix_micros(F.col(later).cast("timestamp")) / 1e6 - F.unix_micros(F.col(early).cast("timestamp")) / 1e6
+    label = None
+    for name, (low, high) in bounds.items():
+        begin, end = (F.col(early).cast("timestamp") + F.expr(f"INTERVAL {x}") for x in (low, high))
+        fits = (F.col(later) >= begin) & (F.col(later) < end)
+        label = F.when(fits, name) if label is None else label.when(fits, name)
+    spans = rows.where(F.col(early).isNotNull() & F.col(later).isNotNull()).select((label.otherwise(other) if label is not None else F.lit(other)).alias("class"), F.round(seconds, 3).alias("s"))
+    return spans.groupBy("class").agg(F.count("*").alias("n"), F.min("s").alias("least"), F.max("s").alias("largest"))
+
+
+def type_audit(rows: DataFrame, by: str, doc: str, measures: Sequence[str], inactive: Column) -> DataFrame:
+    """By type: documents, rows, sums without NaN, how many NaN, and the share of inactive rows in per cent [CHK-15, AGG-13]."""
+    sums = [a for m in measures for a in (safe_sum(F.col(m)).alias(f"sum_{m}"), F.count_if(F.isnan(m)).alias(f"nan_{m}"))]
+    return rows.groupBy(by).agg(F.count_distinct(doc).alias("n_docs"), F.count("*").alias("n_rows"), *sums, F.round(F.count_if(inactive) * 100.0 / F.count("*"), 4).alias("inactive_pct"))
+
+
+def null_by_parent(rows: DataFrame, by: str, bad: Column, parent_bad: Column) -> DataFrame:
+    """By type: rows with a missing value, and how many of them and of the others have a parent that lacks its own [CHK-16]."""
+    return rows.groupBy(by).agg(F.count_if(bad).alias("n_bad"), F.count_if(bad & parent_bad).alias("n_bad_parent_bad"), F.count_if(~bad & parent_bad).alias("n_fine_parent_bad"), F.count("*").alias("n_rows"))
+
+
+def inversions(rows: DataFrame, early: str, later: str, now: Column, by: Sequence[str] = ()) -> DataFrame:
+    """How many rows have a later time before the earlier one, or a time yet to come [CHK-17]."""
+    return rows.groupBy(*by).agg(F.count_if(F.col(later) < F.col(early)).alias("n_inverted"), F.count_if((F.col(early) > now) | (F.col(later) > now)).alias("n_future"))
+
+
+def light_check(a: DataFrame, b: DataFrame, month: Column, measures: Mapping[str, str]) -> DataFrame:
+    """(month, sums and rows of both sides, deviation in per cent of the worst) of two sides of a register [AGG-25]."""
+    one = lambda df, side: df.groupBy(month.alias(f"m_{side}")).agg(F.count("*").alias(f"n_{side}"), *[F.sum(F.col(c).cast("decimal(18,4)")).alias(f"{n}_{side}") for n, c in measures.items()])
+    both = one(a, "a").join(one(b, "b"), F.col("m_a").eqNullSafe(F.col("m_b")), "full_outer")
+    filled = both.select(F.coalesce("m_a", "m_b").alias("month"), *[F.coalesce(F.col(f"{n}_{s}"), F.lit(0)).alias(f"{n}_{s}") for n in ("n", *measures) for s in "ab"])
+    return filled.withColumn("worst_pct", F.greatest(*[deviation(F.col(f"{n}_a"), F.col(f"{n}_b")) for n in ("n", *measures)], F.lit(0.0)))
+
+
+def snapshot_changes(costs: DataFrame, keys: Sequence[str], day: str, cost: str, days: Sequence[int] = (7, 30), significant: float = 1.0) -> DataFrame:
+    """Each key's cost of a day beside its snapshot before and those of so many days ago, with the change in per cent where it is significant [WIN-11].
+
+    Keys include the type of cost, so types are never mixed.  A snapshot that is missing gives null.
+    """
+    w = Window.partitionBy(*keys).orderBy(day)
+    out = costs.select(*keys, day, cost).withColumn("previous", F.lag(cost).over(w))
+    for n in days:
+        side = costs.select(*[F.col(k).alias(f"__{k}") for k in keys], F.date_add(day, n).alias("__day"), F.col(cost).alias(f"ago_{n}"))
+        out = out.join(side, [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col(day) == F.col("__day")], "left").drop(*[f"__{k}" for k in keys], "__day")
+    change = lambda c: F.round((F.col(cost) - F.col(c)) / F.nullif(F.abs(F.col(c)), F.lit(0)) * 100, 4)
+    return out.select("*", *[F.when(F.abs(change(c)) >= significant, change(c)).alias(f"{c}_pct") for c in ("previous", *[f"ago_{n}" for n in days])])
+
+
+def types_of(rows: DataFrame, code: str) -> DataFrame:
+    """The catalogue of document types in a register: distinct codes, from four bytes or numbers [AGG-30]."""
+    value = binary_to_int(F.col(code)) if dict(rows.dtypes)[code] == "binary" else F.col(code).cast("long")
+    return rows.select(value.alias("code")).distinct()
+
+
 def version_histogram(rows: DataFrame, doc: str, at: str, cap: int = 5) -> DataFrame:
     """Documents by number of rows, capped, and number of versions [AGG-18, AGG-19]."""
     per = rows.groupBy(doc).agg(F.least(F.count("*"), F.lit(cap)).alias("n_rows"), F.count_distinct(at).alias("n_versions"))

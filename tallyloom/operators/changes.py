@@ -42,6 +42,11 @@ def window_bounds(watermark: Column, now: Column) -> tuple[Column, Column]:
     return watermark - F.expr(OVERLAP), now - F.expr(SKEW)
 
 
+def clamp(signalled: DataFrame, end: Column, upper: Column | None) -> tuple[DataFrame, Column]:
+    """Signals before the upper bound, and the window's end, which it holds back too [FLT-11]."""
+    return (signalled, end) if upper is None else (signalled.where(F.col("updated_at") < upper), F.least(end, upper))
+
+
 def late(signalled: DataFrame, warehouse: DataFrame, key: str, since: Column) -> DataFrame:
     """Signals since ``since`` whose key the warehouse lacks; they stay until they arrive or age out [STR-02, JOI-11]."""
     return signalled.where(F.col("updated_at") >= since).join(warehouse.select(F.col(key).cast("string").alias("uid")).distinct(), "uid", "left_anti")

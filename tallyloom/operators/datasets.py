@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.scalars import norm_key, pack_refs
+from tallyloom.functions.scalars import binary_auto, fix_year, hex_dump, norm_key, pack_refs, parse_date
 from tallyloom.specs import ColumnSpec, SourceSpec, TargetSpec, UnionSpec
 
 JOIN_KINDS = {"inner": "inner", "left": "left", "left outer": "left", "right": "right", "right outer": "right"}
@@ -33,6 +33,33 @@ def in_window(df: DataFrame, column: str, start, end) -> DataFrame:
     return df.where((F.col(column) >= F.lit(start).cast("timestamp")) & (F.col(column) < F.lit(end).cast("timestamp")))
 
 
+def posted(df: DataFrame, flag: str = "is_posted", deleted: str = "is_deleted") -> DataFrame:
+    """Documents that are posted and not marked as deleted [FLT-05]."""
+    return df.where(F.coalesce(F.col(flag), F.lit(False)) & ~F.coalesce(F.col(deleted), F.lit(False)))
+
+
+def inside_parts(headers: DataFrame, lines: DataFrame, key: str, part: Column, parts: Sequence[int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Headers and lines of documents whose own partition is one of ``parts``, and one row with how many headers were dropped [FLT-09].
+
+    A window that includes both ends also brings the document of the next month's first midnight.
+    """
+    inside = F.coalesce(part.isin(*parts), F.lit(False))
+    kept = headers.where(inside)
+    return kept, lines.join(kept.select(key).distinct(), key, "left_semi"), headers.agg(F.count_if(~inside).alias("dropped"))
+
+
+def first_window(rows: DataFrame, key: str, window: str) -> DataFrame:
+    """Each document in the first of the adjacent windows that brought it [FLT-10]; rows without a key stay."""
+    first = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(window).alias("__first"))
+    return rows.join(first, F.col(key) == F.col("__key"), "left").where(F.col("__first").isNull() | (F.col(window) == F.col("__first"))).select(*rows.columns)
+
+
+def map_legacy(df: DataFrame, mapping: Mapping[str, str], transforms: Mapping[str, Callable[[Column], Column]] = {}) -> DataFrame:
+    """Transforms by old name, renames, and the mapped columns that exist [PRJ-05]."""
+    changed = df.withColumns({c: f(F.col(c)) for c, f in transforms.items() if c in df.columns})
+    return changed.select(*[F.col(c).alias(n) for c, n in mapping.items() if c in df.columns])
+
+
 def with_keys(df: DataFrame, column: str, keys: DataFrame, key: str, uuid: bool = False) -> DataFrame:
     """Rows whose key is listed; with ``uuid`` both sides are normalised and invalid keys match nothing [FLT-03, SRC-02]."""
     wanted = keys.select((norm_key(F.col(key)) if uuid else F.col(key)).alias("__key")).where("__key is not null").distinct()
@@ -86,15 +113,18 @@ def read_union(tables: Mapping[str, DataFrame], spec: UnionSpec, start=None, end
     return reduce(DataFrame.unionByName, frames)
 
 
-def register_with_documents(register: DataFrame, headers: Mapping[int, DataFrame], lines: Mapping[int, DataFrame], *, key: str, kind: str, line: str, fields: Sequence[str], role: str = "dimension") -> DataFrame:
+def register_with_documents(register: DataFrame, headers: Mapping[int, DataFrame] | DataFrame, lines: Mapping[int, DataFrame] | DataFrame, *, key: str, kind: str, line: str, fields: Sequence[str], role: str = "dimension") -> DataFrame:
     """Movements with what their documents add [PIP-03, JOI-02, JOI-03, PRJ-04].
 
     A document table belongs to one type code.  Tables are united under their code, so that any number
-    of types is one join for headers and one for lines.  For each field the movement's own column wins,
+    of types is one join for headers and one for lines; documents of several types that lie in one table
+    may come as that table, with the column ``kind``.  For each field the movement's own column wins,
     then the headers' (for a dimension) or the lines' (for a fact), then null.
     """
 
-    def united(parts: Mapping[int, DataFrame], ids: Sequence[str], prefix: str) -> DataFrame | None:
+    def united(parts: Mapping[int, DataFrame] | DataFrame, ids: Sequence[str], prefix: str) -> DataFrame | None:
+        if isinstance(parts, DataFrame):
+            return parts.select(*[F.col(c).alias(f"{prefix}{'kind' if c == kind else c}") for c in (kind, *ids, *[f for f in fields if f in parts.columns])])
         wanted = [f for f in fields if any(f in df.columns for df in parts.values())]
         frames = [df.select(F.lit(code).alias(f"{prefix}kind"), *[F.col(c).alias(f"{prefix}{c}") for c in ids], *[F.col(c).alias(f"{prefix}{c}") for c in wanted if c in df.columns]) for code, df in parts.items()]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
@@ -159,6 +189,34 @@ def apply_transforms(df: DataFrame, columns: Sequence[ColumnSpec], computed: Map
     return out if stamp is None else out.withColumn("etl_loaded_at", stamp)
 
 
+def frame_of(df: DataFrame, transforms: Sequence[ColumnSpec], refs: Mapping[str, str], target: TargetSpec, order: Sequence[str], key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``extract`` without repeated rows, one row with their number, and the keys that came back [PIP-04]."""
+    rows = extract(df, transforms, refs, target, order).distinct()
+    return rows, rows.agg(F.count("*").alias("n")), df.select(key).where(F.col(key).isNotNull()).distinct()
+
+
+def auto_transforms(df: DataFrame, configured: Sequence[str] = (), periods: Sequence[str] = ("period", "date")) -> DataFrame:
+    """Binary columns decoded by their length, and text or time columns named like a period brought out of the shifted calendar [PIP-05, PIP-06].
+
+    Columns with a configured transform are left to it.
+    """
+    changes = {}
+    for c, kind in df.dtypes:
+        if c in configured:
+            continue
+        if kind == "binary":
+            changes[c] = binary_auto(F.col(c))
+        elif any(p in c.lower() for p in periods) and kind in ("string", "timestamp"):
+            changes[c] = parse_date(F.col(c)) if kind == "string" else fix_year(F.col(c))
+    return df.withColumns(changes) if changes else df
+
+
+def with_raw(df: DataFrame, to: str = "raw_hex") -> DataFrame:
+    """The row's binary columns as hex in one JSON text, beside what is decoded of them [PIP-06]."""
+    binary = [c for c, kind in df.dtypes if kind == "binary"]
+    return df.withColumn(to, hex_dump({c: F.col(c) for c in binary}) if binary else F.lit("{}"))
+
+
 def over_frame(df: DataFrame, sql: str, name: str = "frame") -> DataFrame:
     """User SQL over the frame, named as ``{frame}`` in the text [AGG-04, UDF-03]."""
     return df.sparkSession.sql(sql, **{name: df})

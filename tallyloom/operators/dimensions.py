@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalars import is_complete
 from tallyloom.operators.audit import next_batch
 from tallyloom.operators.keys import numbered
-from tallyloom.operators.merge import update_if_different
+from tallyloom.operators.merge import insert_missing, last_by, stamp, update_if_different
 
 
 def incremental(dim: DataFrame, source: DataFrame, key: str, columns: Sequence[str], mark: str, register: bool = True) -> DataFrame:
@@ -21,15 +21,44 @@ def incremental(dim: DataFrame, source: DataFrame, key: str, columns: Sequence[s
     """
     since = dim.agg(F.max(mark).alias("__since"))
     changed = source.join(F.broadcast(since)).where(F.col("__since").isNull() | (F.col(mark) > F.col("__since"))).drop("__since")
-    updated = update_if_different(dim, changed, key, columns, "is_stub", F.col(mark), mark).drop("touched")
+    updated = update_if_different(dim, changed, key, columns, "is_stub", F.col(mark), mark, order=[mark, *columns]).drop("touched")
     if not register:
         return updated
-    fresh = changed.where(F.col(key).isNotNull()).dropDuplicates([key]).join(dim, key, "left_anti")
+    fresh = last_by(changed.where(F.col(key).isNotNull()), [key], [mark, *columns]).join(dim, key, "left_anti")
     top = dim.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__top"))
-    new = numbered(fresh, [key], "__n").join(F.broadcast(top))
+    new = fresh.join(numbered(fresh, [key], "__n"), key).join(F.broadcast(top))
     return updated.unionByName(new.select(key, *columns, mark, (F.col("__n") + F.col("__top")).cast(dim.schema["id"].dataType).alias("id"), F.lit(False).alias("is_stub")), allowMissingColumns=True)
 
 
+def full_load(dim: DataFrame, source: DataFrame, key: str, columns: Sequence[str], empty: str) -> DataFrame:
+    """An empty dimension filled with every reference of the source but the empty one, ids in key order [SRC-14]; one that has rows stays."""
+    if not dim.isEmpty():
+        return dim
+    rows = source.where(F.col(key).isNotNull() & (F.col(key) != empty))
+    first = last_by(rows, [key], [*columns])
+    new = first.join(numbered(first, [key], "__n"), key)
+    return insert_missing(dim, new.select(key, *columns, F.col("__n").cast(dim.schema["id"].dataType).alias("id"), F.lit(False).alias("is_stub")), [key])
+
+
+def by_mode(dim: DataFrame, source: DataFrame, mode: str, key: str, columns: Sequence[str], mark: str, empty: str = "", snapshot: Column | None = None) -> DataFrame:
+    """The dimension after a load of one mode; an unknown mode raises ValueError [STR-18].
+
+    ``initial`` fills an empty dimension; ``reload`` takes every row of known keys; ``register`` and
+    ``update`` take what changed since the mark, with new keys and without.  With ``snapshot`` all
+    rows then bear that one mark, else each bears its source row's [STR-19].
+    """
+    modes = {
+        "initial": lambda: full_load(dim, source, key, columns, empty),
+        "reload": lambda: update_if_different(dim, source, key, columns, "is_stub", F.col(mark), mark, order=[mark, *columns]).drop("touched"),
+        "register": lambda: incremental(dim, source, key, columns, mark),
+        "update": lambda: incremental(dim, source, key, columns, mark, register=False),
+    }
+    if mode not in modes:
+        raise ValueError(f"unknown dimension mode {mode}")
+    out = modes[mode]()
+    return out if snapshot is None else stamp(out, mark, snapshot)
+
+
 def stub_pass(dim: DataFrame, source: DataFrame, key: str, columns: Sequence[str], shown: Sequence[str], cursor: int, n: int) -> DataFrame:
     """The dimension after ``n`` stubs on from the cursor were looked up at the source [STR-17, STR-22, SRC-15, SCL-39].
 

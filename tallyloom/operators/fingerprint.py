@@ -48,16 +48,10 @@ def differing_parts(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of several rows, and how many [AGG-09]."""
+    """Keys of several rows, and how many [AGG-09, AGG-10]; Spark groups them by hashed partitions of bounded size."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def duplicates_by_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    """The same groups found bucket by bucket; equal to ``duplicates`` [AGG-10]."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
-    return df.withColumn("__b", bucket).groupBy("__b", *keys).agg(F.count("*").alias("n")).where("n > 1").drop("__b")
-
-
 def open_partition_diff(source: DataFrame, target: DataFrame, by: Sequence[str]) -> DataFrame:
     """(keys, state): documents new at the source, changed, or gone from it, from document fingerprints [CHK-06]."""
     left, right = (df.select(*[F.col(k).alias(f"{s}_{k}") for k in by], F.col("n").alias(f"{s}_n"), F.col("checksum").alias(f"{s}_c")) for s, df in (("a", source), ("b", target)))

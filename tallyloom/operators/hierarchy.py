@@ -7,25 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 64
+from tallyloom.staged import staged
 
 
 def ancestors(nodes: DataFrame, id_col: str = "guid", parent: str = "parent_guid", name: str = "name") -> DataFrame:
     """(id, ancestor, ancestor_name, distance), the node itself left out [JOI-19].
 
-    A recursive query walks up one level a step; a walk that returns to a node it has seen ends there,
-    as does one that reaches ``MAX_DEPTH``.
+    Walks double: who is known up to 2**k steps up, and where those steps end, gives all up to
+    2**(k + 1), so rounds grow with the logarithm of the depth.  A node has one parent, so each round
+    adds as many rows as it finds ancestors.  A walk that returns to a node it has seen ends there,
+    as the nearer distance is kept.  Nodes without an id, and parents that are not there, are no ancestors.
     """
-    spark = nodes.sparkSession
-    return spark.sql(
-        f"""with recursive up(id, ancestor, next, distance, path) max recursion level {MAX_DEPTH} as (
-              select {id_col}, {id_col}, {parent}, 0, array({id_col}) from {{nodes}}
-              union all
-              select u.id, n.{id_col}, n.{parent}, u.distance + 1, array_append(u.path, n.{id_col})
-              from up u join {{nodes}} n on u.next = n.{id_col} where u.distance < {MAX_DEPTH - 1} and not array_contains(u.path, n.{id_col}))
-            select u.id, u.ancestor, n.{name} as ancestor_name, u.distance from up u join {{nodes}} n on u.ancestor = n.{id_col} where u.distance > 0""",
-        nodes=nodes,
-    )
+    known = nodes.select(F.col(id_col).alias("id"), F.col(parent).alias("ancestor")).where("id is not null")
+    there = known.select(F.col("id").alias("ancestor"))
+    pairs = staged(known.join(there, "ancestor", "left_semi").where("id <> ancestor").select("id", "ancestor", F.lit(1).cast("long").alias("distance")), "ancestors")
+    reach = 1
+    while not (ends := pairs.where(F.col("distance") == reach)).isEmpty():
+        on = pairs.select(F.col("id").alias("__from"), F.col("ancestor").alias("__to"), F.col("distance").alias("__more"))
+        further = ends.join(on, F.col("ancestor") == F.col("__from")).where("id <> __to").select("id", F.col("__to").alias("ancestor"), (F.col("distance") + F.col("__more")).alias("distance"))
+        pairs = staged(pairs.unionByName(further).groupBy("id", "ancestor").agg(F.min("distance").alias("distance")), "ancestors")
+        reach *= 2
+    names = nodes.select(F.col(id_col).alias("ancestor"), F.col(name).alias("ancestor_name"))
+    return pairs.join(names, "ancestor").select("id", "ancestor", "ancestor_name", "distance")
 
 
 def flatten(nodes: DataFrame, levels: int, id_col: str = "guid", parent: str = "parent_guid", name: str = "name") -> DataFrame:
@@ -44,12 +47,9 @@ def missing_parents(nodes: DataFrame, id_col: str = "guid", parent: str = "paren
 
 def complete(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame], id_col: str = "guid", parent: str = "parent_guid") -> DataFrame:
     """Fetches missing parents level by level until none is missing or none is found [KEY-08]."""
-    for _ in range(MAX_DEPTH):
-        lacking = missing_parents(nodes, id_col, parent)
-        if lacking.isEmpty():
-            break
-        found = fetch(lacking).select(*nodes.columns)
+    while not (lacking := staged(missing_parents(nodes, id_col, parent), "lacking")).isEmpty():
+        found = staged(fetch(lacking).select(*nodes.columns).dropDuplicates([id_col]).join(nodes, id_col, "left_anti").select(*nodes.columns), "fetched")
         if found.isEmpty():
             break
-        nodes = nodes.unionByName(found.join(nodes, id_col, "left_anti").select(*nodes.columns)).checkpoint()
+        nodes = staged(nodes.unionByName(found), "completed")
     return nodes

@@ -7,18 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.staged import staged
 
-def numbered(df: DataFrame, order: Sequence[str], to: str) -> DataFrame:
-    """``df`` with ``to`` = 1, 2, 3, ... in a total order, without one task holding all rows.
 
-    Rows are range-partitioned and counted by partition; the counts, a row a partition, give each
-    partition its offset.
+def numbered(keys: DataFrame, order: Sequence[str], to: str) -> DataFrame:
+    """Distinct keys (the columns of ``order``) and ``to`` = 1, 2, 3, ... in their order, without one task holding all.
+
+    The keys are range-partitioned, sorted and written once, each with its part and its place there;
+    numbers and offsets both come from what was written, so they belong to the same parts.
     """
-    parted = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    local = parted.withColumn("__k", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    laid = keys.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())  # part << 33 | place
+    laid = staged(laid, "numbered").select("*", F.shiftright("__at", 33).alias("__part"), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__k"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = local.groupBy("__part").agg(F.count("*").alias("__n")).withColumn("__before", before).drop("__n")
-    return local.join(offsets, "__part").withColumn(to, F.col("__k") + F.col("__before")).drop("__part", "__k", "__before")
+    offsets = laid.groupBy("__part").agg(F.count("*").alias("__n")).withColumn("__before", before).drop("__n")  # a row a part
+    return laid.join(F.broadcast(offsets), "__part").select(*order, (F.col("__k") + F.col("__before") + 1).alias(to))
 
 
 def issue_ids(registry: DataFrame, wanted: DataFrame, keys: Sequence[str], id_col: str = "id", stub: Column | None = None) -> DataFrame:
@@ -74,10 +76,10 @@ def fill_links(lines: DataFrame, headers: DataFrame, on: dict[str, str], fk: str
 def repair_links(lines: DataFrame, headers: DataFrame, on: dict[str, str], fk: str, recent: Column, id_col: str = "id") -> DataFrame:
     """Links that differ from the header's id, where the header was touched lately, are set right [JOI-06].
 
-    ``recent`` is a condition over the header's columns.
+    ``recent`` is a condition over the header's columns; of several headers of a key the largest id counts.
     """
     marked = headers.select("*", recent.alias("__recent"))
-    side = marked.select(*[F.col(k).alias(f"__{k}") for k in on.values()], F.col(id_col).alias("__id"), "__recent")
+    side = marked.groupBy(*[F.col(k).alias(f"__{k}") for k in on.values()]).agg(F.max(id_col).alias("__id"), F.max_by("__recent", id_col).alias("__recent"))
     joined = lines.join(side, [F.col(c) == F.col(f"__{k}") for c, k in on.items()], "left")
     wrong = F.coalesce((F.col(fk) != F.col("__id")) & F.col("__recent"), F.lit(False))
     return joined.withColumn(fk, F.when(wrong, F.col("__id")).otherwise(F.col(fk))).select(*lines.columns)

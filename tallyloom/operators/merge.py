@@ -13,9 +13,9 @@ def _equal(a: str, b: str, keys: Sequence[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
 
-def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key in a total order [WIN-03, WIN-04]."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: bool = False) -> DataFrame:
+    """The last row, or the first, of each key in a total order [WIN-03, WIN-04]."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() if first else F.col(c).desc_nulls_last() for c in order])
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
@@ -58,18 +58,20 @@ def delete_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return target.join(source.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns).unionByName(source.select(*target.columns))
 
 
-def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Only keys that the target lacks are added [SNK-09]."""
-    fresh = source.dropDuplicates(list(keys)).join(target, list(keys), "left_anti")
+def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """Only keys that the target lacks are added, of several rows of a key the first in ``order`` [SNK-09]."""
+    rows = source if order is None else last_by(source, keys, order, first=True)
+    fresh = rows.dropDuplicates(list(keys)).join(target, list(keys), "left_anti")
     return target.unionByName(fresh.select(*[c for c in target.columns if c in fresh.columns]), allowMissingColumns=True)
 
 
-def update_if_different(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str], stub: str | None = None, mark: Column | None = None, mark_column: str | None = None) -> DataFrame:
+def update_if_different(target: DataFrame, source: DataFrame, key: str, columns: Sequence[str], stub: str | None = None, mark: Column | None = None, mark_column: str | None = None, order: Sequence[str] | None = None) -> DataFrame:
     """The target with changed rows updated, and ``touched``; a touched row is no stub any more [SNK-10, SNK-11, STR-22].
 
-    ``mark`` may be a column of the source or a literal; where it is null the old mark stays.
+    ``mark`` may be a column of the source or a literal; where it is null the old mark stays.  Of several
+    source rows of a key the last in ``order`` counts.
     """
-    side = source.dropDuplicates([key]).select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in columns], *([mark.alias("__mark")] if mark is not None else []))
+    side = (source.dropDuplicates([key]) if order is None else last_by(source, [key], order)).select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in columns], *([mark.alias("__mark")] if mark is not None else []))
     joined = target.join(side, F.col(key) == F.col("__key"), "left")
     differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns], F.lit(False))
     if stub:
@@ -112,11 +114,15 @@ def roll_back_incomplete(headers: DataFrame, lines: DataFrame, run_headers: Data
     return headers.join(bare, key, "left_anti").select(*headers.columns), lines.join(run_headers.select(key), key, "left_anti").select(*lines.columns)
 
 
-def load(target: DataFrame, source: DataFrame, mode: str, keys: Sequence[str] = (), where: str | None = None) -> DataFrame:
-    """By mode; an unknown mode, or a mode that lacks its keys, raises ValueError [SNK-06]."""
+def load(target: DataFrame, source: DataFrame, mode: str, keys: Sequence[str] = (), where: str | None = None, order: Sequence[str] | None = None) -> DataFrame:
+    """By mode; an unknown mode, or a mode that lacks its keys, raises ValueError [SNK-06].
+
+    Of several source rows of a key an upsert takes the last in ``order``; without one, that is one of
+    those that are largest in all their columns in turn, so a rerun takes the same.
+    """
     if mode in ("upsert", "delete_insert") and not keys:
         raise ValueError(f"{mode} needs keys")
-    modes = {"insert": lambda: append(target, source), "upsert": lambda: upsert(target, source, keys), "replace": lambda: replace(target, source, where), "delete_insert": lambda: delete_insert(target, source, keys)}
+    modes = {"insert": lambda: append(target, source), "upsert": lambda: upsert(target, source, keys, order or [c for c in source.columns if c not in keys] or list(keys)), "replace": lambda: replace(target, source, where), "delete_insert": lambda: delete_insert(target, source, keys)}
     if mode not in modes:
         raise ValueError(f"unknown load mode {mode}")
     return modes[mode]()

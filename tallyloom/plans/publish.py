@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.scalars import content_hash
 from tallyloom.operators.checks import extra_checks
-from tallyloom.operators.fingerprint import add, compare, fingerprint
+from tallyloom.operators.fingerprint import add, compare, differing_parts, fingerprint
 from tallyloom.specs import PublishSpec
 
 
@@ -59,25 +59,27 @@ class Store:
     def versions(self) -> dict[int, str]:
         """Partition -> folder; one row a partition."""
         pointers = self._pointers()
-        return {} if pointers is None else {r.part: r.folder for r in pointers.groupBy("part").agg(F.max_by("folder", "version").alias("folder")).collect() if r.folder}
+        return {} if pointers is None else {r.part: r.folder for r in pointers.groupBy("part").agg(F.max_by("folder", F.struct("version", "folder")).alias("folder")).collect() if r.folder}
 
     def current(self, parts: Sequence[int] | None = None) -> DataFrame | None:
+        """Current rows of the listed partitions, or of all, in one scan; files hold the partition column too."""
         folders = [f for p, f in sorted(self.versions().items()) if parts is None or p in parts]
         return self.spark.read.parquet(*[f"{self.path}/{f}" for f in folders]) if folders else None
 
     def publish(self, rows: DataFrame, parts: Sequence[int], want: DataFrame | None = None) -> dict[int, str]:
         """Replaces the listed partitions by ``rows``; returns what became of each [SNK-07, STR-12, STR-13, STR-14].
 
-        ``want`` is the fingerprint the rows must have, by partition.  Rows outside the list, failed
-        checks or a wrong fingerprint raise ValueError and change nothing.  A partition that already
-        equals its rows is skipped; an empty one follows the policy.
+        ``want`` is the fingerprint the rows must have, by partition.  Rows outside the list or without
+        a partition, failed checks or a wrong fingerprint raise ValueError and change nothing.  A
+        partition that already equals its rows is skipped; an empty one follows the policy.  Of two
+        publishers that took one version the larger folder name is current, for every reader alike.
         """
         spec, by = self.spec, [self.spec.partition]
-        outside = rows.where(~F.col(spec.partition).isin(*parts)).select(spec.partition).distinct().take(3)
+        outside = rows.where(F.col(spec.partition).isNull() | ~F.col(spec.partition).isin(*parts)).select(spec.partition).distinct().take(3)
         if outside:
             raise ValueError(f"rows of other partitions: {[r[0] for r in outside]}")
         folder = f"data/{uuid.uuid4().hex}"
-        rows.write.partitionBy(spec.partition).option("compression", "zstd").parquet(f"{self.path}/{folder}/all")
+        rows.withColumn("__part", F.col(spec.partition)).hint("rebalance", "__part").write.partitionBy("__part").option("compression", "zstd").parquet(f"{self.path}/{folder}/all")
         staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{folder}/all").select(*rows.columns)
         have = fingerprint(staged, spec.checksum, spec.measures, by)
         if want is not None and (bad := compare(want, have, by).take(5)):
@@ -89,36 +91,69 @@ class Store:
         filled = {r[0] for r in have.select(spec.partition).collect()}
         if (empty := sorted(set(parts) - filled)) and spec.on_empty == "fail":
             raise ValueError(f"partitions would be empty: {empty}")
-        old = self.current_with_part()
+        old = self.current(parts)
         same: set[int] = set()
         if old is not None:
-            old = old.where(F.col(spec.partition).isin(*parts))
             differing = {r[0] for r in compare(fingerprint(old, spec.checksum, spec.measures, by), have, by).select(spec.partition).distinct().collect()}
             same = filled - differing
         done = {p: "unchanged" if p in same else "published" if p in filled else "cleared" for p in parts}
         pointers = self._pointers()
         version = 1 + ((pointers.agg(F.max("version")).first()[0] or 0) if pointers is not None else 0)
-        moved = [(p, version, f"{folder}/all/{spec.partition}={p}" if s == "published" else "") for p, s in done.items() if s != "unchanged"]
+        moved = [(p, version, f"{folder}/all/__part={p}" if s == "published" else "") for p, s in done.items() if s != "unchanged"]
         if moved:
             self.spark.createDataFrame(moved, "part int, version long, folder string").coalesce(1).write.mode("append").parquet(f"{self.path}/pointers")
         return done
 
     def apply(self, changed: DataFrame, fresh: DataFrame) -> dict[int, str]:
         """A document patch of every partition it touches, checked against its additive fingerprint [STR-11]."""
-        old = self.current_with_part()
+        old = self.current()
         if old is None:
             raise ValueError("nothing is published yet; rebuild first")
         parts = [r[0] for r in touched_partitions(old, changed, fresh, self.spec).collect()]
-        mine = old.where(F.col(self.spec.partition).isin(*parts))
+        mine = self.current(parts)
+        mine = old.limit(0) if mine is None else mine
         by = [self.spec.partition]
         kept = mine.join(changed.select(*self.spec.document).distinct(), list(self.spec.document), "left_anti")
         want = add([fingerprint(kept, self.spec.checksum, self.spec.measures, by), fingerprint(fresh, self.spec.checksum, self.spec.measures, by)], by)
         return self.publish(patch(mine, changed, fresh, self.spec.document), parts, want)
 
     def current_with_part(self) -> DataFrame | None:
-        """Current rows with the partition column, which the folders' names hold."""
-        frames = [self.spark.read.parquet(f"{self.path}/{f}").withColumn(self.spec.partition, F.lit(p)) for p, f in sorted(self.versions().items())]
-        return reduce(DataFrame.unionByName, frames) if frames else None
+        return self.current()
+
+    def sweep(self, source: DataFrame) -> DataFrame:
+        """(partition) of those that differ between the source and what is published [STR-09]."""
+        spec, by = self.spec, [self.spec.partition]
+        have = self.current()
+        have = source.limit(0) if have is None else have
+        return differing_parts(fingerprint(source, spec.checksum, spec.measures, by), fingerprint(have, spec.checksum, spec.measures, by), by)
+
+
+def promote(shadow: Store, live: Store) -> str:
+    """Makes a shadow table's content the live one's, and proves it by the hash of all columns [SNK-19].
+
+    Other columns or another partition raise ValueError, and so does a live table that holds anything
+    else; one that holds the same is left alone, so a promotion may be repeated after a failure.
+    """
+    rows, have = shadow.current(), live.current()
+    if rows is None:
+        raise ValueError("the shadow table is empty")
+    if shadow.spec.partition != live.spec.partition or shadow.spec.business_key != live.spec.business_key:
+        raise ValueError("the tables differ in partition or key")
+    if have is not None:
+        if sorted(have.dtypes) != sorted(rows.dtypes):
+            raise ValueError("the tables differ in their columns")
+        if content(have) != content(rows):
+            raise ValueError("the live table holds other rows")
+        return "unchanged"
+    live.publish(rows, sorted(shadow.versions()))
+    if content(live.current()) != content(rows):
+        raise ValueError("the live table differs after promotion")
+    return "promoted"
+
+
+def content(rows: DataFrame) -> tuple:
+    """(rows, sum of the hashes of all columns in the order of their names)."""
+    return tuple(rows.agg(F.count("*"), F.sum(content_hash(*[F.col(c) for c in sorted(rows.columns)]))).first())
 
 
 def due_mode(last_sweep: Column, last_hot: Column, now: Column) -> Column:

@@ -17,6 +17,7 @@ from tallyloom.operators import audit, changes, checks, datasets, dimensions, fi
 from tallyloom.plans import publish
 from tallyloom.sources import relational
 from tallyloom.specs import ColumnSpec, PublishSpec, SourceSpec, TargetSpec, UnionSpec
+from tallyloom.staged import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -108,8 +109,8 @@ def union_members(spark, sf):
 def register(spark, sf, role):
     li, orders = lines(spark, sf), t(spark, sf, "orders").withColumn("kind", kind())
     moves = li.join(orders.select("o_orderkey", "kind"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("doc"), "kind", F.col("l_linenumber").alias("line_no"), F.when(F.col("l_quantity") > 25, F.col("l_quantity")).alias("quantity"))
-    headers = {c: orders.where(f"kind = {c}").select(F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("partner"), F.lit(-1.0).alias("quantity")) for c in (476, 415)}
-    sides = {c: li.join(orders.where(f"kind = {c}").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("line_no"), F.lit(0.5).alias("quantity"), F.col("l_partkey").alias("item")) for c in (476, 254)}
+    headers = orders.where("kind in (476, 415)").select("kind", F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("partner"), F.lit(-1.0).alias("quantity"))
+    sides = li.join(orders.where("kind in (476, 254)").select("o_orderkey", "kind"), F.col("l_orderkey") == F.col("o_orderkey")).select("kind", F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("line_no"), F.lit(0.5).alias("quantity"), F.col("l_partkey").alias("item"))
     return datasets.register_with_documents(moves, headers, sides, key="doc", kind="kind", line="line_no", fields=("quantity", "partner", "item"), role=role)
 
 
@@ -174,7 +175,7 @@ def moves(spark, sf):
 
 @query(f"with {_LI} select * from (select l_suppkey, l_partkey, sum((case when l_linestatus = 'O' then 1 else -1 end) * l_quantity::decimal(18,4))::double as quantity, sum((case when l_linestatus = 'O' then 1 else -1 end) * l_extendedprice::decimal(18,4))::double as amount, max(l_shipdate) as last_at from li group by 1, 2) where quantity <> 0")
 def stock_current(spark, sf):
-    """AGG-01, FLT-06"""
+    """AGG-01: every movement is active"""
     return double(audit.stock_current(moves(spark, sf), ["l_suppkey", "l_partkey"], "kind", "quantity", "amount", "l_shipdate"), "quantity", "amount")
 
 
@@ -257,7 +258,7 @@ def stable_ids(spark, sf):
     """KEY-01: old ids stay, new keys go on from the largest"""
     orders = t(spark, sf, "orders").withColumn("guid", uuid_of(F.col("o_custkey")))
     empty = spark.createDataFrame([], "guid string, id bigint, is_stub boolean")
-    first = keys.issue_ids(empty, orders.where(F.col("o_orderdate") < CUT), ["guid"], stub=F.lit(False)).persist()
+    first = staged(keys.issue_ids(empty, orders.where(F.col("o_orderdate") < CUT), ["guid"], stub=F.lit(False)), "registry")
     return keys.issue_ids(first, orders.where(F.col("o_orderdate") >= CUT), ["guid"], stub=F.lit(True))
 
 
@@ -266,7 +267,7 @@ def document_ids(spark, sf):
     """KEY-02: ids by key and type; a stub is cleared when its document comes"""
     docs = t(spark, sf, "orders").withColumn("kind", kind())
     empty = spark.createDataFrame([], "o_orderkey bigint, kind int, id bigint, is_stub boolean")
-    registry = keys.issue_ids(empty, docs, ["o_orderkey", "kind"], stub=F.lit(True)).persist()
+    registry = keys.issue_ids(empty, docs, ["o_orderkey", "kind"], stub=F.lit(True))
     return keys.clear_stubs(registry, docs.where(F.col("o_orderdate") < CUT), ["o_orderkey", "kind"])
 
 
@@ -289,7 +290,7 @@ def hierarchy_flatten(spark, sf):
 
 @query("select distinct n_name as guid from nation join customer on c_nationkey = n_nationkey where n_nationkey % 2 = 0")
 def missing_parents(spark, sf):
-    """JOI-18, KEY-08"""
+    """JOI-18"""
     nation = t(spark, sf, "nation")
     c = t(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_name").alias("guid"), F.col("n_name").alias("parent_guid"))
     return hierarchy.missing_parents(c.union(nation.where("n_nationkey % 2 = 1").select("n_name", F.lit(None).cast("string"))))
@@ -339,7 +340,7 @@ def replace_where(spark, sf):
 
 @query(f"with {_BASE}, {_FRESH} select * from base union all select o_orderkey, null, null, o_totalprice from fresh where o_orderkey not in (select o_orderkey from base)")
 def insert_missing(spark, sf):
-    """SNK-09, SRC-14, SNK-01"""
+    """SNK-09"""
     return merge.insert_missing(base(spark, sf), fresh(spark, sf).drop("o_orderdate"), ["o_orderkey"])
 
 
@@ -493,12 +494,12 @@ def affected_partitions_all_orders(spark, sf):
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
 def duplicate_keys(spark, sf):
     """AGG-09, AGG-10"""
-    return fingerprint.duplicates_by_bucket(t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 16)
+    return fingerprint.duplicates(t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("select l_orderkey, l_linenumber, l_partkey from lineitem anti join (select * from orders where o_orderstatus <> 'P') on l_orderkey = o_orderkey")
 def orphan_lines(spark, sf):
-    """JOI-13, JOI-22, CHK-07"""
+    """JOI-13, JOI-22"""
     return checks.orphans(t(spark, sf, "lineitem"), t(spark, sf, "orders").where("o_orderstatus <> 'P'"), {"l_orderkey": "o_orderkey"}).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
@@ -517,7 +518,7 @@ def mismatched_link(spark, sf):
 
 @query("select 'zero:l_discount' as \"check\", count(*) filter (where coalesce(l_discount = 0, true)) as bad from lineitem union all select 'empty:l_returnflag', count(*) filter (where coalesce(trim(l_returnflag) = '', true)) from lineitem union all select 'unique:l_orderkey,l_linenumber', coalesce(sum(n - 1), 0)::bigint from (select count(*) as n from lineitem group by l_orderkey, l_linenumber having count(*) > 1)")
 def extra_checks(spark, sf):
-    """CHK-01, CHK-02, SCL-37"""
+    """CHK-02, SCL-37"""
     return checks.extra_checks(t(spark, sf, "lineitem"), [["l_orderkey", "l_linenumber"]], ["l_discount"], ["l_returnflag"])
 
 
@@ -526,7 +527,7 @@ _DAY = "select o_orderdate::date as day, sum(o_totalprice::decimal(18,4))::doubl
 
 @query(f"with a as ({_DAY.format('o_orderkey % 17 <> 0')}), b as ({_DAY.format('o_orderkey % 19 <> 0')}) select coalesce(a.day, b.day) as day, coalesce(a.amount, 0) as amount_a, coalesce(b.amount, 0) as amount_b, coalesce(a.n, 0) as n_a, coalesce(b.n, 0) as n_b, round(coalesce(a.amount, 0) - coalesce(b.amount, 0), 2) as amount_delta, coalesce(a.n, 0) - coalesce(b.n, 0) as n_delta, case when coalesce(a.day, b.day) >= date '2000-12-01' then 'PARTIAL' when abs(coalesce(a.amount, 0) - coalesce(b.amount, 0)) > 0.01 or abs(coalesce(a.n, 0) - coalesce(b.n, 0)) > 0.01 then 'DIFF' else 'OK' end as verdict from a full join b on a.day = b.day")
 def daily_recon(spark, sf):
-    """CHK-13, CHK-14, JOI-15, AGG-25"""
+    """CHK-13, JOI-15"""
     per = lambda cond: t(spark, sf, "orders").where(cond).groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum(money("o_totalprice")).cast("double").alias("amount"), F.count("*").alias("n"))
     out = checks.reconcile(per("o_orderkey % 17 <> 0"), per("o_orderkey % 19 <> 0"), ["day"], ["amount", "n"], open_key=F.col("day") >= F.lit("2000-12-01").cast("date"))
     return out.withColumn("amount_delta", F.round("amount_delta", 2))
@@ -571,7 +572,7 @@ def status_grid(spark, sf):
 
 @query("select event_type, count(*) as n, count(*) filter (where json_extract(props, '$.k') is null) as no_k, count(*) filter (where value = 0) as zero, count(*) filter (where ts > timestamp '2024-01-25') as in_future from events group by 1")
 def null_profile(spark, sf):
-    """CHK-16, CHK-17, AGG-12, CHK-15"""
+    """AGG-12"""
     return checks.counts_by(t(spark, sf, "events"), {"n": F.lit(True), "no_k": F.get_json_object("props", "$.k").isNull(), "zero": F.col("value") == 0, "in_future": F.col("ts") > "2024-01-25"}, ["event_type"])
 
 
@@ -596,7 +597,7 @@ _RUNS = "runs as (select event_id as run_id, user_id, ts, case when event_type =
 
 @query(f"with {_RUNS}, g as (select user_id, round(epoch_us(ts) / 1e6 - epoch_us(lag(ts) over (partition by user_id order by ts, run_id)) / 1e6, 3) as gap from runs) select user_id, count(gap) as n_gaps, min(gap) as least, round(median(gap), 3) as middle, max(gap) as largest, count(*) filter (where gap > 36000) as n_over from g group by 1")
 def run_gaps(spark, sf):
-    """WIN-05, AGG-20, CHK-19"""
+    """WIN-05, AGG-20"""
     return audit.run_gaps(runs(spark, sf), "ts", ["user_id"], 36000)
 
 
@@ -608,7 +609,7 @@ def failure_streaks(spark, sf):
 
 @query(f"with {_RUNS} select user_id, max(ts) filter (where status = 'success') as last_ok, round(epoch_us(timestamp '2024-02-01') / 1e6 - epoch_us(max(ts) filter (where status = 'success')) / 1e6, 3) as lag_s from runs group by 1")
 def freshness_rollup(spark, sf):
-    """AGG-28, CHK-18"""
+    """AGG-28"""
     return audit.freshness(runs(spark, sf), "user_id", "ts", F.col("status") == "success", F.lit("2024-02-01").cast("timestamp"))
 
 
@@ -620,7 +621,7 @@ def hour_histogram(spark, sf):
 
 @query("select len(list_filter([10.0, 50.0, 100.0], lambda x: x <= value))::int as bucket, count(*) as n from events where value is not null group by 1")
 def span_buckets(spark, sf):
-    """SCL-25, AGG-18, AGG-21"""
+    """SCL-25, AGG-18"""
     return t(spark, sf, "events").where("value is not null").groupBy(S.width_bucket(F.col("value"), [10, 50, 100]).alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -653,7 +654,7 @@ def cyclic_queue(spark, sf):
 
 @query("select event_id, user_id, ts from events order by ts desc, event_id limit 100")
 def latest_changes(spark, sf):
-    """SRT-02, SRT-03, SRT-05"""
+    """SRT-02, SRT-03"""
     return t(spark, sf, "events").orderBy(F.desc("ts"), "event_id").limit(100).select("event_id", "user_id", "ts")
 
 
@@ -670,7 +671,7 @@ def domain_rollup(spark, sf):
 def money_measures(spark, sf):
     """SCL-20, SCL-21, SCL-22, SCL-23"""
     names = F.when(F.col("event_type") == "error", "return").when(F.col("event_type") == "purchase", "sale").otherwise(F.col("event_type"))
-    sign = S.doc_sign(names, F.lit(""))
+    sign = S.doc_sign(names, F.lit(""), ("return", "sale", "till"))
     return t(spark, sf, "events").select("event_id", S.sales_with_vat(F.col("value"), F.lit(0)).alias("with_vat"), sign.alias("sign"), S.signed(F.col("value"), sign).alias("used"), S.ratio(F.lit(100), F.col("value")).alias("unit_price"))
 
 
@@ -737,7 +738,7 @@ def dim_frames(spark, sf):
 
 @query(f"with {_DIM}, changed as (select * from src where marked_at > (select max(marked_at) from dim)) select d.guid, id, coalesce(c.name, d.name) as name, is_stub and c.guid is null as is_stub, coalesce(c.marked_at, d.marked_at) as marked_at from dim d left join changed c on c.guid = d.guid union all select guid, row_number() over (order by guid) + (select max(id) from dim), name, false, marked_at from changed where guid not in (select guid from dim)")
 def dimension_incremental(spark, sf):
-    """STR-16, STR-18, STR-19, SNK-13"""
+    """STR-16"""
     dim, source = dim_frames(spark, sf)
     return dimensions.incremental(dim, source, "guid", ["name"], "marked_at")
 
@@ -759,7 +760,7 @@ def due_modes(spark, sf):
 
 @query("with d as (select o_orderkey from orders where o_orderkey % 50 <> 0) select 'orders' as name, (select count(*) from orders) as n_source, (select count(*) from d) as n_target, 0::bigint as n_duplicate, case when (select count(*) from orders) = (select count(*) from d) then 'OK' else 'DIFF' end as verdict union all select 'lineitem', count(*), count(*), (select coalesce(sum(n - 1), 0)::bigint from (select count(*) as n from lineitem group by l_orderkey, l_linenumber having count(*) > 1)), 'DUPLICATES' from lineitem")
 def summary_report(spark, sf):
-    """CHK-11, CHK-12"""
+    """CHK-12"""
     orders, li = t(spark, sf, "orders"), t(spark, sf, "lineitem")
     return checks.summary({"orders": (orders, orders.where("o_orderkey % 50 <> 0"), ["o_orderkey"]), "lineitem": (li, li, ["l_orderkey", "l_linenumber"])})
 
@@ -769,3 +770,6 @@ def vanished_references(spark, sf):
     """SET-07, SET-05"""
     c = t(spark, sf, "customer").select("c_custkey")
     return dimensions.vanished(c.where("c_custkey % 6 <> 1"), c.where("c_custkey % 3 <> 0"), "c_custkey")
+
+
+from tallyloom import load_queries  # noqa: E402, F401 - registers its queries here

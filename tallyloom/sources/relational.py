@@ -12,10 +12,19 @@ from tallyloom.operators.datasets import in_period, with_keys
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, *, split_on: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 8, fetch: int = 10_000, **options) -> DataFrame:
-    """A query of a relational source, fetched in batches, in ``parts`` ranges of ``split_on`` at once [SRC-01, SRC-06]."""
+    """A query of a relational source, fetched in batches, in ``parts`` ranges of ``split_on`` at once [SRC-01, SRC-06].
+
+    Without ``bounds`` the source is asked for the least and the largest ``split_on`` first; with no row
+    there is nothing to split.
+    """
     reader = spark.read.format("jdbc").options(url=url, fetchsize=fetch, **options)
-    if split_on is None or bounds is None:
+    if split_on is None:
         return reader.option("query", query).load()
+    if bounds is None:
+        low, high = reader.option("query", f"select min({split_on}) as low, max({split_on}) as high from ({query}) q").load().first()
+        if low is None:
+            return reader.option("query", query).load()
+        bounds = (low, high)
     return reader.options(dbtable=f"({query}) q", partitionColumn=split_on, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=parts).load()
 
 
@@ -26,9 +35,12 @@ def scan(df: DataFrame, *, period: str | None = None, start=None, end=None, key:
 
 
 def scan_key(df: DataFrame, key: str, value: str | None, uuid: bool = True) -> DataFrame:
-    """One key's rows; an invalid key has none [SRC-03]."""
+    """One key's rows; an invalid key has none [SRC-03].
+
+    Only the asked key is brought to canonical form, so the comparison with the column reaches the scan.
+    """
     wanted = norm_key(F.lit(value).cast("string")) if uuid else F.lit(value)
-    return df.where((norm_key(F.col(key)) if uuid else F.col(key)) == wanted)
+    return df.where(F.col(key) == wanted)
 
 
 def document(headers: DataFrame, details: Mapping[str, DataFrame], key: str, value) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -59,5 +71,6 @@ def live_products(feed: DataFrame, guid: str, names: Mapping[str, str], at: str)
 
 
 def of_day(df: DataFrame, at: str, day: str) -> DataFrame:
-    """A day's rows in order of time [SRC-17]."""
-    return df.where(F.to_date(at) == F.lit(day).cast("date")).orderBy(at)
+    """A day's rows in order of time [SRC-17]; the bounds reach the scan."""
+    begin = F.lit(day).cast("timestamp")
+    return df.where((F.col(at) >= begin) & (F.col(at) < begin + F.expr("INTERVAL 1 DAY"))).orderBy(at)

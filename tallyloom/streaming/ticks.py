@@ -4,38 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.operators.changes import classify
+from tallyloom.operators.changes import LOOK_BACK, classify, window_bounds
 from tallyloom.plans.publish import Store
+from tallyloom.staged import staged
 
 
-def tick(store: Store, key: str, fetch: Callable[[DataFrame], DataFrame], exists: Callable[[DataFrame], DataFrame], pending_path: str) -> Callable[[DataFrame, int], None]:
+def in_bounds(signals: DataFrame, watermark: Column, now: Column, at: str = "updated_at") -> DataFrame:
+    """Signals of the next window: from the watermark less an overlap to now less the clock's skew [STR-01]."""
+    start, end = window_bounds(watermark, now)
+    return signals.where((F.col(at) >= start) & (F.col(at) < end))
+
+
+def classified(asked: DataFrame, source_keys: DataFrame, had: DataFrame, now: Column, look_back: str = LOOK_BACK) -> DataFrame:
+    """(uid, since, state) of the keys of a tick [STR-02, STR-03].
+
+    ``asked`` has each key with the time of its oldest open signal.  A key is ready if it is at the
+    source; deleted if only the warehouse has it; pending if neither has, and aged when it has been so
+    for longer than the look-back: then it is asked for no more.  Empty keys are invalid.
+    """
+    states = classify(asked, source_keys).join(asked.select("uid", "since"), "uid")
+    states = states.join(had.select(F.col("uid").alias("__had")).distinct(), F.col("uid") == F.col("__had"), "left")
+    waiting = F.when(F.col("__had").isNotNull(), "deleted").when(F.col("since") < now - F.expr(look_back), "aged").otherwise("pending")
+    return states.select("uid", "since", F.when(F.col("state") == "pending", waiting).otherwise(F.col("state")).alias("state"))
+
+
+def tick(store: Store, key: str, fetch: Callable[[DataFrame], DataFrame], exists: Callable[[DataFrame], DataFrame], pending_path: str, now: Callable[[], Column] = F.current_timestamp, look_back: str = LOOK_BACK) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function [STR-01, STR-02, STR-03, STR-05, SNK-17].
 
     A batch's keys and those still pending are classified: what is at the source is fetched and
     patched in, what the warehouse has but the source lost is deleted, and what neither has stays
-    pending in a table of its own, to be asked for again.  Running a batch twice gives the same rows.
+    pending in a table of its own, to be asked for again until it ages out.  The first batch over an
+    empty store publishes what it fetches.  Running a batch twice gives the same rows.  Of the store
+    only keys and partitions are read to classify; rows are read of touched partitions alone.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        signalled = batch.select(F.col("uid").cast("string").alias("uid"))
+        spark, time = batch.sparkSession, now()
+        at = F.col("updated_at") if "updated_at" in batch.columns else time
+        signalled = batch.select(F.col("uid").cast("string").alias("uid"), at.cast("timestamp").alias("since"))
         if batch_id > 0:
-            signalled = signalled.union(spark.read.parquet(f"{pending_path}/{batch_id - 1}").select("uid"))
-        signalled = signalled.where("uid is not null").distinct()
-        states = classify(signalled, exists(signalled))
+            signalled = signalled.union(spark.read.parquet(f"{pending_path}/{batch_id - 1}").select("uid", "since"))
+        signalled = signalled.where("uid is not null").groupBy("uid").agg(F.min("since").alias("since"))
+        old = store.current()
+        had = spark.createDataFrame([], "uid string") if old is None else old.select(F.col(key).cast("string").alias("uid"))
+        states = staged(classified(signalled, exists(signalled), had, time, look_back), "tick")
+        states.where("state = 'pending'").select("uid", "since").write.mode("overwrite").parquet(f"{pending_path}/{batch_id}")
         ready = states.where("state = 'ready'").select("uid")
-        old = store.current_with_part()
-        had = old.select(F.col(key).cast("string").alias("uid")).distinct()
-        waiting = states.where("state = 'pending'").select("uid")
-        gone = waiting.join(had, "uid", "left_semi")
-        waiting.join(had, "uid", "left_anti").write.mode("overwrite").parquet(f"{pending_path}/{batch_id}")
-        changed = ready.union(gone).select(F.col("uid").cast(old.schema[key].dataType).alias(key))
+        if old is None:
+            fresh = staged(fetch(ready), "tick-rows")
+            if parts := sorted(r[0] for r in fresh.select(store.spec.partition).distinct().collect()):
+                store.publish(fresh, parts)
+            return
+        changed = states.where("state in ('ready', 'deleted')").select(F.col("uid").cast(old.schema[key].dataType).alias(key))
         if not changed.isEmpty():
-            store.apply(changed, fetch(ready))
+            store.apply(changed, staged(fetch(ready), "tick-rows"))
 
     return run
 

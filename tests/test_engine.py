@@ -87,11 +87,6 @@ def test_classify(spark):
     assert rows(changes.classify(c, c.where("uid = '1'"), c.where("uid = '3'")), "uid", "state") == [("", "invalid"), ("1", "ready"), ("2", "pending"), ("3", "deleted")]
 
 
-def test_buckets_equal_plain(spark):
-    df = spark.range(100).selectExpr("id % 7 as a", "id % 3 as b")
-    assert rows(fingerprint.duplicates(df, ["a", "b"]), "a", "b", "n") == rows(fingerprint.duplicates_by_bucket(df, ["a", "b"], 5), "a", "b", "n")
-
-
 def test_schema_changes(spark):
     a, b = spark.createDataFrame([], "a int, b bigint, c string").schema, spark.createDataFrame([], "a bigint, b int, d string").schema
     assert checks.schema_changes(a, b) == [("a", "widened"), ("b", "narrowed"), ("c", "extra"), ("d", "missing")]

@@ -5,71 +5,98 @@ holds one sorted array of projections a line.  A query opens a window centred on
 on every line; a vector collides once for each line on which it lies in the window.  Vectors that
 collide on at least ``THRESHOLD`` of the lines are candidates and are verified by their exact cosine in
 double precision.  Windows widen by virtual rehashing, radius by radius from the same sorted arrays,
-until a query's k-th best of the block lies well inside the radius, or its windows span the block.
+up to the distance of the k-th best that is known, which shrinks as candidates are verified.
 
-Blocks of vectors meet blocks of queries: both have bounded sizes, every pair of blocks is one group,
-and a group emits at most k rows a query, which are then reduced to the k best of all blocks.
+Vectors lie in cells around pivots (a bounded sample, ``PIVOTS`` a length at most; every vector is
+indexed), and a cell in blocks of bounded size.  A query first searches its own cell.  The k-th best
+found there bounds its windows, and it is sent on only to cells whose range of projections those
+windows meet on enough lines.  So a block's arrays are sorted once for the first search and once more
+for each ``QUERIES`` queries that are sent to it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.shared import settled
 
-PROJECTIONS, THRESHOLD, SEED = 64, 0.77, 20240229
-#: Half-width of a window at radius 1, and the radii; then the windows span the block.
-WIDTH, RADII = 1.0, tuple(0.3 * 1.2**i for i in range(14))
-#: A block is done when a query's k-th best is at most the radius over this away, in unit vectors' distance.
-SURE = 1.3
-#: Vectors and queries in a block, on average.
-BLOCK, QUERIES = 8000, 1000
+PROJECTIONS, THRESHOLD, SEED = 256, 0.66, 20240229
+#: Radii of a search, as shares of the distance of the k-th best known at its start.
+RADII = (0.8, 0.87, 0.94, 1.0)
+#: Vectors of a block that every query is compared with at first, so that a distance is known.
+FIRST = 64
+#: Vectors in a block and queries sent to it at a time, on average; pivots of one length of vectors at most.
+BLOCK, QUERIES, PIVOTS = 8000, 4000, 2048
 
 
 def lines(dim: int):
+    """Random lines, a column each."""
     import numpy as np
 
     return np.random.default_rng([SEED, dim]).standard_normal((dim, PROJECTIONS))
 
 
-def search_block(ids, vectors, query_ids, queries, k: int):
-    """(query id, vector id, cosine) of up to k candidates a query, never the query's own id."""
+def least() -> int:
+    return -int(-THRESHOLD * PROJECTIONS // 1)
+
+
+def best_of(ids, scores, k: int):
+    """The k best, nearest first, ties to the smaller id."""
     import numpy as np
 
-    n, least, sides = len(ids), int(np.ceil(THRESHOLD * PROJECTIONS)), range(PROJECTIONS)
-    a = lines(vectors.shape[1])
-    length, q_length = np.sqrt((vectors * vectors).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
-    place, centre = (vectors / length[:, None]) @ a, (queries / q_length[:, None]) @ a
-    order = [np.argsort(place[:, j], kind="stable").astype(np.int32) for j in sides]
-    reach = WIDTH * np.array([0.0, *RADII, np.inf])
-    low, high = (np.stack([np.searchsorted(place[order[j], j], centre[:, j, None] + s * reach, side) for j in sides], axis=2).tolist() for s, side in ((-1, "left"), (1, "right")))
-    rows = []
+    order = np.lexsort((ids, -scores))[:k]
+    return ids[order], scores[order]
+
+
+def search_block(ids, vectors, query_ids, queries, bounds, k: int):
+    """(query id, vector id, cosine) of up to k candidates a query, never the query's own id, and how many were verified.
+
+    ``vectors`` and ``queries`` are of unit length; ``bounds`` are distances beyond which nothing is wanted.
+    """
+    import numpy as np
+
+    n, a = len(ids), lines(vectors.shape[1])
+    place, centre = vectors @ a, queries @ a
+    order = np.argsort(place, axis=0, kind="stable").T.astype(np.int32)
+    place = np.take_along_axis(place.T, order, axis=1)
+    rows, verified = [], 0
     for i, qid in enumerate(query_ids):
         hits, seen = np.zeros(n, np.int64), np.zeros(n, bool)
         found_ids, found = np.zeros(0, np.int64), np.zeros(0)
         wanted = min(k, n - int((ids == qid).any()))
-        lo = hi = low[i][0]
-        for r, radius in enumerate((*RADII, np.inf), 1):
-            new_lo, new_hi = low[i][r], high[i][r]
-            wider = [order[j][b:e] for j in sides for b, e in ((new_lo[j], lo[j]), (hi[j], new_hi[j])) if e > b]  # only what the window gains
-            lo, hi = new_lo, new_hi
-            if not wider:
-                continue
-            hits += np.bincount(np.concatenate(wider), minlength=n)
-            new = np.flatnonzero((hits >= least) & ~seen)
-            if not len(new):
-                continue
+
+        def verify(new):
+            nonlocal found_ids, found, verified
             seen[new] = True
-            cosine = (vectors[new] * queries[i]).sum(axis=1) / (length[new] * q_length[i])
-            own = ids[new] != qid
-            found_ids, found = np.concatenate([found_ids, ids[new][own]]), np.concatenate([found, cosine[own]])
-            best = np.lexsort((found_ids, -found))[:k]
-            found_ids, found = found_ids[best], found[best]
-            if len(found) >= wanted and (not wanted or 2 - 2 * found[-1] <= (radius / SURE) ** 2):
+            verified += len(new)
+            cosine, own = (vectors[new] * queries[i]).sum(axis=1), ids[new] != qid
+            found_ids, found = best_of(np.concatenate([found_ids, ids[new][own]]), np.concatenate([found, cosine[own]]), k)
+
+        def reach() -> float:
+            return min(bounds[i], np.sqrt(max(0.0, 2 - 2 * found[-1])) if wanted and len(found) >= wanted else np.inf)
+
+        verify(np.arange(min(n, FIRST)))
+        start, low, high = reach(), None, None
+        for radius in [start * share for share in RADII] if np.isfinite(start) else [np.inf]:
+            new_low = [int(np.searchsorted(place[j], centre[i, j] - radius)) for j in range(PROJECTIONS)]
+            new_high = [int(np.searchsorted(place[j], centre[i, j] + radius, "right")) for j in range(PROJECTIONS)]
+            if low is None:
+                gained = [order[j, b:e] for j, (b, e) in enumerate(zip(new_low, new_high))]
+            else:
+                gained = [order[j, b:e] for j in range(PROJECTIONS) for b, e in ((new_low[j], low[j]), (high[j], new_high[j])) if e > b]  # only what the windows gain
+            low, high = new_low, new_high
+            if gained:
+                hits += np.bincount(np.concatenate(gained), minlength=n)
+            new = np.flatnonzero((hits >= least()) & ~seen)
+            if len(new):
+                verify(new)
+            if radius >= reach():
                 break
-        rows += [(qid, int(x), float(s)) for x, s in zip(found_ids, found)]
-    return rows
+        rows += [(int(qid), int(x), float(s)) for x, s in zip(found_ids, found)]
+    return rows, verified
 
 
 def usable(vectors: DataFrame, vector: str) -> DataFrame:
@@ -79,35 +106,136 @@ def usable(vectors: DataFrame, vector: str) -> DataFrame:
     return vectors.where(v.isNotNull() & (F.size(v) > 0)).where(fine & F.exists(v, lambda x: x != 0))
 
 
+def unit(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """(id, v, dim) of usable rows, each once, of unit length; components are scaled by the largest first, so none overflows or vanishes."""
+    rows = usable(rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")), "v").where("id is not null").dropDuplicates()
+    scaled = rows.withColumn("m", F.array_max(F.transform("v", F.abs))).withColumn("v", F.transform("v", lambda x: x / F.col("m")))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    return scaled.withColumn("n", length).select("id", F.transform("v", lambda x: x / F.col("n")).alias("v"), F.size("v").alias("dim"))
+
+
+def in_cells(rows: DataFrame, pivots) -> DataFrame:
+    """``rows`` with ``cell``, the nearest pivot of their length (0 where there is one or none)."""
+
+    def assign(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        table = {dim: np.array(v) for dim, v in pivots.value.items()}
+        for batch in batches:
+            dims = batch.column("dim").to_numpy(zero_copy_only=False)
+            flat, ends = batch.column("v").flatten().to_numpy(zero_copy_only=False), np.cumsum(dims)
+            cell = np.zeros(len(dims), np.int32)
+            for dim in np.unique(dims):
+                if dim in table:
+                    at = np.flatnonzero(dims == dim)
+                    v = flat[(ends[at] - dim)[:, None] + np.arange(dim)]
+                    cell[at] = (v @ table[dim].T).argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], ["id", "v", "dim", "cell"])
+
+    return rows.select("id", "v", "dim").mapInArrow(assign, "id long, v array<double>, dim int, cell int")
+
+
+_FOUND = "query_id long, id long, score double, dim int, cell int, low array<double>, high array<double>, verified long"
+
+
+def search(vectors: DataFrame, asked: DataFrame, k: int, ranges: bool) -> DataFrame:
+    """What the queries ``asked`` (with dim, cell, bound) find in the blocks of their cells, and with ``ranges`` each block's range of projections."""
+    sizes = vectors.groupBy("dim", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("subs"))  # a row a cell
+    chunks = asked.groupBy("dim", "cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
+    spread = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    plan = F.broadcast(sizes.join(chunks, ["dim", "cell"], "left" if ranges else "inner").withColumn("chunks", F.coalesce("chunks", F.lit(1))))
+    left = vectors.join(plan, ["dim", "cell"]).select("dim", "cell", spread("subs", 1).alias("sub"), every("chunks").alias("chunk"), "id", "v")
+    right = asked.join(plan, ["dim", "cell"]).select("dim", "cell", every("subs").alias("sub"), spread("chunks", 2).alias("chunk"), "id", "v", "bound")
+
+    def run(key, block, queries):
+        import numpy as np
+        import pandas as pd
+
+        dim, cell, _, chunk = (int(x) for x in key)
+        rows, v, verified = [], None, 0
+        if len(block):
+            block = block.sort_values("id")
+            v = np.stack(block["v"].to_list())
+        if len(block) and len(queries):
+            rows, verified = search_block(block["id"].to_numpy(), v, queries["id"].to_numpy(), np.stack(queries["v"].to_list()), queries["bound"].to_numpy(), k)
+        out = [(*r, dim, cell, None, None, None) for r in rows]
+        if len(block) and (chunk == 0 and ranges or verified):
+            place = v @ lines(dim)
+            out.append((None, None, None, dim, cell, place.min(axis=0), place.max(axis=0), verified))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in _FOUND.split(", ")]).astype({"query_id": "Int64", "id": "Int64", "score": "Float64", "verified": "Int64"})
+
+    keys = ("dim", "cell", "sub", "chunk")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, _FOUND)
+
+
+def routed(asked: DataFrame, ranges) -> DataFrame:
+    """A row for each query and each cell but its own whose range its windows meet on enough lines."""
+
+    def route(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        table = ranges.value
+        for batch in batches:
+            rows = []
+            for at, (qid, v, dim, home, bound) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "v", "dim", "cell", "bound")))):
+                cells, low, high = table[dim]
+                centre = np.array(v) @ lines(dim)
+                met = ((low <= centre + bound) & (high >= centre - bound)).sum(axis=1) >= least()
+                rows += [(at, int(c)) for c in cells[met & (cells != home)]]
+            taken = batch.take(pa.array([r[0] for r in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in ("id", "v", "dim", "bound")), pa.array([r[1] for r in rows], pa.int32())], ["id", "v", "dim", "bound", "cell"])
+
+    return asked.select("id", "v", "dim", "cell", "bound").mapInArrow(route, "id long, v array<double>, dim int, bound double, cell int")
+
+
+def top(found: DataFrame, k: int) -> DataFrame:
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return found.where("query_id is not null").groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
 def nearest(vectors: DataFrame, *, queries: DataFrame | None = None, id_col: str = "vec_id", vector: str = "embedding", k: int = 5, every: int = 50) -> DataFrame:
     """(query_id, rank, id, score): for each query its k nearest found by cosine, nearest first, ties to the smaller id.
 
     ``queries`` are rows of the same columns; by default those of ``vectors`` whose id is divisible by
     ``every``.  A row is never its own neighbour: rows of the query's id are passed over.  Vectors that
-    are null, empty or zero, or hold a null or non-finite component, take no part, nor do null ids;
-    vectors of other lengths than the query's are never compared.  Repeated rows of one id and vector
-    count once.  With no more than k candidates all are returned; empty tables give no rows.
+    are null, empty or zero, or hold a null or non-finite component, take no part, nor do null ids; ids
+    that are no whole numbers fail the cast.  Vectors of other lengths than the query's are never
+    compared.  Repeated rows of one id and vector count once; an id with two vectors is searched with
+    both and has the k best of them.  Columns other than these two play no part.  With no more than k
+    candidates all are returned; empty tables give no rows.
     """
-    clean = usable(vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")), "v").where("id is not null").dropDuplicates()
-    asked = clean.where(F.pmod("id", F.lit(every)) == 0) if queries is None else usable(queries.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")), "v").where("id is not null").dropDuplicates()
-    base = settled(clean.withColumn("dim", F.size("v")), "ann-vectors")
-    asked = settled(asked.withColumn("dim", F.size("v")), "ann-queries")
-    n, m = base.count(), asked.count()
-    blocks, q_blocks = max(1, -(-n // BLOCK)), max(1, -(-m // QUERIES))
-    spread = lambda c, parts, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(parts)).cast("int").alias(c)
-    left = base.select("dim", spread("b", blocks, 1), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"), "id", "v", F.lit(False).alias("asks"))
-    right = asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), spread("q", q_blocks, 2), "id", "v", F.lit(True).alias("asks"))
-
-    def search(key, left_pdf, right_pdf):
-        import numpy as np
-        import pandas as pd
+    return search_all(vectors, queries, id_col, vector, k, every)[0]
 
-        if not len(left_pdf) or not len(right_pdf):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
-        left_pdf = left_pdf.sort_values("id")
-        found = search_block(left_pdf["id"].to_numpy(), np.stack(left_pdf["v"].to_list()), right_pdf["id"].to_numpy(), np.stack(right_pdf["v"].to_list()), k)
-        return pd.DataFrame(found, columns=["query_id", "id", "score"])
 
-    found = left.groupBy("dim", "b", "q").cogroup(right.groupBy("dim", "b", "q")).applyInPandas(search, "query_id long, id long, score double")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.groupBy("query_id", "id").agg(F.max("score").alias("score")).withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+def search_all(vectors: DataFrame, queries: DataFrame | None, id_col: str, vector: str, k: int, every: int) -> tuple[DataFrame, DataFrame]:
+    """``nearest``, and all that both searches emitted (a block's own row has how many vectors it verified)."""
+    import numpy as np
+
+    spark = vectors.sparkSession
+    base = settled(unit(vectors, id_col, vector), "ann-vectors")
+    asked = base.where(F.pmod("id", F.lit(every)) == 0) if queries is None else unit(queries, id_col, vector)
+    pivots = {}
+    for r in base.groupBy("dim").count().collect():  # a row a length of vectors
+        if r["count"] > BLOCK:
+            taken = base.where(F.col("dim") == r.dim).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(min(PIVOTS, -(-r["count"] // BLOCK)))
+            pivots[r.dim] = [x.v for x in taken.select("v").collect()]  # at most PIVOTS rows
+    shared = spark.sparkContext.broadcast(pivots)
+    cells = settled(in_cells(base, shared), "ann-cells")
+    asked = settled(in_cells(asked, shared).withColumn("bound", F.lit(float("inf"))), "ann-queries")
+    first = settled(search(cells, asked, k, ranges=True), "ann-first")
+
+    def span(pdf):
+        return pdf.iloc[:1].assign(low=[np.min(np.stack(pdf["low"].to_list()), axis=0)], high=[np.max(np.stack(pdf["high"].to_list()), axis=0)])
+
+    spans = first.where("query_id is null").select("dim", "cell", "low", "high").groupBy("dim", "cell").applyInPandas(span, "dim int, cell int, low array<double>, high array<double>").collect()  # a row a cell
+    table = {dim: tuple(np.array([s[c] for s in spans if s.dim == dim]) for c in ("cell", "low", "high")) for dim in {s.dim for s in spans}}
+    known = top(first, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
+    bound = F.when(F.col("n") >= k, F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("worst")))).otherwise(F.lit(float("inf")))
+    bounded = asked.drop("bound").join(known, F.col("id") == F.col("query_id"), "left").withColumn("bound", F.coalesce(bound, F.lit(float("inf"))))
+    bounded = bounded.join(F.broadcast(spark.createDataFrame([(d,) for d in table], "d int")), F.col("dim") == F.col("d"), "left_semi")
+    second = settled(search(cells, settled(routed(bounded, spark.sparkContext.broadcast(table)), "ann-routed"), k, ranges=False), "ann-second")
+    found = first.unionByName(second)
+    return top(found, k), found

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import scalars as S
 
-PAIRS = [("BC872C4D545A077511F176BDB9127F17", "b9127f17-76bd-11f1-bc87-2c4d545a0775"), ("81C004D4C4D2BB6F11F16BC0277169C0", "277169c0-6bc0-11f1-81c0-04d4c4d2bb6f")]
+PAIRS = [("000102030405060708090A0B0C0D0E0F", "0c0d0e0f-0a0b-0809-0001-020304050607"), ("FFEEDDCCBBAA99887766554433221100", "33221100-5544-7766-ffee-ddccbbaa9988")]
 
 
 def one(spark, column):
@@ -58,7 +58,9 @@ def test_money(spark):
     assert one(spark, S.sales_without_vat(period=day("2022-10-11"), **args)) == 88.0
     assert one(spark, S.sales_without_vat(period=day("2022-10-12"), **args)) == 93.0
     assert one(spark, S.ratio(F.lit(1.0), F.lit(0.0))) == 0.0
-    assert [one(spark, S.doc_sign(F.lit(k), F.lit(o))) for k, o in (("Return of goods", ""), ("Sale", ""), ("Till", "return"), ("Till", "sale"), ("Move", ""), (None, None))] == [-1, 1, -1, 1, 0, 0]
+    words = ("eturn", "ale", "ill")
+    assert [one(spark, S.doc_sign(F.lit(k), F.lit(o), words)) for k, o in (("Return of goods", ""), ("Sale", ""), ("Till", "return"), ("Till", "sale"), ("Move", ""), (None, None))] == [-1, 1, -1, 1, 0, 0]
+    assert [one(spark, S.doc_sign(F.lit(k), F.lit(o))) for k, o in (("ВозвратТоваров", ""), ("РеализацияТоваров", ""), ("ЧекККМ", "Возврат"), ("ЧекККМ", "other"), ("ЧекККМ", None), ("Move", "Возврат"))] == [-1, 1, -1, 1, 1, 0]
 
 
 def test_text(spark):

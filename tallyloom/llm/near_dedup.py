@@ -1,8 +1,7 @@
 """Near-duplicate groups by DartMinHash signatures, banding and exact verification.
 
-A text's elements are its five-word shingles, each with a weight: 1 for every distinct shingle
-(similarity is then Jaccard's of the shingle sets), or its count (then the weighted Jaccard of the
-multisets).  Darts are thrown by hashing: each unit of an element's weight has its own Poisson
+A text's elements are its five-word shingles, each with a weight: its count (similarity is then the
+weighted Jaccard of the multisets), or 1 for every distinct shingle (then Jaccard's of the sets).  Darts are thrown by hashing: each unit of an element's weight has its own Poisson
 process of hashed ranks, the same in every text; of the darts that land below an element's weight
 the one of lowest rank in each of ``BANDS * ROWS`` hashed coordinates is the signature.  About
 ``k (ln k + 2)`` darts fill k coordinates, however many elements a text has.
@@ -27,6 +26,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32, about 3 in a million.
 BANDS, ROWS = 32, 5
 #: Signatures that agree on fewer coordinates than this share come from similarities under 0.8, but for 1 pair in 10 million.
+#: It spares the comparison of texts in buckets whose star left them apart; 0 compares them all.
 LEAST_AGREEMENT = 0.63
 #: Elements hashed at a time, and members of a bucket compared at a time.
 STEP, BLOCK = 600_000, 256
@@ -135,7 +135,7 @@ def row_key(id_col: str, text: str) -> Column:
 
 
 def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
-    """(t, bands, sig) of each text with a word: the first 60 bits of its key, its bucket keys, and 8 bits of each coordinate before the bytes of the bucket keys."""
+    """(t, key, bands, sig) of each text with a word: its short and whole key, its bucket keys, and 8 bits of each coordinate before the bytes of the bucket keys."""
 
     def sign(batches: Iterator) -> Iterator:
         import numpy as np
@@ -143,7 +143,7 @@ def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
 
         hashes = WordHashes()
         for batch in batches:
-            keys, texts, at = batch.column(0).to_pylist(), batch.column(1).to_pylist(), 0
+            keys, texts, at = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())), batch.column(2).to_pylist(), 0
             while at < len(texts):
                 sets, named, size = [], [], 0
                 while at < len(texts) and (not sets or size < STEP):
@@ -160,16 +160,37 @@ def signed(docs: DataFrame, text: str, weighting: str) -> DataFrame:
                 sig = signatures(elements, weights, np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets]), len(sets), BANDS * ROWS)
                 low, shared = (sig & np.uint64(0xFF)).astype(np.uint8), buckets(sig)
                 bands = pa.FixedSizeListArray.from_arrays(pa.array(shared.ravel()), BANDS).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(named, pa.int64()), bands, pa.array([x.tobytes() + k.tobytes() for x, k in zip(low, shared)], pa.binary())], ["t", "bands", "sig"])
+                t, key = (pa.array([x[k] for x in named], kind) for k, kind in enumerate((pa.int64(), pa.binary())))
+                yield pa.RecordBatch.from_arrays([t, key, bands, pa.array([x.tobytes() + k.tobytes() for x, k in zip(low, shared)], pa.binary())], ["t", "key", "bands", "sig"])
 
-    return docs.select(short_key(text_key(text)), F.col(f"`{text}`").alias("text")).mapInArrow(sign, "t long, bands array<long>, sig binary")
+    keyed = docs.select(text_key(text).alias("key"), F.col(f"`{text}`").alias("text"))
+    return keyed.select(short_key(F.col("key")), "key", "text").mapInArrow(sign, "t long, key binary, bands array<long>, sig binary")
 
 
 def short_key(key: Column) -> Column:
-    """The first 60 bits of a key as ``t``; only candidates are looked up by it, links carry whole keys."""
+    """The first 60 bits of a key as ``t``; candidates are looked up by it, links carry whole keys."""
     return F.conv(F.substring(F.hex(key), 1, 15), 16, 10).cast("long").alias("t")
 
 
+def other_key(key: Column) -> Column:
+    """The last 60 bits of a key, with a bit that no ``short_key`` has."""
+    return (F.conv(F.substring(F.hex(key), 18, 15), 16, 10).cast("long") + F.lit(1 << 60)).alias("t")
+
+
+def told_apart(keyed: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """``keyed`` (t, key, ...) with the other short key where several texts have one ``t``."""
+    if shared is None:
+        return keyed
+    marked = keyed.join(F.broadcast(shared.select(F.col("t").alias("__t"))), F.col("t") == F.col("__t"), "left")
+    return marked.withColumn("t", F.when(F.col("__t").isNull(), F.col("t")).otherwise(other_key(F.col("key")))).drop("__t")
+
+
+def shared_keys(nodes: DataFrame) -> DataFrame | None:
+    """The few ``t`` that several texts have, or None; expected are n * n / 2**61 of them."""
+    shared = settled(nodes.groupBy("t").count().where("count > 1").select("t"), "near-shared")
+    return None if shared.isEmpty() else shared
+
+
 def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(t, key, text) of the texts whose short key is in ``wanted``, each once."""
     rows = nodes.join(wanted.select("t").distinct(), "t").select("row", "t", "key")
@@ -218,7 +239,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     return both.select("ka", "text_a", "kb", "text_b").mapInArrow(compare, "u binary, v binary")
 
 
-def near_pairs(rows: list[dict], n_first: int, apart: bool, band: int) -> list[tuple[int, int, int]]:
+def near_pairs(rows: list[dict], n_first: int, apart: bool, band: int, agreement: float = LEAST_AGREEMENT) -> list[tuple[int, int, int]]:
     """(-agreement, i, k) of rows of different components that their signatures do not rule out, the likeliest first.
 
     Rows i are the first ``n_first``; rows k come after them, or, with ``apart``, after all of them.  A
@@ -232,7 +253,7 @@ def near_pairs(rows: list[dict], n_first: int, apart: bool, band: int) -> list[t
         begin = n_first if apart else i + 1
         equal = sig[begin:] == sig[i]
         agree = equal.sum(axis=1)
-        for k in np.flatnonzero((agree >= LEAST_AGREEMENT * BANDS * ROWS) & (c[begin:] != c[i])):
+        for k in np.flatnonzero((agree >= agreement * BANDS * ROWS) & (c[begin:] != c[i])):
             if (keys[begin + k] == keys[i]).argmax() == band:
                 near.append((-int(agree[k]), i, begin + int(k)))
     return sorted(near)
@@ -248,7 +269,7 @@ def block_pairs(split: DataFrame, member: list[str], name: str) -> DataFrame:
     return pairs.select("bucket", "band", "m", F.when(F.col("block") < F.col("block2"), F.col("m2")).alias("m2"))
 
 
-def close_members(split: DataFrame) -> DataFrame:
+def close_members(split: DataFrame, agreement: float) -> DataFrame:
     """(bucket, t) of members of ``split`` (t, band, bucket, c, sig) that may be similar to a member of another component."""
 
     def find(batches: Iterator) -> Iterator:
@@ -258,14 +279,14 @@ def close_members(split: DataFrame) -> DataFrame:
             out = []
             for bucket, band, first, second in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 rows = first + (second or [])
-                found = {i for _, a, b in near_pairs(rows, len(first), second is not None, band) for i in (a, b)}
+                found = {i for _, a, b in near_pairs(rows, len(first), second is not None, band, agreement) for i in (a, b)}
                 out += [(bucket, rows[i]["t"]) for i in sorted(found)]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["bucket", "t"])
 
     return block_pairs(split, ["t", "c", "sig"], "near-blocks").mapInArrow(find, "bucket long, t long").distinct()
 
 
-def links_across(split: DataFrame, texts: DataFrame, similarity: float, weighting: str) -> DataFrame:
+def links_across(split: DataFrame, texts: DataFrame, similarity: float, weighting: str, agreement: float) -> DataFrame:
     """(u, v): links inside buckets between texts of different components.
 
     ``split`` has (t, band, bucket, c, sig) of members that may be similar across components.  Each pair
@@ -303,7 +324,7 @@ def links_across(split: DataFrame, texts: DataFrame, similarity: float, weightin
                         sets[i] = e, np.frombuffer(n, np.int64) if n is not None else np.ones(len(e), np.int64)
                     return sets[i]
 
-                for _, i, k in near_pairs(rows, len(first), second is not None, band):
+                for _, i, k in near_pairs(rows, len(first), second is not None, band, agreement):
                     a, b = top(rows[i]["c"]), top(rows[k]["c"])
                     if a != b and similar(*get(i), *get(k), similarity):
                         root[a] = b
@@ -334,21 +355,25 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, weighting: str = "distinct") -> DataFrame:
+def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, weighting: str = "count", agreement: float = LEAST_AGREEMENT) -> DataFrame:
     """(row, id, key, class_id, keeper) of every row of ``docs``.
 
     ``row`` and ``key`` name the row by id and text and the text alone; ``class_id`` is the smallest
     id in the row's class; ``keeper`` is the ``row`` to keep of the class.  Equal texts share a
     class, and so do all texts without a word (null, empty and blank ones), which have no shingle
     and link to nothing else.  Null ids take part and are nobody's class id unless all of a class are
-    null.  An empty table gives no rows.
+    null.  Repeated rows share ``row`` and class.  Texts of any length are read whole.  Columns other
+    than these two play no part.  An empty table gives no rows.
     """
     if weighting not in ("distinct", "count"):
         raise ValueError("weighting is distinct or count")
     rows = settled(docs.select(row_key(id_col, text).alias("row"), F.col(f"`{id_col}`").alias("id"), text_key(text).alias("key")), "near-rows")
     nodes = rows.groupBy("key").agg(F.min_by("row", F.struct(F.col("id").isNull(), "id", "row")).alias("row"), F.min("id").alias("id")).withColumn("t", short_key(F.col("key")))
     nodes = settled(nodes, "near-nodes")
-    table = settled(signed(docs, text, weighting), "near-signatures")
+    shared = shared_keys(nodes)
+    if shared is not None:
+        nodes = settled(told_apart(nodes, shared), "near-nodes")
+    table = settled(told_apart(signed(docs, text, weighting), shared).drop("key"), "near-signatures")
     members = table.select("t", F.explode("bands").alias("bucket"))
     multi = members.groupBy("bucket").agg(F.min("t").alias("b"), F.max("t").alias("last")).where("b != last").select("bucket", "b")
     stars = settled(members.join(multi, "bucket").where("t != b").select(F.col("t").alias("a"), "b").distinct(), "near-stars")
@@ -362,8 +387,8 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     split = known.join(mixed, "bucket")
     sigs = table.select("t", "sig").join(met, "t").dropDuplicates(["t"])
     split = settled(split.join(sigs, "t"), "near-split")
-    close = settled(split.join(close_members(split), ["bucket", "t"], "left_semi"), "near-close")
-    more = settled(links_across(close, texts_of(close, nodes, docs, id_col, text), similarity, weighting), "near-more-links")
+    close = settled(split.join(close_members(split, agreement), ["bucket", "t"], "left_semi"), "near-close")
+    more = settled(links_across(close, texts_of(close, nodes, docs, id_col, text), similarity, weighting, agreement), "near-more-links")
     if not more.isEmpty():
         labels = components(labels.select("u", "v").unionByName(more))
 
@@ -373,9 +398,9 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     return rows.join(by_key, F.col("key") == F.col("k")).select("row", "id", "key", "class_id", "keeper")
 
 
-def dedup_near(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, weighting: str = "distinct") -> DataFrame:
-    """One row of each class of ``near_classes``, the one of the smallest id; of equal rows one."""
-    classes = near_classes(docs, id_col=id_col, text=text, similarity=similarity, weighting=weighting)
+def dedup_near(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, weighting: str = "count", agreement: float = LEAST_AGREEMENT) -> DataFrame:
+    """One row of each class of ``near_classes``, the one of the smallest id; of equal rows one.  All columns stay; an empty table gives no rows."""
+    classes = near_classes(docs, id_col=id_col, text=text, similarity=similarity, weighting=weighting, agreement=agreement)
     own, first = f"{OWN}row", F.row_number().over(Window.partitionBy(f"{OWN}row").orderBy(F.lit(1)))
     keepers = classes.where("row = keeper").select(F.col("row").alias(own)).distinct()
     kept = docs.withColumn(own, row_key(id_col, text)).join(keepers, own).withColumn(f"{OWN}n", first).where(F.col(f"{OWN}n") == 1)

@@ -13,7 +13,7 @@ from tallyloom.functions import scalars as S
 from tallyloom.operators import audit, changes, checks, datasets, dimensions, fingerprint, hierarchy, integrity, keys, loads, merge, state
 from tallyloom.plans import publish
 from tallyloom.queries import _BASE, _DIM, _FP, _LI, _PART, _RUNS, _SIG, CUT, SPEC, base, dim_frames, double, kind, lines, money, parted, printed, query, runs, signalled, t, uuid_of, uuid_sql
-from tallyloom.sources import relational
+from tallyloom.sources import csvs, relational
 from tallyloom.specs import ColumnSpec, PublishSpec, TargetSpec
 from tallyloom.staged import scratch
 from tallyloom.streaming import ticks
@@ -751,3 +751,55 @@ def hashed_rows(spark, sf):
     rows = t(spark, sf, "orders").withColumn("new", F.col("o_totalprice") + (F.col("o_orderkey") % 9 == 0).cast("int"))
     a, same, b = (S.content_hash(F.col("o_orderkey"), c) for c in (F.col("o_totalprice"), F.col("o_totalprice") + 0.0, F.col("new")))
     return rows.agg(F.count("*").alias("n"), F.count_if(a != same).alias("n_other"), F.count_if(a != b).alias("n_changed"))
+
+
+# ---- feeds read from CSV files, and a rebuild
+
+
+def as_csv(spark, df, name, sep=","):
+    """``df`` as CSV files with a header in the shared folder."""
+    path = scratch(spark, name)
+    df.write.csv(path, header=True, sep=sep)
+    return path
+
+
+@query("select event_id, case when event_id % 9 = 0 then 0.0 else user_id::double end as units, case when event_id % 4 = 0 then '' else event_type end as city from events")
+def sales_csv(spark, sf):
+    """SRC-08: bad numbers as 0, missing text as empty"""
+    rows = t(spark, sf, "events").select(F.col("event_id").cast("string").alias("ID"), F.when(F.col("event_id") % 9 == 0, "n/a").otherwise(F.col("user_id").cast("string")).alias("SALES UNITS"), F.when(F.col("event_id") % 4 != 0, F.col("event_type")).alias("CITY"))
+    out = csvs.sales_report(spark, as_csv(spark, rows, "sales-csv"), {"ID": "event_id", "SALES UNITS": "units", "CITY": "city"}, ["event_id", "units"], ts("2024-02-01"))
+    return out.select(F.col("event_id").cast("bigint").alias("event_id"), "units", "city")
+
+
+@query("select p_partkey::varchar as \"ID\", p_size + 0.5 as \"ZZZ\", p_brand as \"Segment11\" from part")
+def product_csv(spark, sf):
+    """SRC-09: semicolons, decimal commas, an unnamed column"""
+    path = scratch(spark, "product-csv")
+    line = F.concat_ws(";", F.col("p_partkey").cast("string"), F.concat(F.col("p_size").cast("string"), F.lit(",5")), "p_brand")
+    spark.range(1).select(F.lit("ID;ZZZ;").alias("value")).union(t(spark, sf, "part").select(line)).coalesce(1).write.text(path)  # one file, as the feed is
+    return csvs.product_report(spark, path)
+
+
+@query("select lower(c_name) as email, c_mktsegment as division from customer")
+def user_csv(spark, sf):
+    """SRC-10: fixed names, trimmed text, further columns left out"""
+    rows = t(spark, sf, "customer").select(F.concat(F.lit(" "), F.lower("c_name"), F.lit(" ")).alias("a"), F.col("c_mktsegment").alias("b"), F.lit("x").alias("c"))
+    return csvs.user_sheet(spark, as_csv(spark, rows, "user-csv"), ["email", "division"], ts("2024-02-01")).drop("etl_loaded_at")
+
+
+@query("select p_partkey::varchar as product_id, (p_size * 1000)::double as max_asp, date '2024-02-01' + (p_size % 20)::int as start_date, null::date as end_date from part")
+def price_cap_csv(spark, sf):
+    """SRC-11: numbers with inner spaces, dates by day, empty columns dropped"""
+    rows = t(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("Product"), F.concat(F.col("p_size").cast("string"), F.lit(" 000")).alias("Max"), F.lit(None).cast("string").alias("Empty"), F.date_format(F.date_add(F.lit("2024-02-01").cast("date"), F.col("p_size") % 20), "dd.MM.yyyy").alias("From"), F.lit("nan").alias("To"))
+    return csvs.price_caps(spark, as_csv(spark, rows, "cap-csv"))
+
+
+@query(f"select {_PART} as part, count(*) as n, sum(o_totalprice::decimal(18,4))::double as amount from orders where {_PART} >= 199701 group by 1")
+def rebuilt_period(spark, sf):
+    """PIP-08: a load, its validation, and a strict reconciliation with the source"""
+    rows = facts(spark, sf).where("part >= 199701")
+    store = publish.Store(spark, scratch(spark, "rebuilt"), FACTS)
+    parts = sorted(r[0] for r in rows.select("part").distinct().collect())  # a row a month
+    suite = lambda: integrity.load_suite({"orders": store.current()}, {"orders": ["o_orderkey"]}, {"orders": ["o_custkey"]}, {})
+    loads.rebuild(lambda: store.publish(rows, parts), suite, lambda: store.sweep(rows))
+    return store.current().groupBy("part").agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).cast("double").alias("amount"))

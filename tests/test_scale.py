@@ -175,5 +175,19 @@ def test_jdbc_bounds(spark, monkeypatch):
     assert asked[-1] == {"query": "select 1"}
 
 
+def test_jdbc_reads_a_database(spark):
+    """A database in this process: a query whole, and split in ranges between bounds that are asked for."""
+    from tallyloom.sources import relational
+
+    url, driver = "jdbc:derby:memory:tallyloom;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    spark.range(1, 1001).select(F.col("id").alias("ID"), (F.col("id") * 2).alias("TWICE")).write.format("jdbc").options(url=url, driver=driver, dbtable="facts").mode("overwrite").save()
+    whole = relational.read_jdbc(spark, url, "select * from facts", driver=driver)
+    split = relational.read_jdbc(spark, url, "select * from facts where id <= 600", split_on="ID", parts=4, driver=driver)
+    assert whole.agg(F.sum("TWICE")).first()[0] == 1001 * 1000 and split.rdd.getNumPartitions() == 4
+    assert sorted(r.ID for r in split.collect()) == list(range(1, 601))
+    none = relational.read_jdbc(spark, url, "select * from facts where id < 0", split_on="ID", parts=4, driver=driver)
+    assert none.count() == 0
+
+
 def test_schema_checks(spark):
     assert checks.schema_changes(spark.range(1).schema, spark.range(1).schema) == []

@@ -212,10 +212,12 @@ def partition_start(key: Column) -> Column:
     return F.to_date(key.cast("string"), "yyyyMM")
 
 
-def months_of(year: int, current: int) -> list[int]:
-    """Months ``yyyymm`` of a year up to the current one; in January last year's December too [SCL-29]."""
-    months = [year * 100 + m for m in range(1, 13) if year * 100 + m <= current]
-    return [(year - 1) * 100 + 12, *months] if current == year * 100 + 1 else months
+def months_of(year: int, now: Column) -> Column:
+    """Months of a year as ``yyyymm`` numbers, up to this one; in January the December before it too [SCL-29]."""
+    first, this = F.make_date(F.lit(year), F.lit(1), F.lit(1)), F.trunc(now, "month")
+    begin = F.when(this == first, F.add_months(first, -1)).otherwise(first)
+    months = F.sequence(begin, F.least(this, F.add_months(first, 11)), F.expr("INTERVAL 1 MONTH"))
+    return F.when(this >= first, F.transform(months, partition_key)).otherwise(F.array().cast("array<int>"))
 
 
 def hot_months(now: Column) -> Column:

@@ -720,8 +720,8 @@ def reference_signs(spark, sf):
 def months_to_check(spark, sf):
     """SCL-29: in January with last December, of a whole year, and up to June"""
     some = t(spark, sf, "orders").agg(F.count("*").alias("rows")).where("rows > 0")
-    lists = [S.months_of(1997, 199701), S.months_of(1996, 199701), S.months_of(1997, 199706)]
-    return some.select(F.explode(F.array(*[F.struct(F.lit(m).alias("month"), F.lit(len(x)).cast("bigint").alias("n")) for x in lists for m in x])).alias("x")).select("x.*")
+    lists = F.array(S.months_of(1997, ts("1997-01-20")), S.months_of(1996, ts("1997-01-20")), S.months_of(1997, ts("1997-06-30")), S.months_of(1998, ts("1997-06-30")))
+    return some.select(F.explode(lists).alias("m")).select(F.explode("m").alias("month"), F.size("m").cast("bigint").alias("n"))
 
 
 @query("select o_orderkey, round(o_totalprice, 8) as form, 0.0::double as none from orders")

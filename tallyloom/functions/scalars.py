@@ -217,7 +217,7 @@ def months_of(year: int, now: Column) -> Column:
     first, this = F.make_date(F.lit(year), F.lit(1), F.lit(1)), F.trunc(now, "month")
     begin = F.when(this == first, F.add_months(first, -1)).otherwise(first)
     months = F.sequence(begin, F.least(this, F.add_months(first, 11)), F.expr("INTERVAL 1 MONTH"))
-    return F.when(this >= first, F.transform(months, partition_key)).otherwise(F.array().cast("array<int>"))
+    return F.when(this >= first, F.transform(months, lambda day: partition_key(day))).otherwise(F.array().cast("array<int>"))
 
 
 def hot_months(now: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import scalars as S
 from tallyloom.operators import audit, changes, checks, datasets, dimensions, fingerprint, hierarchy, integrity, keys, loads, merge, state
 from tallyloom.plans import publish
-from tallyloom.queries import _BASE, _DIM, _FP, _LI, _PART, _RUNS, _SIG, CUT, SPEC, base, dim_frames, double, kind, lines, money, parted, printed, query, runs, signalled, t, uuid_of, uuid_sql
+from tallyloom.queries import _BASE, _DIM, _FP, _LI, _PART, _RUNS, _SIG, CUT, SPEC, base, dim_frames, double, kind, lines, money, parted, query, runs, signalled, t, uuid_of, uuid_sql
 from tallyloom.sources import csvs, relational
 from tallyloom.specs import ColumnSpec, PublishSpec, TargetSpec
 from tallyloom.staged import scratch

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import audit, changes, checks, datasets, fingerprint, hierarchy, keys, merge
+from tallyloom.operators import audit, changes, checks, datasets, hierarchy, keys, merge
 from tallyloom.plans.publish import Store
 from tallyloom.sources import csvs, relational
 from tallyloom.specs import PublishSpec

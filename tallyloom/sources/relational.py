@@ -17,15 +17,13 @@ def read_jdbc(spark: SparkSession, url: str, query: str, *, split_on: str | None
     Without ``bounds`` the source is asked for the least and the largest ``split_on`` first; with no row
     there is nothing to split.
     """
-    reader = spark.read.format("jdbc").options(url=url, fetchsize=fetch, **options)
-    if split_on is None:
-        return reader.option("query", query).load()
-    if bounds is None:
-        low, high = reader.option("query", f"select min({split_on}) as low, max({split_on}) as high from ({query}) q").load().first()
-        if low is None:
-            return reader.option("query", query).load()
-        bounds = (low, high)
-    return reader.options(dbtable=f"({query}) q", partitionColumn=split_on, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=parts).load()
+    reader = lambda: spark.read.format("jdbc").options(url=url, fetchsize=fetch, **options)  # noqa: E731 - a reader keeps the options it was given
+    if split_on is not None and bounds is None:
+        low, high = reader().option("query", f"select min({split_on}) as low, max({split_on}) as high from ({query}) q").load().first()
+        bounds = None if low is None else (low, high)
+    if split_on is None or bounds is None:
+        return reader().option("query", query).load()
+    return reader().options(dbtable=f"({query}) q", partitionColumn=split_on, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=parts).load()
 
 
 def scan(df: DataFrame, *, period: str | None = None, start=None, end=None, key: str | None = None, keys: DataFrame | None = None, key_name: str = "key") -> DataFrame:

@@ -112,10 +112,24 @@ def usable(vectors: DataFrame, vector: str) -> DataFrame:
 
 def unit(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
     """(id, v, dim) of usable rows, each once, of unit length; components are scaled by the largest first, so none overflows or vanishes."""
+
+    def scale(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            v = batch.column("v")
+            dims = v.value_lengths().to_numpy(zero_copy_only=False)
+            flat, at = v.flatten().to_numpy(zero_copy_only=False), np.cumsum(dims) - dims
+            flat = flat / np.repeat(np.maximum.reduceat(np.abs(flat), at), dims)
+            flat = flat / np.repeat(np.sqrt(np.add.reduceat(flat * flat, at)), dims)
+            values = pa.ListArray.from_arrays(pa.array(np.concatenate([at, [len(flat)]]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), values, pa.array(dims, pa.int32())], ["id", "v", "dim"])
+
     rows = usable(rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v")), "v").where("id is not null").dropDuplicates()
-    scaled = rows.withColumn("m", F.array_max(F.transform("v", F.abs))).withColumn("v", F.transform("v", lambda x: x / F.col("m")))
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return scaled.withColumn("n", length).select("id", F.transform("v", lambda x: x / F.col("n")).alias("v"), F.size("v").alias("dim"))
+    return rows.mapInArrow(scale, "id long, v array<double>, dim int")
 
 
 def in_cells(rows: DataFrame, pivots) -> DataFrame:

@@ -131,7 +131,7 @@ def test_calibration_is_isotonic(spark, toxic_model):
     raw = {r.doc_id: r.raw for r in toxic_model.trees.transform(measured).select("doc_id", vector_to_array("probability")[1].alias("raw")).collect()}
     have = {r.doc_id: r.toxicity for r in toxicity.score(docs, toxic_model).collect()}
     knots, values = toxic_model.calibration.boundaries.toArray(), toxic_model.calibration.predictions.toArray()
-    assert all(have[d] == pytest.approx(min(1, max(0, float(np.interp(raw[d], knots, values))))) for d in raw)
+    assert all(have[d] == pytest.approx(min(1, max(0, (1 - toxicity.RAW) * float(np.interp(raw[d], knots, values)) + toxicity.RAW * raw[d]))) for d in raw)
     assert (np.diff(values) >= 0).all()
 
 

@@ -32,7 +32,8 @@ def plain_scores(texts, model):
     trees, out = list(zip(model.trees.treeWeights, model.trees.trees)), {}
     for text in {t or "" for t in texts}:
         x = Vectors.dense(plain_features(text, model.lexicon))
-        out[text] = float(np.interp(1 / (1 + np.exp(-2 * sum(w * t.predict(x) for w, t in trees))), knots, values))
+        raw = 1 / (1 + np.exp(-2 * sum(w * t.predict(x) for w, t in trees)))
+        out[text] = (1 - toxicity.RAW) * float(np.interp(raw, knots, values)) + toxicity.RAW * raw
     return out
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, exact_topk, language, line_dedup, media, near_dedup, packing, prefix_trie, source_mix, token_store, toxicity, url_filter
+from tallyloom.llm import ann, divergence, exact_topk, language, line_dedup, media, near_dedup, packing, prefix_trie, source_mix, token_store, toxicity, url_filter
 from tallyloom.llm.shared import shared_dir, table, text_or_empty
 
 
@@ -84,6 +84,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_store": op8_token_store,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
+    "op11_source_divergence": op11_source_divergence,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_exact_topk": op13_exact_topk,
 }
@@ -125,4 +130,4 @@ select d.doc_id,
   coalesce(g.n, 0) as n_removed, coalesce(array_to_string(g.cut_lines, ','), '') as removed_lines
 from documents d left join gone g on d.doc_id = g.doc_id and d.text = g.text"""
 
-ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filter.oracle(), "op6_line_dedup": _OP6, "op10_mix_sources": source_mix.oracle(), "op12_prefix_trie": prefix_trie.oracle(), "op13_exact_topk": exact_topk.oracle()}
+ORACLE_SQL: dict[str, str] = {"op4_url_filters": url_filter.oracle(), "op6_line_dedup": _OP6, "op10_mix_sources": source_mix.oracle(), "op11_source_divergence": divergence.oracle(), "op12_prefix_trie": prefix_trie.oracle(), "op13_exact_topk": exact_topk.oracle()}

@@ -9,6 +9,20 @@ from pyspark.sql import functions as F
 from tallyloom.llm import ann
 
 
+def exact_best(rows, k, every=50):
+    """The k best of each query by cosines in decimals of 60 digits, ties to the smaller id."""
+    from decimal import Decimal, localcontext
+
+    with localcontext(prec=60):
+        norm = lambda a, b: sum(Decimal(x) * Decimal(y) for x, y in zip(a, b))
+        sizes, out = {i: norm(v, v).sqrt() for i, v in rows.items()}, {}
+        for q in rows:
+            if q % every == 0:
+                scored = sorted((-round(norm(rows[q], v) / sizes[q] / sizes[i], 40), i) for i, v in rows.items() if i != q)
+                out[q] = [i for _, i in scored[:k]]
+    return out
+
+
 def brute(ids, vectors, k, every=50):
     v = vectors / np.abs(vectors).max(axis=1)[:, None]
     v /= np.linalg.norm(v, axis=1)[:, None]
@@ -48,7 +62,7 @@ def test_cells_blocks_and_chunks(spark, monkeypatch):
     df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id bigint, embedding array<double>").repartition(5)
     want = brute(ids, v, 5)
     best, found = ann.search_all(df, None, "vec_id", "embedding", 5, 50)
-    cells = found.where("query_id is null").select("cell").distinct().count()
+    cells = found.where("query is null").select("cell").distinct().count()
     assert cells > 3
     # equal vectors tie, so compare the scores that were found, not the ids
     have = defaultdict(list)
@@ -71,3 +85,44 @@ def test_own_queries(spark):
     asked = spark.createDataFrame([(100, [2.0, 1.0]), (3, [3.0, 1.0])], df.schema)
     got = {(r.query_id, r["rank"]): r.id for r in ann.nearest(df, queries=asked, k=2).collect()}
     assert got == {(100, 1): 2, (100, 2): 3, (3, 1): 4, (3, 2): 5}
+
+
+def test_equal_and_parallel_vectors_by_id(spark, monkeypatch):
+    """Ties are decided by id, over many blocks and whatever the vectors' lengths."""
+    monkeypatch.setattr(ann, "BLOCK", 60)
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    rng = np.random.default_rng(8)
+    distinct = [[float(np.float32(x)) for x in v] for v in rng.standard_normal((60, 12))]
+    distinct += [[float(x) for x in rng.permutation([1, 2, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])] for _ in range(30)]  # equal cosines that are no copies
+    rows = {i: [x * (1, 3, 7, 0.1)[i % 3] for x in distinct[rng.integers(0, len(distinct))]] for i in rng.permutation(600).tolist()}
+    df = spark.createDataFrame([(i, v) for i, v in rows.items()], "vec_id bigint, embedding array<double>").repartition(5)
+    want = exact_best(rows, 5, every=20)
+    have = defaultdict(list)
+    for r in ann.nearest(df, every=20).orderBy("query_id", "rank").collect():
+        have[r.query_id].append(r.id)
+    assert have.keys() == want.keys()
+    assert {q: have[q] for q in want if have[q] != want[q]} == {}
+
+
+def test_cosines_are_nearest_doubles():
+    from fractions import Fraction
+    from math import isqrt
+
+    rng = np.random.default_rng(2)
+    a, b = rng.standard_normal((2, 300, 17))
+    for x, y, got in zip(a, b, ann.cosines(a, b)):
+        dot, xx, yy = (sum(Fraction(p) * Fraction(q) for p, q in zip(u, v)) for u, v in ((x, y), (x, x), (y, y)))
+        root = Fraction(isqrt(int(xx * yy * 4**200)), 2**200)
+        assert got == float(dot / root)
+
+
+def test_a_repeated_direction_of_a_third(spark):
+    rows = [(i, [1.0, 2.0 + i % 3]) for i in range(300)] + [(1000 + i, [0.5, 1.0]) for i in range(150)] + [(50, [9.0, 1.0]), (50, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    have = defaultdict(list)
+    for r in ann.nearest(df).orderBy("query_id", "rank").collect():
+        have[r.query_id].append((r.id, r.score))
+    for q in (0, 150, 1050, 1100):
+        want = [i for i in (0, 3, 6, 9, 12, 15) if i != q][:5]
+        assert [i for i, _ in have[q]] == want and {s for _, s in have[q]} == {1.0}
+    assert [i for i, _ in have[50]] == [0, 2, 3, 5, 6]  # found with both of its vectors

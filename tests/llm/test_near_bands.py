@@ -25,5 +25,5 @@ def test_chance_match_of_an_earlier_band(spark):
     rows = [(2 * k + side, pair[side]) for k, pair in enumerate(found) for side in (0, 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     signed = near_dedup.signed(docs, "text", "distinct").select("t", F.col("t").alias("c"), "sig", F.posexplode("bands").alias("band", "bucket"))
-    close = near_dedup.close_members(signed.select("t", "band", "bucket", "c", "sig"))
+    close = near_dedup.close_members(signed.select("t", "band", "bucket", "c", "sig"), near_dedup.LEAST_AGREEMENT)
     assert close.select("t").distinct().count() == len(rows)

@@ -3,9 +3,11 @@
 Documents are cut into chunks at ASCII whitespace, which no term crosses.  Chunks are counted document by
 document, for up to ``DOCS`` documents of a language and source at a time: such a block has a row for each of
 its chunks, with the documents that hold it as bits of a number and all occurrences as a sum.  Each globally
-distinct chunk is then cut into terms once, and its terms are joined back to the blocks' rows.  A term's bits
-are joined by "or" within a block, so a document that has it in several chunks counts once; counts of
-bits and occurrences add up over blocks.
+distinct chunk is cut into terms once, and its terms are joined back to the chunks' sums.
+
+A document may have a term in several chunks.  The chunk that most documents of the language have bounds a
+term's documents from below, the sum over its chunks from above; where the wanted number lies between the two, the
+bits of the term's chunks are joined by "or" block by block, and counted.
 
 Sources are compared in tiles: a block of sources against another over a block of terms, as arrays of
 whole numbers, so no row is made for a pair of sources and a term.  Terms that neither of two sources has
@@ -25,7 +27,7 @@ from tallyloom.llm.shared import settled
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Documents in a block, one a bit; rows that a task holds back before it gives out all its blocks.
-DOCS, HELD = 64, 400_000
+DOCS, HELD = 64, 1_200_000
 #: Sources in a block, rows of terms that a tile gets on average, and terms at a time inside it.
 SOURCES, TERMS, STEP = 64, 20_000, 256
 SCALE = 1_000_000_000
@@ -34,7 +36,10 @@ _GROUP = ("lang", "source")
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """(lang, source, block, chunk, docs, n) of (lang, source, text): the documents of a block that hold a chunk, and its occurrences in them."""
+    """(block, chunk, docs, n) of (lang, source, text): the documents of a block that hold a chunk, and its occurrences in them.
+
+    A block's first row has its language and source, and no chunk.
+    """
 
     def count(batches: Iterator) -> Iterator:
         from collections import Counter
@@ -50,11 +55,10 @@ def chunked(docs: DataFrame) -> DataFrame:
         def given(key, entry):
             nonlocal serial
             serial += 1
-            chunks, values = list(entry), np.array(list(entry.values()), dtype=object).reshape(-1, 2)
-            n = len(chunks)
-            bits = values[:, 0].astype(np.uint64).view(np.int64)
-            kinds = [pa.array([key[0]] * n, pa.string()), pa.array([key[1]] * n, pa.string()), pa.array(np.full(n, serial)), pa.array(chunks, pa.binary()), pa.array(bits), pa.array(values[:, 1].astype(np.int64))]
-            return pa.RecordBatch.from_arrays(kinds, ["lang", "source", "block", "chunk", "docs", "n"])
+            chunks, values = [None, *entry], np.array([[0, 0], *entry.values()], dtype=object)
+            bits, rest = values[:, 0].astype(np.uint64).view(np.int64), [None] * (len(chunks) - 1)
+            kinds = [pa.array(np.full(len(chunks), serial)), pa.array(chunks, pa.binary()), pa.array(bits), pa.array(values[:, 1].astype(np.int64)), *(pa.array([x, *rest], pa.string()) for x in key)]
+            return pa.RecordBatch.from_arrays(kinds, ["block", "chunk", "docs", "n", "lang", "source"])
 
         for batch in batches:
             for lang, source, text in zip(*(batch.column(c) for c in ("lang", "source", "text"))):
@@ -86,16 +90,28 @@ def chunked(docs: DataFrame) -> DataFrame:
             yield given(k, e)
 
     texts = docs.select(*_GROUP, F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(count, "lang string, source string, block long, chunk binary, docs long, n long")
+    return texts.mapInArrow(count, "block long, chunk binary, docs long, n long, lang string, source string")
+
 
+def counted(docs: DataFrame, groups: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(no, lang, term, n), a term's occurrences in each source of (no, lang, source), and (lang, term) of those in ``least`` documents of the language."""
+    given = settled(chunked(docs), "divergence-chunks")
+    rows = given.where("chunk is not null").select("block", "chunk", "docs", "n")
+    blocks = settled(given.where("chunk is null").select("block", "lang", "source").join(groups, [*_GROUP]).select("block", "lang", "no"), "divergence-blocks")
+    cut = F.explode(F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), 0))
+    terms = settled(rows.select("chunk").distinct().select("chunk", cut.alias("term")), "divergence-terms")
 
-def counted(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n): documents of a language and source with a term, and occurrences."""
-    rows = settled(chunked(docs), "divergence-chunks")
-    term = F.explode(F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), 0))
-    terms = rows.select("chunk").distinct().select("chunk", term.alias("term"))
-    in_block = rows.join(terms, "chunk").groupBy(*_GROUP, "block", "term").agg(F.bit_or("docs").alias("docs"), F.sum("n").alias("n"))
-    return in_block.groupBy(*_GROUP, "term").agg(F.sum(F.bit_count("docs")).alias("docs"), F.sum("n").alias("n"))
+    # by chunk, so that the sums, the window and the join with the terms share one shuffle
+    sums = rows.join(blocks, "block").groupBy("no", "lang", "chunk").agg(F.sum(F.bit_count("docs")).alias("docs"), F.sum("n").alias("n"))
+    sums = sums.withColumn("most", F.sum("docs").over(Window.partitionBy("chunk", "lang")))
+    counts = settled(sums.join(terms, "chunk").groupBy("no", "lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max("most").alias("most")), "divergence-counts")
+
+    bounds = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.max("most").alias("most")).where(F.col("docs") >= least)
+    bounds = settled(bounds.select("lang", "term", (F.col("most") >= least).alias("sure")), "divergence-bounds")
+    unsure = settled(terms.distinct().join(bounds.where("not sure"), "term").select("chunk", "lang", "term"), "divergence-unsure")
+    bits = rows.join(blocks, "block").join(unsure, ["chunk", "lang"]).groupBy("lang", "term", "block").agg(F.bit_or("docs").alias("docs"))
+    exact = bits.groupBy("lang", "term").agg(F.sum(F.bit_count("docs")).alias("docs")).where(F.col("docs") >= least)
+    return counts.select("no", "lang", "term", "n"), bounds.where("sure").select("lang", "term").unionByName(exact.select("lang", "term"))
 
 
 def share(n: str, total: str) -> Column:
@@ -158,16 +174,18 @@ def audit(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
     Columns other than these three play no part, and an empty table gives no rows.
     """
     given = docs.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"), (text, "text"))))
-    counts = settled(counted(given), "divergence-counts")
-    by_lang = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least)
-    kept = settled(counts.join(by_lang.drop("docs"), ["lang", "term"]).select(*_GROUP, "term", "n", "lang_n"), "divergence-kept")
-    terms = kept.select("lang", "term", "lang_n").distinct().groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    totals = kept.groupBy(*_GROUP).agg(F.sum("n").alias("total"))
-    no = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")
     # a row a source of a language; the result has a row for each two of them
-    groups = given.select(*_GROUP).distinct().join(totals, [*_GROUP], "left").join(terms, "lang", "left").na.fill(0, ["total", "terms", "lang_total"]).withColumn("no", no)
+    no = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")
+    named = settled(given.select(*_GROUP).distinct().withColumn("no", no), "divergence-sources")
+    counts, kept = counted(given, named, least)
+    kept = settled(counts.join(kept, ["lang", "term"]), "divergence-kept")
+    whole = kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
+    terms = whole.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    totals = kept.groupBy("lang", "no").agg(F.sum("n").alias("total"))
+    groups = named.join(totals, ["lang", "no"], "left").join(terms, "lang", "left").na.fill(0, ["total", "terms", "lang_total"])
     groups = settled(groups.withColumn("p0", F.when(F.col("terms") > 0, share("0", "total")).otherwise(0)), "divergence-groups")
-    weighed = settled(kept.join(groups.drop("p0"), [*_GROUP]).select(*_GROUP, "no", "term", share("n", "total").alias("p"), share("lang_n", "lang_total").alias("q")), "divergence-weighed")
+    shares = kept.join(whole, ["lang", "term"]).join(groups.drop("p0"), ["lang", "no"])
+    weighed = settled(shares.select(*_GROUP, "no", "term", share("n", "total").alias("p"), share("lang_n", "lang_total").alias("q")), "divergence-weighed")
     f = lambda p, q: F.expr(f"({p} - {q}) * ({p} - {q}) div ({p} + {q})")
 
     found = pair_sums(weighed.select("lang", "no", "term", "p"), groups.select("lang", "no", "p0"))

@@ -1,13 +1,14 @@
 """How the words of one source differ from those of others, by chunk factorization.
 
 Documents are cut into chunks at ASCII whitespace, which no term crosses.  Chunks are counted document by
-document, for up to ``DOCS`` documents of a language and source at a time: such a block has a row for each of
-its chunks, with the documents that hold it as bits of a number and all occurrences as a sum.  Each globally
-distinct chunk is cut into terms once, and its terms are joined back to the chunks' sums.
+document and added up for each language and source of a part of the table: documents that hold the chunk, and
+occurrences.  Each globally distinct chunk is cut into terms once, and its terms are joined back to the
+chunks' sums.
 
 A document may have a term in several chunks.  The chunk that most documents of the language have bounds a
-term's documents from below, the sum over its chunks from above; where the wanted number lies between the two, the
-bits of the term's chunks are joined by "or" block by block, and counted.
+term's documents from below, the sum over its chunks from above.  Where the wanted number lies between the
+two no chunk of the term is in that many documents, and of such chunks the documents' numbers are kept, so they are
+joined and counted.
 
 Sources are compared in tiles: a block of sources against another over a block of terms, as arrays of
 whole numbers, so no row is made for a pair of sources and a term.  Terms that neither of two sources has
@@ -26,8 +27,8 @@ from tallyloom.llm.shared import settled
 #: A term: no ASCII character but letters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Documents in a block, one a bit; rows that a task holds back before it gives out all its blocks.
-DOCS, HELD = 64, 1_200_000
+#: Chunks of languages and sources that a task holds back before it gives out what it has.
+HELD = 800_000
 #: Sources in a block, rows of terms that a tile gets on average, and terms at a time inside it.
 SOURCES, TERMS, STEP = 64, 20_000, 256
 SCALE = 1_000_000_000
@@ -35,82 +36,73 @@ SCALE = 1_000_000_000
 _GROUP = ("lang", "source")
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """(block, chunk, docs, n) of (lang, source, text): the documents of a block that hold a chunk, and its occurrences in them.
+def chunked(docs: DataFrame, least: int) -> DataFrame:
+    """(no, lang, chunk, docs, n, ids) of (no, lang, text): documents with a chunk, its occurrences, and those documents' numbers if under ``least``.
 
-    A block's first row has its language and source, and no chunk.
+    A chunk of a language and source has a row for each time that a task gave out what it held.
     """
 
     def count(batches: Iterator) -> Iterator:
         from collections import Counter
+        from itertools import chain
 
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        serial = TaskContext.get().partitionId() << 40
-        blocks: dict = {}  # a language and source -> (documents, {chunk: [bits, occurrences]})
-        held = 0
+        doc = TaskContext.get().partitionId() << 40
+        held: dict = {}  # number and language of a source -> {chunk: [documents, occurrences, first documents]}
+        size = 0
 
-        def given(key, entry):
-            nonlocal serial
-            serial += 1
-            chunks, values = [None, *entry], np.array([[0, 0], *entry.values()], dtype=object)
-            bits, rest = values[:, 0].astype(np.uint64).view(np.int64), [None] * (len(chunks) - 1)
-            kinds = [pa.array(np.full(len(chunks), serial)), pa.array(chunks, pa.binary()), pa.array(bits), pa.array(values[:, 1].astype(np.int64)), *(pa.array([x, *rest], pa.string()) for x in key)]
-            return pa.RecordBatch.from_arrays(kinds, ["block", "chunk", "docs", "n", "lang", "source"])
+        def given():
+            for (no, lang), entry in held.items():
+                counts = [x[:2] for x in entry.values()]
+                ids = [x[2:] if x[0] < least else () for x in entry.values()]
+                docs, n = np.array(counts, dtype=np.int64).T
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(ids), np.int64, ends[-1])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), no)), pa.array([lang] * len(docs), pa.string()), pa.array(list(entry), pa.binary()), pa.array(docs), pa.array(n), lists], ["no", "lang", "chunk", "docs", "n", "ids"])
 
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(c) for c in ("lang", "source", "text"))):
-                chunks = Counter(text.as_py().split())
-                if not chunks:
-                    continue
-                key = (lang.as_py(), source.as_py())
-                docs, entry = blocks.get(key) or (0, {})
-                bit = 1 << docs
-                held -= len(entry)
-                for chunk, n in chunks.items():
+            for no, lang, text in zip(*(batch.column(c) for c in ("no", "lang", "text"))):
+                doc += 1
+                entry = held.setdefault((no.as_py(), lang.as_py()), {})
+                size -= len(entry)
+                for chunk, n in Counter(text.as_py().split()).items():
                     have = entry.get(chunk)
                     if have is None:
-                        entry[chunk] = [bit, n]
+                        entry[chunk] = [1, n, doc]
                     else:
-                        have[0] |= bit
+                        have[0] += 1
                         have[1] += n
-                held += len(entry)
-                blocks[key] = (docs + 1, entry)
-                if docs + 1 == DOCS:
-                    yield given(key, entry)
-                    held -= len(entry)
-                    del blocks[key]
-                elif held > HELD:
-                    for k, (_, e) in blocks.items():
-                        yield given(k, e)
-                    blocks, held = {}, 0
-        for k, (_, e) in blocks.items():
-            yield given(k, e)
-
-    texts = docs.select(*_GROUP, F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(count, "block long, chunk binary, docs long, n long, lang string, source string")
-
-
-def counted(docs: DataFrame, groups: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(no, lang, term, n), a term's occurrences in each source of (no, lang, source), and (lang, term) of those in ``least`` documents of the language."""
-    given = settled(chunked(docs), "divergence-chunks")
-    rows = given.where("chunk is not null").select("block", "chunk", "docs", "n")
-    blocks = settled(given.where("chunk is null").select("block", "lang", "source").join(groups, [*_GROUP]).select("block", "lang", "no"), "divergence-blocks")
+                        if have[0] < least:
+                            have.append(doc)
+                size += len(entry)
+                if not entry:
+                    del held[no.as_py(), lang.as_py()]
+                elif size > HELD:
+                    yield from given()
+                    held, size = {}, 0
+        yield from given()
+
+    return docs.select("no", "lang", F.col("text").cast("binary").alias("text")).mapInArrow(count, "no long, lang string, chunk binary, docs long, n long, ids array<long>")
+
+
+def counted(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(no, lang, term, n), a term's occurrences in each source, and (lang, term) of those in ``least`` documents of the language."""
+    rows = settled(chunked(docs, least), "divergence-chunks")
     cut = F.explode(F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), 0))
     terms = settled(rows.select("chunk").distinct().select("chunk", cut.alias("term")), "divergence-terms")
 
-    # by chunk, so that the sums, the window and the join with the terms share one shuffle
-    sums = rows.join(blocks, "block").groupBy("no", "lang", "chunk").agg(F.sum(F.bit_count("docs")).alias("docs"), F.sum("n").alias("n"))
-    sums = sums.withColumn("most", F.sum("docs").over(Window.partitionBy("chunk", "lang")))
+    # dealt by chunk, which serves the window and the join with the terms alike
+    sums = rows.select("no", "lang", "chunk", "docs", "n").repartition("chunk").withColumn("most", F.sum("docs").over(Window.partitionBy("chunk", "lang")))
     counts = settled(sums.join(terms, "chunk").groupBy("no", "lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max("most").alias("most")), "divergence-counts")
 
     bounds = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.max("most").alias("most")).where(F.col("docs") >= least)
     bounds = settled(bounds.select("lang", "term", (F.col("most") >= least).alias("sure")), "divergence-bounds")
     unsure = settled(terms.distinct().join(bounds.where("not sure"), "term").select("chunk", "lang", "term"), "divergence-unsure")
-    bits = rows.join(blocks, "block").join(unsure, ["chunk", "lang"]).groupBy("lang", "term", "block").agg(F.bit_or("docs").alias("docs"))
-    exact = bits.groupBy("lang", "term").agg(F.sum(F.bit_count("docs")).alias("docs")).where(F.col("docs") >= least)
+    exact = rows.select("lang", "chunk", "ids").join(unsure, ["chunk", "lang"]).select("lang", "term", F.explode("ids").alias("id")).distinct()
+    exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
     return counts.select("no", "lang", "term", "n"), bounds.where("sure").select("lang", "term").unionByName(exact.select("lang", "term"))
 
 
@@ -177,7 +169,7 @@ def audit(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
     # a row a source of a language; the result has a row for each two of them
     no = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")
     named = settled(given.select(*_GROUP).distinct().withColumn("no", no), "divergence-sources")
-    counts, kept = counted(given, named, least)
+    counts, kept = counted(given.join(named, [*_GROUP]).select("no", "lang", "text"), least)
     kept = settled(counts.join(kept, ["lang", "term"]), "divergence-kept")
     whole = kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     terms = whole.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))

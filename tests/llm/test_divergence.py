@@ -55,8 +55,8 @@ def test_odd_rows(spark):
 
 
 @pytest.mark.parametrize("held", [5, 10**6])
-def test_blocks_and_tiles(spark, monkeypatch, held):
-    """Blocks of few documents, blocks given out early, several tiles of sources and of terms, and a source with a third of all rows."""
+def test_parts_and_tiles(spark, monkeypatch, held):
+    """Chunks given out early, several tiles of sources and of terms, and a source with a third of all rows."""
     monkeypatch.setattr(divergence, "HELD", held)
     monkeypatch.setattr(divergence, "SOURCES", 3)
     monkeypatch.setattr(divergence, "TERMS", 40)

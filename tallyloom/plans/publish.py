@@ -1,23 +1,33 @@
-"""Publishing partitions: staged, verified, then made current by one small pointer.
+"""Publishing partitions: staged, verified, then made current by one small commit.
 
 A published table is a folder of versions of partitions.  A new version of a partition is written
-beside the old, its fingerprint is checked against what it must be, and only then does a new pointer
-table name it; readers see the old rows or the new, never a mixture, and a failed check leaves the
-old ones current.
+beside the old, its fingerprint is checked against what it must be, and only then does a commit
+name it; readers see the old rows or the new, never a mixture, and a failed check leaves the old ones
+current.  Of writers at one time those of different partitions all land, and of those of one partition one does.
+
+Beside its rows a version of a partition has a tree of fingerprints: of each document, of each bucket of
+documents, and so of the partition.  They are sums, so a patch changes them by what it takes and
+brings, a sweep compares sums and reads documents of differing buckets alone, and where a document lies
+is known from its bucket.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalars import content_hash
 from tallyloom.operators.checks import extra_checks
-from tallyloom.operators.fingerprint import add, compare, differing_parts, fingerprint
+from tallyloom.operators.fingerprint import add, compare, differing_parts, fingerprint, open_partition_diff
+from tallyloom.plans.commits import CommitLog, ConflictError, Snapshot
 from tallyloom.specs import PublishSpec
+from tallyloom.staged import staged
+
+#: Buckets of documents in a partition's tree.
+BUCKETS = 64
 
 
 def patch(old: DataFrame, changed: DataFrame, fresh: DataFrame, document: Sequence[str]) -> DataFrame:
@@ -40,92 +50,162 @@ def patch_findings(old: DataFrame, changed: DataFrame, fresh: DataFrame, new: Da
     return compare(want, fingerprint(new, spec.checksum, spec.measures, by), by)
 
 
+def bucketed(rows: DataFrame, document: Sequence[str]) -> DataFrame:
+    return rows.withColumn("__bucket", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in document]), F.lit(BUCKETS)).cast("int"))
+
+
 class Store:
-    """A published table at ``path``; ``current()`` reads what the newest pointer names."""
+    """A published table at ``path``; ``current()`` reads the newest version, or that of a snapshot."""
 
     def __init__(self, spark: SparkSession, path: str, spec: PublishSpec):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.log = CommitLog(spark, f"{self.path}/log")
 
-    def _pointers(self) -> DataFrame | None:
-        from pyspark.errors import AnalysisException
-
-        try:
-            return self.spark.read.parquet(f"{self.path}/pointers")
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return None
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        return self.log.snapshot(version)
 
     def versions(self) -> dict[int, str]:
         """Partition -> folder; one row a partition."""
-        pointers = self._pointers()
-        return {} if pointers is None else {r.part: r.folder for r in pointers.groupBy("part").agg(F.max_by("folder", F.struct("version", "folder")).alias("folder")).collect() if r.folder}
-
-    def current(self, parts: Sequence[int] | None = None) -> DataFrame | None:
-        """Current rows of the listed partitions, or of all, in one scan; files hold the partition column too."""
-        folders = [f for p, f in sorted(self.versions().items()) if parts is None or p in parts]
-        return self.spark.read.parquet(*[f"{self.path}/{f}" for f in folders]) if folders else None
-
-    def publish(self, rows: DataFrame, parts: Sequence[int], want: DataFrame | None = None) -> dict[int, str]:
+        return self.snapshot().parts
+
+    def _read(self, kind: str, parts: dict[int, str], buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """Rows, or a level of the tree, of some partitions in one scan."""
+        folders = [f"{self.path}/{folder}/{kind}/__part={p}" for p, folder in sorted(parts.items())]
+        if kind == "docs":  # bucket by bucket, so only those asked for are opened
+            folders = [f"{f}/__bucket={b}" for f, have in zip(folders, self._buckets(parts)) for b in sorted(have if buckets is None else have & {*buckets})]
+        return self.spark.read.parquet(*folders) if folders else None
+
+    def _buckets(self, parts: dict[int, str]) -> list[set[int]]:
+        """The buckets that each partition has, in order; at most ``BUCKETS`` a partition."""
+        there = self._read("buckets", parts)
+        have: dict[int, set[int]] = {}
+        for r in there.select(self.spec.partition, "bucket").collect() if there is not None else []:
+            have.setdefault(r[0], set()).add(r[1])
+        return [have.get(p, set()) for p in sorted(parts)]
+
+    def current(self, parts: Iterable[int] | None = None, at: Snapshot | None = None) -> DataFrame | None:
+        """Rows of the listed partitions, or of all, in one scan; files hold the partition column too."""
+        there = (at or self.snapshot()).parts
+        return self._read("all", there if parts is None else {p: f for p, f in there.items() if p in {*parts}})
+
+    def sums(self, at: Snapshot | None = None, parts: Iterable[int] | None = None) -> DataFrame | None:
+        """(partition, bucket, n, checksum, ...): the upper level of the tree."""
+        there = (at or self.snapshot()).parts
+        return self._read("buckets", there if parts is None else {p: f for p, f in there.items() if p in {*parts}})
+
+    def documents(self, asked: DataFrame | None = None, at: Snapshot | None = None) -> DataFrame | None:
+        """(partition, document, n, checksum, ...): the lower level, of all documents or of those in the buckets of ``asked``."""
+        at = at or self.snapshot()
+        if asked is None:
+            return self._read("docs", at.parts)
+        buckets = [r[0] for r in bucketed(asked, self.spec.document).select("__bucket").distinct().collect()]  # BUCKETS at most
+        found = self._read("docs", at.parts, buckets)
+        return None if found is None else found.join(asked.select(*self.spec.document).distinct(), list(self.spec.document), "left_semi").select(*found.columns)
+
+    def publish(self, rows: DataFrame, parts: Sequence[int], want: DataFrame | None = None, base: Snapshot | None = None, allows=None) -> dict[int, str]:
         """Replaces the listed partitions by ``rows``; returns what became of each [SNK-07, STR-12, STR-13, STR-14].
 
-        ``want`` is the fingerprint the rows must have, by partition.  Rows outside the list or without
+        ``want`` is the fingerprint the rows must have, by partition; ``base`` the snapshot they were made from.  Rows outside the list or without
         a partition, failed checks or a wrong fingerprint raise ValueError and change nothing.  A
-        partition that already equals its rows is skipped; an empty one follows the policy.  Of two
-        publishers that took one version the larger folder name is current, for every reader alike.
+        partition that already equals its rows is skipped; an empty one follows the policy.  Where
+        another publisher has changed one of the partitions since ``base``, ConflictError is raised and nothing changed.
         """
         spec, by = self.spec, [self.spec.partition]
+        base = base or self.snapshot()
         outside = rows.where(F.col(spec.partition).isNull() | ~F.col(spec.partition).isin(*parts)).select(spec.partition).distinct().take(3)
         if outside:
             raise ValueError(f"rows of other partitions: {[r[0] for r in outside]}")
         folder = f"data/{uuid.uuid4().hex}"
-        rows.withColumn("__part", F.col(spec.partition)).hint("rebalance", "__part").write.partitionBy("__part").option("compression", "zstd").parquet(f"{self.path}/{folder}/all")
-        staged = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{folder}/all").select(*rows.columns)
-        have = fingerprint(staged, spec.checksum, spec.measures, by)
+        own = f"{self.path}/{folder}"
+        rows.withColumn("__part", F.col(spec.partition)).hint("rebalance", "__part").write.partitionBy("__part").option("compression", "zstd").parquet(f"{own}/all")
+        staged_rows = self.spark.read.schema(rows.schema).parquet(f"{own}/all").select(*rows.columns)
+        self._grow(staged_rows, own)
+        have = add([self.spark.read.parquet(f"{own}/buckets").drop("bucket", "__part")], by)
         if want is not None and (bad := compare(want, have, by).take(5)):
             raise ValueError(f"fingerprints differ: {bad}")
         if spec.business_key or spec.not_zero or spec.not_empty:
             unique = [spec.business_key] if spec.business_key else []
-            if bad := extra_checks(staged, unique, spec.not_zero, spec.not_empty).where("bad > 0").collect():
+            if bad := extra_checks(staged_rows, unique, spec.not_zero, spec.not_empty).where("bad > 0").collect():
                 raise ValueError(f"checks failed: {[tuple(r) for r in bad]}")
         filled = {r[0] for r in have.select(spec.partition).collect()}
         if (empty := sorted(set(parts) - filled)) and spec.on_empty == "fail":
             raise ValueError(f"partitions would be empty: {empty}")
-        old = self.current(parts)
         same: set[int] = set()
-        if old is not None:
-            differing = {r[0] for r in compare(fingerprint(old, spec.checksum, spec.measures, by), have, by).select(spec.partition).distinct().collect()}
+        if (old := self.sums(base, parts)) is not None:
+            differing = {r[0] for r in compare(add([old.drop("bucket")], by), have, by).select(spec.partition).distinct().collect()}
             same = filled - differing
         done = {p: "unchanged" if p in same else "published" if p in filled else "cleared" for p in parts}
-        pointers = self._pointers()
-        version = 1 + ((pointers.agg(F.max("version")).first()[0] or 0) if pointers is not None else 0)
-        moved = [(p, version, f"{folder}/all/__part={p}" if s == "published" else "") for p, s in done.items() if s != "unchanged"]
+        moved = {p: folder if s == "published" else "" for p, s in done.items() if s != "unchanged"}
         if moved:
-            self.spark.createDataFrame(moved, "part int, version long, folder string").coalesce(1).write.mode("append").parquet(f"{self.path}/pointers")
+            self.log.commit(base, moved, parts, allows)
         return done
 
+    def _grow(self, rows: DataFrame, own: str) -> None:
+        """Writes the tree of ``rows``, each level from the one below."""
+        spec = self.spec
+        tagged = bucketed(rows.withColumn("__part", F.col(spec.partition)), spec.document)
+        names = ["__part", "__bucket", spec.partition, *spec.document]
+        fingerprint(tagged, spec.checksum, spec.measures, names).hint("rebalance", "__part").write.partitionBy("__part", "__bucket").option("compression", "zstd").parquet(f"{own}/docs")
+        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fingerprint(tagged, spec.checksum, spec.measures, names).schema)
+        docs = self.spark.read.schema(types).parquet(f"{own}/docs")
+        sums = add([docs.withColumn("bucket", F.col("__bucket")).drop("__bucket", *spec.document)], ["__part", spec.partition, "bucket"])
+        sums.repartition(1, "__part").write.partitionBy("__part").option("compression", "zstd").parquet(f"{own}/buckets")
+
     def apply(self, changed: DataFrame, fresh: DataFrame) -> dict[int, str]:
-        """A document patch of every partition it touches, checked against its additive fingerprint [STR-11]."""
-        old = self.current()
+        """A document patch of every partition it touches [STR-11].
+
+        Where the changed documents lie is read from their buckets of the tree, and what the patched
+        partitions must come to is their old sums less the documents that go and more the fresh ones, so
+        rows are read of touched partitions alone.  A publisher that came in between
+        with one of the changed documents raises ConflictError, as does one of the same partitions.
+        """
+        spec, by, base = self.spec, [self.spec.partition], self.snapshot()
+        old = self.current(at=base)
         if old is None:
             raise ValueError("nothing is published yet; rebuild first")
-        parts = [r[0] for r in touched_partitions(old, changed, fresh, self.spec).collect()]
-        mine = self.current(parts)
+        changed = changed.select(*spec.document).distinct()
+        leaves = self.documents(changed, base)
+        gone = staged(fingerprint(fresh.limit(0), spec.checksum, spec.measures, [*by, *spec.document]) if leaves is None else leaves.select(*by, *spec.document, *[c for c in leaves.columns if c not in (*by, *spec.document)]), "gone")
+        parts = [r[0] for r in gone.select(spec.partition).union(fresh.select(spec.partition)).distinct().collect()]  # a row a touched partition
+        mine = self.current(parts, base)
         mine = old.limit(0) if mine is None else mine
-        by = [self.spec.partition]
-        kept = mine.join(changed.select(*self.spec.document).distinct(), list(self.spec.document), "left_anti")
-        want = add([fingerprint(kept, self.spec.checksum, self.spec.measures, by), fingerprint(fresh, self.spec.checksum, self.spec.measures, by)], by)
-        return self.publish(patch(mine, changed, fresh, self.spec.document), parts, want)
+        took = gone.select(*by, *[(-F.col(c)).alias(c) for c in gone.columns if c not in (*by, *spec.document)])
+        sums = self.sums(base, parts)
+        pieces = [took, fingerprint(fresh, spec.checksum, spec.measures, by), *([sums.drop("bucket")] if sums is not None else [])]
+        want = add(pieces, by).where("n <> 0")
+
+        def allows(theirs: dict) -> bool:
+            other = self.documents(changed, Snapshot(0, {p: f for p, f in theirs.items() if f}))
+            return other is None or other.isEmpty()
 
-    def current_with_part(self) -> DataFrame | None:
-        return self.current()
+        return self.publish(patch(mine, changed, fresh, spec.document), parts, want, base, allows)
 
     def sweep(self, source: DataFrame) -> DataFrame:
-        """(partition) of those that differ between the source and what is published [STR-09]."""
+        """(partition) of those that differ between the source and what is published [STR-09]; of the store only sums are read."""
         spec, by = self.spec, [self.spec.partition]
-        have = self.current()
-        have = source.limit(0) if have is None else have
-        return differing_parts(fingerprint(source, spec.checksum, spec.measures, by), fingerprint(have, spec.checksum, spec.measures, by), by)
+        mine = fingerprint(source, spec.checksum, spec.measures, by)
+        sums = self.sums()
+        return differing_parts(mine, mine.limit(0) if sums is None else add([sums.drop("bucket")], by), by)
+
+    def differing_documents(self, source: DataFrame) -> DataFrame:
+        """(partition, document, state) of documents that are new at the source, changed, or gone from it [CHK-05, CHK-06].
+
+        Sums of buckets are compared first; documents are compared in buckets that differ, and of the store only those are read.
+        """
+        spec, at = self.spec, self.snapshot()
+        by = [spec.partition, "bucket"]
+        tagged = bucketed(source, spec.document).withColumnRenamed("__bucket", "bucket")
+        mine = staged(fingerprint(tagged, spec.checksum, spec.measures, by), "source-sums")
+        sums = self.sums(at)
+        differ = staged(differing_parts(mine, mine.limit(0) if sums is None else sums.select(*mine.columns), by), "differing")
+        open_ = {}
+        for r in differ.collect():  # BUCKETS a partition at most
+            open_.setdefault(r[0], set()).add(r[1])
+        folders = [f"{self.path}/{at.parts[p]}/docs/__part={p}/__bucket={b}" for p, have in zip(sorted(at.parts), self._buckets(at.parts)) for b in sorted(have & open_.get(p, set()))]
+        names = [spec.partition, *spec.document]
+        left = fingerprint(tagged.join(differ, by, "left_semi"), spec.checksum, spec.measures, names)
+        right = self.spark.read.parquet(*folders) if folders else left.limit(0)
+        return open_partition_diff(left, right, names)
 
 
 def promote(shadow: Store, live: Store) -> str:

@@ -105,14 +105,14 @@ def test_store(spark, tmp_path):
     assert store.publish(first, [1, 2]) == {1: "unchanged", 2: "unchanged"}
     changed = spark.createDataFrame([(10,), (12,)], "doc bigint")
     assert store.apply(changed, facts(spark, (2, 10, 1, 5, 9.0))) == {1: "published", 2: "published"}
-    assert rows(store.current_with_part(), "part", "doc", "amount") == [(1, 11, 3.0), (2, 10, 9.0)]
+    assert rows(store.current(), "part", "doc", "amount") == [(1, 11, 3.0), (2, 10, 9.0)]
     with pytest.raises(ValueError, match="checks"):
         store.publish(facts(spark, (1, 1, 1, 0, 1.0)), [1])
     with pytest.raises(ValueError, match="other partitions"):
         store.publish(first, [1])
     with pytest.raises(ValueError, match="empty"):
         store.publish(first.where("part = 2"), [1, 2])
-    assert rows(store.current_with_part(), "part", "doc", "amount") == [(1, 11, 3.0), (2, 10, 9.0)]
+    assert rows(store.current(), "part", "doc", "amount") == [(1, 11, 3.0), (2, 10, 9.0)]
 
 
 def test_tick(spark, tmp_path):
@@ -123,7 +123,7 @@ def test_tick(spark, tmp_path):
     spark.createDataFrame([("10",), ("11",), ("99",)], "uid string").write.parquet(str(signals))
     run = tick(store, "doc", lambda ready: source.join(ready, source.doc.cast("string") == ready.uid, "left_semi"), lambda asked: source.select(F.col("doc").cast("string").alias("uid")), str(tmp_path / "pending"))
     follow(spark.readStream.schema("uid string").parquet(str(signals)), run, str(tmp_path / "ck")).awaitTermination()
-    assert rows(store.current_with_part(), "doc", "amount") == [(10, 8.0)]
+    assert rows(store.current(), "doc", "amount") == [(10, 8.0)]
     assert rows(spark.read.parquet(str(tmp_path / "pending/0")), "uid") == [("99",)]
 
 

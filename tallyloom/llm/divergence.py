@@ -1,9 +1,9 @@
 """How the words of one source differ from those of others, by chunk factorization.
 
 Documents are cut into chunks at ASCII whitespace, which no term crosses.  Chunks are counted document by
-document and added up for each language and source of a part of the table: documents that hold the chunk, and
-occurrences.  Each globally distinct chunk is cut into terms once, and its terms are joined back to the
-chunks' sums.
+document, and added up within a bounded run of documents: for a language and chunk, the documents that hold
+it, and its occurrences in each source.  Each globally distinct chunk is cut into terms once, and its terms are
+joined back to the chunks' sums.
 
 A document may have a term in several chunks.  The chunk that most documents of the language have bounds a
 term's documents from below, the sum over its chunks from above.  Where the wanted number lies between the
@@ -27,8 +27,8 @@ from tallyloom.llm.shared import settled
 #: A term: no ASCII character but letters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Chunks of languages and sources that a task holds back before it gives out what it has.
-HELD = 800_000
+#: Bytes of text whose chunks are added up at a time.
+RUN = 1 << 25
 #: Sources in a block, rows of terms that a tile gets on average, and terms at a time inside it.
 SOURCES, TERMS, STEP = 64, 20_000, 256
 SCALE = 1_000_000_000
@@ -36,67 +36,82 @@ SCALE = 1_000_000_000
 _GROUP = ("lang", "source")
 
 
+def summed(no, lang, text, first: int, least: int):
+    """The rows of ``chunked`` of one run of documents, numbered from ``first``."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    order = pc.sort_indices(no)  # so that a chunk's documents come source by source
+    no, lang, text = no.take(order).to_numpy(), lang.take(order).dictionary_encode(), text.take(order)
+    cut = pc.ascii_split_whitespace(text)
+    chunks = cut.flatten().dictionary_encode()
+    codes, names = chunks.indices.to_numpy(), chunks.dictionary
+    doc = np.repeat(np.arange(len(no)), cut.value_lengths().to_numpy())
+    fine = codes != pc.index(names, "").as_py()  # at a text's ends
+    k = max(1, len(names))
+    pairs, n = np.unique(doc[fine] * k + codes[fine], return_counts=True)
+    doc, code = np.divmod(pairs, k)
+    key = lang.indices.to_numpy().astype(np.int64)[doc] * k + code
+    order = np.argsort(key, kind="stable")
+    key, doc, n = key[order], doc[order], n[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    held = np.diff(starts, append=len(key))
+    split = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(no[doc], prepend=-1) != 0))
+    sources = no[doc[split]] << 32 | (np.add.reduceat(n, split) if len(split) else n)
+    rare = held < least
+    listed = lambda ends, values: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+    by_source = listed(np.append(np.searchsorted(split, starts), len(split)), sources)
+    ids = listed(np.concatenate([[0], np.cumsum(np.where(rare, held, 0))]), first + doc[np.repeat(rare, held)])
+    columns = [lang.dictionary.take(pa.array(key[starts] // k)), names.take(pa.array(key[starts] % k)), pa.array(held), by_source, ids]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "docs", "sources", "ids"])
+
+
 def chunked(docs: DataFrame, least: int) -> DataFrame:
-    """(no, lang, chunk, docs, n, ids) of (no, lang, text): documents with a chunk, its occurrences, and those documents' numbers if under ``least``.
+    """(lang, chunk, docs, sources, ids) of (no, lang, text): documents with a chunk, its occurrences in each source, and those documents' numbers if under ``least``.
 
-    A chunk of a language and source has a row for each time that a task gave out what it held.
+    An element of ``sources`` is a source's number times 2**32, and the occurrences.  A language and chunk have a row for each run of documents.
     """
 
     def count(batches: Iterator) -> Iterator:
-        from collections import Counter
-        from itertools import chain
-
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        doc = TaskContext.get().partitionId() << 40
-        held: dict = {}  # number and language of a source -> {chunk: [documents, occurrences, first documents]}
-        size = 0
+        first, held, size = TaskContext.get().partitionId() << 40, [], 0
 
         def given():
-            for (no, lang), entry in held.items():
-                counts = [x[:2] for x in entry.values()]
-                ids = [x[2:] if x[0] < least else () for x in entry.values()]
-                docs, n = np.array(counts, dtype=np.int64).T
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(chain.from_iterable(ids), np.int64, ends[-1])))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), no)), pa.array([lang] * len(docs), pa.string()), pa.array(list(entry), pa.binary()), pa.array(docs), pa.array(n), lists], ["no", "lang", "chunk", "docs", "n", "ids"])
+            no, lang, text = (pa.concat_arrays([b.column(c) for b in held]) for c in ("no", "lang", "text"))
+            return summed(no, lang, text, first, least)
 
         for batch in batches:
-            for no, lang, text in zip(*(batch.column(c) for c in ("no", "lang", "text"))):
-                doc += 1
-                entry = held.setdefault((no.as_py(), lang.as_py()), {})
-                size -= len(entry)
-                for chunk, n in Counter(text.as_py().split()).items():
-                    have = entry.get(chunk)
-                    if have is None:
-                        entry[chunk] = [1, n, doc]
-                    else:
-                        have[0] += 1
-                        have[1] += n
-                        if have[0] < least:
-                            have.append(doc)
-                size += len(entry)
-                if not entry:
-                    del held[no.as_py(), lang.as_py()]
-                elif size > HELD:
-                    yield from given()
-                    held, size = {}, 0
-        yield from given()
-
-    return docs.select("no", "lang", F.col("text").cast("binary").alias("text")).mapInArrow(count, "no long, lang string, chunk binary, docs long, n long, ids array<long>")
+            at, lengths = 0, np.array(pc.binary_length(batch.column("text")), np.int64)
+            while at < len(batch):
+                take = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), RUN - size, "right")))
+                held.append(batch.slice(at, take))
+                size += int(lengths[at : at + take].sum())
+                at += take
+                if size >= RUN or at < len(batch):
+                    yield given()
+                    first, held, size = first + sum(map(len, held)), [], 0
+        if held:
+            yield given()
+
+    return docs.select("no", "lang", "text").mapInArrow(count, "lang string, chunk string, docs long, sources array<long>, ids array<long>")
 
 
 def counted(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """(no, lang, term, n), a term's occurrences in each source, and (lang, term) of those in ``least`` documents of the language."""
     rows = settled(chunked(docs, least), "divergence-chunks")
-    cut = F.explode(F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), 0))
+    cut = F.explode(F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0))
     terms = settled(rows.select("chunk").distinct().select("chunk", cut.alias("term")), "divergence-terms")
 
-    # dealt by chunk, which serves the window and the join with the terms alike
-    sums = rows.select("no", "lang", "chunk", "docs", "n").repartition("chunk").withColumn("most", F.sum("docs").over(Window.partitionBy("chunk", "lang")))
-    counts = settled(sums.join(terms, "chunk").groupBy("no", "lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max("most").alias("most")), "divergence-counts")
+    # dealt by chunk, which serves the window and the join with the terms alike; a row's documents are added once, with its first source
+    sums = rows.select("lang", "chunk", "docs", "sources").repartition("chunk").withColumn("most", F.sum("docs").over(Window.partitionBy("chunk", "lang")))
+    each = sums.join(terms, "chunk").select("lang", "term", "docs", "most", F.posexplode("sources").alias("pos", "source"))
+    each = each.select(F.shiftrightunsigned("source", 32).alias("no"), "lang", "term", F.col("source").bitwiseAND(F.lit(0xFFFFFFFF)).alias("n"), F.when(F.col("pos") == 0, F.col("docs")).otherwise(0).alias("docs"), "most")
+    counts = settled(each.groupBy("no", "lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max("most").alias("most")), "divergence-counts")
 
     bounds = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.max("most").alias("most")).where(F.col("docs") >= least)
     bounds = settled(bounds.select("lang", "term", (F.col("most") >= least).alias("sure")), "divergence-bounds")

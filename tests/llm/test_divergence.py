@@ -54,10 +54,10 @@ def test_odd_rows(spark):
     assert found(spark, rows, least=1, top=2) == brute(rows, 1, 2)
 
 
-@pytest.mark.parametrize("held", [5, 10**6])
-def test_parts_and_tiles(spark, monkeypatch, held):
-    """Chunks given out early, several tiles of sources and of terms, and a source with a third of all rows."""
-    monkeypatch.setattr(divergence, "HELD", held)
+@pytest.mark.parametrize("run", [60, 1 << 25])
+def test_parts_and_tiles(spark, monkeypatch, run):
+    """Short runs of documents, several tiles of sources and of terms, and a source with a third of all rows."""
+    monkeypatch.setattr(divergence, "RUN", run)
     monkeypatch.setattr(divergence, "SOURCES", 3)
     monkeypatch.setattr(divergence, "TERMS", 40)
     monkeypatch.setattr(divergence, "STEP", 7)

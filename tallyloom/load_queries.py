@@ -107,10 +107,10 @@ def first_windows(spark, sf):
     return datasets.first_window(one.union(two), "o_orderkey", "window_no").select("o_orderkey", "window_no")
 
 
-@query(f"with {_SIG} select uid, updated_at, least(timestamp '2024-01-20', timestamp '2024-01-15 06:00:00') as window_end from sig where updated_at < timestamp '2024-01-15 06:00:00'")
+@query(f"with {_SIG} select uid, updated_at, least(timestamp '2024-01-31', timestamp '2024-01-30 06:00:00') as window_end from sig where updated_at < timestamp '2024-01-30 06:00:00'")
 def clamped_signals(spark, sf):
     """FLT-11"""
-    kept, end = changes.clamp(signalled(spark, sf), ts("2024-01-20"), ts("2024-01-15 06:00:00"))
+    kept, end = changes.clamp(signalled(spark, sf), ts("2024-01-31"), ts("2024-01-30 06:00:00"))
     return kept.withColumn("window_end", end)
 
 
@@ -269,6 +269,43 @@ def swept_partitions(spark, sf):
     return store.sweep(source)
 
 
+@query(f"select {_PART} as part, o_orderkey, case o_orderkey % 3 when 0 then 'changed' when 1 then 'deleted' else 'new' end as state from orders where o_orderkey % 500 between 3 and 5")
+def swept_by_tree(spark, sf):
+    """STR-09, CHK-05, CHK-06: documents that differ, over all orders; of the store only its tree is read"""
+    rows, k = facts(spark, sf), F.col("o_orderkey")
+    odd = (k % 500).between(3, 5)
+    store = published(spark, sf, rows.where(~odd | (k % 3 != 2)), "tree")
+    return store.differing_documents(rows.where(~odd | (k % 3 != 1)).withColumn("o_totalprice", F.col("o_totalprice") + (odd & (k % 3 == 0)).cast("int")))
+
+
+@query(f"select {_PART} as part, count(*) as n, sum((o_totalprice * case when {_PART} in (199701, 199801) then 2 else 1 end)::decimal(18,4))::double as amount from orders group by 1")
+def concurrent_publishers(spark, sf):
+    """SNK-07, STR-12: of publishers that start from one version those of other partitions land, and of one partition's one does"""
+    rows = facts(spark, sf)
+    store = published(spark, sf, rows, "shared")
+    at = store.snapshot()
+    month = lambda p, times: rows.where(F.col("part") == p).withColumn("o_totalprice", F.col("o_totalprice") * times)
+    for p in (199701, 199801):
+        publish.Store(spark, store.path, FACTS).publish(month(p, 2), [p], base=at)
+    try:
+        store.publish(month(199701, 3), [199701], base=at)
+    except publish.ConflictError:
+        return store.current().groupBy("part").agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).cast("double").alias("amount"))
+    raise ValueError("a lost update")
+
+
+@query(f"select {_PART} as part, count(*) as n, sum(o_totalprice::decimal(18,4))::double as amount from orders group by 1")
+def published_snapshot(spark, sf):
+    """STR-12, STR-13: a snapshot gives the rows of its version, whatever is published after it"""
+    rows = facts(spark, sf)
+    store = published(spark, sf, rows, "kept")
+    at = store.snapshot()
+    store.apply(rows.select("o_orderkey").where("o_orderkey % 4 = 0"), rows.where("o_orderkey % 8 = 0").withColumn("o_totalprice", F.lit(1.0)))
+    if store.snapshot().version == at.version:
+        raise ValueError("nothing was published")
+    return store.current(at=at).groupBy("part").agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).cast("double").alias("amount"))
+
+
 @query(f"select {_PART} as part, count(*) as n from orders where {_PART} in (199612, 199701) group by 1")
 def hot_window(spark, sf):
     """STR-08, SCL-29: the current month and the one before"""
@@ -298,10 +335,10 @@ def reloaded_documents(spark, sf):
 # ---- ticks
 
 
-@query(f"with {_SIG} select * from sig where updated_at >= timestamp '2024-01-15' - interval 5 minute and updated_at < timestamp '2024-01-25' - interval 5 second")
+@query(f"with {_SIG} select * from sig where updated_at >= timestamp '2024-01-28' - interval 5 minute and updated_at < timestamp '2024-01-31' - interval 5 second")
 def tick_window(spark, sf):
     """STR-01"""
-    return ticks.in_bounds(signalled(spark, sf), ts("2024-01-15"), ts("2024-01-25"))
+    return ticks.in_bounds(signalled(spark, sf), ts("2024-01-28"), ts("2024-01-31"))
 
 
 _AGED = "(select uid, min(updated_at) as since from (select (user_id * 101 % 20000)::varchar as uid, ts as updated_at from events where event_type in ('purchase', 'click')) group by 1)"

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalars import binary_to_int, checkpoint_field, deviation, safe_sum
+from tallyloom.staged import staged
 
 #: Severity of a reconciliation status.
 SEVERITY = {"PASS": 0, "WAIT": 1, "FAIL": 2}
@@ -32,27 +34,128 @@ def sales_daily(lines: DataFrame, keys: Sequence[str], quantity: str, amount: st
     return lines.groupBy(F.to_date(at).alias("day"), *keys).agg(F.sum(quantity).alias("quantity"), F.sum(amount).alias("amount"), F.count("*").alias("n_lines"))
 
 
-def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, n_distinct, null_pct, avg_width) in one pass [AGG-27]."""
-    aggs = [a for k, c in enumerate(columns) for a in (F.count_distinct(c).alias(f"d{k}"), F.avg(F.col(c).isNull().cast("int")).alias(f"n{k}"), F.avg(F.length(F.col(c).cast("string"))).alias(f"w{k}"))]
+#: Fixed value: what an empty reference comes to without its dashes.
+NO_REFERENCE = "0" * 32
+
+
+def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """(column_name, n_distinct, null_pct, avg_width, n_empty_refs) [AGG-27].
+
+    Shares, widths and empty references come from one scan, and so do the distinct values as sketches
+    that merge (within about 2 per cent).  ``exact`` counts them instead, column by column, so no row is
+    multiplied by the columns.
+    """
+    text = lambda c: F.col(c).cast("string")
+    aggs = [a for k, c in enumerate(columns) for a in (F.avg(F.col(c).isNull().cast("int")).alias(f"n{k}"), F.avg(F.length(text(c))).alias(f"w{k}"), F.count_if(F.replace(text(c), F.lit("-"), F.lit("")) == NO_REFERENCE).alias(f"e{k}"))]
+    if not exact:
+        aggs += [F.hll_sketch_estimate(F.hll_sketch_agg(text(c), F.lit(14))).alias(f"d{k}") for k, c in enumerate(columns)]
     one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"d{k}").alias("n_distinct"), F.round(F.col(f"n{k}") * 100, 4).alias("null_pct"), F.round(f"w{k}", 4).alias("avg_width")) for k, c in enumerate(columns)])
+    if exact:
+        for k, c in enumerate(columns):
+            one = one.join(df.select(F.col(c).alias("__v")).where("__v is not null").groupBy("__v").agg(F.lit(1).alias("__n")).agg(F.count("*").alias(f"d{k}")))  # one row each
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"d{k}").alias("n_distinct"), F.round(F.col(f"n{k}") * 100, 4).alias("null_pct"), F.round(f"w{k}", 4).alias("avg_width"), F.col(f"e{k}").alias("n_empty_refs")) for k, c in enumerate(columns)])
     return one.select(F.explode(rows).alias("x")).select("x.*")
 
 
+#: Values of a group that are brought together at last, and a selection's grid and sketch size.
+FEW, GRID, ACCURACY = 20_000, 256, 8192
+
+
+def medians(df: DataFrame, measure: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, middle): the exact median of each group, of any size [AGG-20, WIN-08].
+
+    A selection by rounds: quantile sketches, which merge, give values between which the middle lies;
+    counting what is below them says which place it has among those between, and only these go on.  A round
+    leaves about one value in a hundred; groups of ``FEW`` or less are sorted.  A sketch that was wrong
+    is seen by the counts, and its bound is taken back.  Nulls do not count; a group without values has no row.
+    """
+    keys = [f"__k{k}" for k in range(len(by))] or ["__k"]
+    renamed = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("__k")]
+    values = df.select(*renamed, F.col(measure).cast("double").alias("v")).where("v is not null")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+    side = lambda state: state.select(*[F.col(k).alias(f"{k}_") for k in keys], "lo", "hi", "first", "second")
+    counts = values.groupBy(*keys).agg(F.count("*").alias("n"))
+    low, high = F.lit(float("-inf")), F.lit(float("nan"))  # which sorts after all
+    # places count from 0 among the values between lo and hi
+    state = staged(counts.select(*keys, "n", low.alias("lo"), high.alias("hi"), F.expr("(n - 1) div 2").alias("first"), F.expr("n div 2").alias("second")), "median-state")
+    done, margin = [], 4
+    while True:
+        done.append(state.where((F.col("n") <= FEW) | (F.col("lo") == F.col("hi"))))
+        state = state.where((F.col("n") > FEW) & (F.col("lo") < F.col("hi")))
+        if state.isEmpty():
+            break
+        inside = values.join(side(state), same).where("v between lo and hi")
+        grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+        cut = inside.groupBy(*keys).agg(F.percentile_approx("v", grid, F.lit(ACCURACY)).alias("g"))
+        whole = state.withColumnsRenamed({k: f"{k}_" for k in keys}).join(cut, same)
+        at = lambda place, sign: F.floor((F.col(place) / F.col("n") + sign * margin / ACCURACY) * GRID)
+        lower, upper = at("first", -1), at("second", 1) + 1
+        near = staged(whole.select(*keys, "lo", "hi", "first", "second", F.when(lower >= 0, F.try_element_at("g", lower.cast("int") + 1)).alias("l"), F.when(upper <= GRID, F.try_element_at("g", upper.cast("int") + 1)).alias("h")), "median-near")
+        bounds = near.select(*[F.col(k).alias(f"{k}_") for k in keys], "lo", "hi", "first", "second", F.coalesce("l", "lo").alias("l"), F.coalesce("h", "hi").alias("h"))
+        seen = values.join(bounds, same).where("v between lo and hi")
+        counted = seen.groupBy(*keys, "lo", "hi", "first", "second", "l", "h").agg(F.count_if(F.col("v") < F.col("l")).alias("less"), F.count_if(F.col("v") <= F.col("h")).alias("up_to"), F.count("*").alias("n"))
+        keep_low, keep_high = F.col("less") <= F.col("first"), F.col("up_to") > F.col("second")
+        less = F.when(keep_low, F.col("less")).otherwise(0)
+        state = staged(counted.select(*keys, (F.when(keep_high, F.col("up_to")).otherwise(F.col("n")) - less).alias("n"), F.when(keep_low, F.col("l")).otherwise(F.col("lo")).alias("lo"), F.when(keep_high, F.col("h")).otherwise(F.col("hi")).alias("hi"), (F.col("first") - less).alias("first"), (F.col("second") - less).alias("second")), "median-state")
+        margin *= 2
+    small = staged(reduce(DataFrame.unionByName, done), "median-small")
+    alike = small.where(F.col("lo") == F.col("hi")).select(*keys, F.col("lo").alias("middle"))
+    sorted_ = values.join(side(small.where(F.col("lo") < F.col("hi"))), same).where("v between lo and hi")
+    picked = sorted_.groupBy(*keys, "first", "second").agg(F.sort_array(F.collect_list("v")).alias("a"))  # FEW at most
+    pick = lambda c: F.element_at("a", F.col(c).cast("int") + 1)
+    out = alike.unionByName(picked.select(*keys, ((pick("first") + pick("second")) / 2).alias("middle")))
+    return out.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "middle")
+
+
+def in_parts(runs: DataFrame, by: Sequence[str], at: str) -> DataFrame:
+    """``runs`` with ``__part``, a range of their order: a key's runs lie in as many parts as they fill."""
+    order = [*by, at, "run_id"]
+    parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(runs.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "run-parts")
+
+
+def gaps(runs: DataFrame, at: str, by: Sequence[str]) -> DataFrame:
+    """(by, gap): seconds from each run to the next.  Parts are walked on their own; a part's first run takes the last of the part before."""
+    rows = in_parts(runs, by, at)
+    seconds = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6
+    inside = Window.partitionBy(*by, "__part").orderBy(at, "run_id")
+    within = rows.select(*by, F.round(seconds(at) - F.lag(seconds(at)).over(inside), 3).alias("gap"))
+    ends = rows.groupBy(*by, "__part").agg(F.min(at).alias("__first"), F.max(at).alias("__last"))  # a row a key and part
+    across = ends.select(*by, F.round(seconds("__first") - F.lag(seconds("__last")).over(Window.partitionBy(*by).orderBy("__part")), 3).alias("gap"))
+    return within.unionByName(across).where("gap is not null")
+
+
 def run_gaps(runs: DataFrame, at: str, by: Sequence[str], over_s: float) -> DataFrame:
     """Gaps between runs: number, least, median, largest, and how many exceed a limit [WIN-05, AGG-20, CHK-19]."""
-    w = Window.partitionBy(*by).orderBy(at, "run_id")
-    gap = F.unix_micros(F.col(at).cast("timestamp")) / 1e6 - F.unix_micros(F.lag(at).over(w).cast("timestamp")) / 1e6
-    return runs.withColumn("gap", F.round(gap, 3)).groupBy(*by).agg(F.count("gap").alias("n_gaps"), F.min("gap").alias("least"), F.round(F.median("gap"), 3).alias("middle"), F.max("gap").alias("largest"), F.count_if(F.col("gap") > over_s).alias("n_over"))
+    each = staged(gaps(runs, at, by), "gaps")
+    had = runs.select(*by).distinct()
+    sums = each.groupBy(*by).agg(F.count("gap").alias("n_gaps"), F.min("gap").alias("least"), F.max("gap").alias("largest"), F.count_if(F.col("gap") > over_s).alias("n_over"))
+    joined = _beside(_beside(had, sums, by), medians(each, "gap", by), by)
+    return joined.select(*by, F.coalesce("n_gaps", F.lit(0)).alias("n_gaps"), "least", F.round("middle", 3).alias("middle"), "largest", F.coalesce("n_over", F.lit(0)).alias("n_over"))
+
+
+def _beside(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A left join on ``by``, in which null keys are equal."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in by})
+    on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in by], F.lit(True))
+    return left.join(renamed, on, "left").drop(*[f"__r_{c}" for c in by])
 
 
 def streaks(runs: DataFrame, by: Sequence[str], at: str, status: str) -> DataFrame:
-    """The longest run of each status in a row [WIN-06]."""
-    w = Window.partitionBy(*by).orderBy(at, "run_id")
-    change = (~F.col(status).eqNullSafe(F.lag(status).over(w))).cast("int")
-    islands = runs.withColumn("__c", change).withColumn("__i", F.sum("__c").over(w)).groupBy(*by, status, "__i").agg(F.count("*").alias("n"))
-    return islands.groupBy(*by, status).agg(F.max("n").alias("longest"))
+    """The longest run of each status in a row [WIN-06].
+
+    Each part of the order sums up its runs of equal status.  Only the first and the last of a part can go
+    on in another, so these are joined once more, part by part.
+    """
+    inside = Window.partitionBy(*by, "__part").orderBy(at, "run_id")
+    change = (~F.col(status).eqNullSafe(F.lag(status).over(inside)) | F.lag("run_id").over(inside).isNull()).cast("int")
+    islands = in_parts(runs, by, at).withColumn("__c", change).withColumn("__i", F.sum("__c").over(inside)).groupBy(*by, "__part", "__i", status).agg(F.count("*").alias("n"))
+    islands = staged(islands.withColumn("__top", F.max("__i").over(Window.partitionBy(*by, "__part"))), "islands")
+    edges = islands.where("__i = 1 or __i = __top")  # two a key and part at most
+    order = Window.partitionBy(*by).orderBy("__part", "__i")
+    fresh = (~F.col(status).eqNullSafe(F.lag(status).over(order)) | F.lag("__part").over(order).isNull() | (F.lag("__part").over(order) == F.col("__part"))).cast("int")
+    joined = edges.withColumn("__f", fresh).withColumn("__j", F.sum("__f").over(order)).groupBy(*by, status, "__j").agg(F.sum("n").alias("n"))
+    return islands.where("__i > 1 and __i < __top").select(*by, status, "n").unionByName(joined.select(*by, status, "n")).groupBy(*by, status).agg(F.max("n").alias("longest"))
 
 
 def vanished_lines(lines: DataFrame, headers: DataFrame, key: str, stamp: str, touched: str, now: Column, older: str = "INTERVAL 30 MINUTES", recent: str = "INTERVAL 60 MINUTES") -> DataFrame:
@@ -67,11 +170,8 @@ def is_vanished(stamp: Column, touched: Column, now: Column, older: str, recent:
 
 
 def outliers(daily: DataFrame, measure: str, times: float = 3.0) -> DataFrame:
-    """Rows beyond ``times`` the median of all [WIN-08].
-
-    Meant for a row a day or so: the exact median brings the distinct values of ``measure`` together in one task.
-    """
-    return daily.join(daily.agg(F.median(measure).alias("middle"))).where(F.col(measure) > times * F.col("middle"))
+    """Rows beyond ``times`` the median of all [WIN-08]."""
+    return daily.join(medians(daily, measure)).where(F.col(measure) > times * F.col("middle"))  # one row
 
 
 def next_batch(queue: DataFrame, id_col: str, cursor: int, n: int) -> DataFrame:

@@ -19,6 +19,12 @@ def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: boo
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def keyed(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose keys are all given, and the rest, whose keys match nothing."""
+    whole = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    return rows.where(whole), rows.where(~whole)
+
+
 def append(target: DataFrame, source: DataFrame) -> DataFrame:
     """[SNK-01]"""
     return target.unionByName(source, allowMissingColumns=True)
@@ -27,10 +33,13 @@ def append(target: DataFrame, source: DataFrame) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, guard: bool = False) -> DataFrame:
     """Rows of equal keys take the source's columns and keep their others; new keys are added [SNK-02, SNK-03].
 
-    Of several source rows of a key the last in ``order`` wins.  Null keys match nothing.  A source of
+    Of several source rows of a key the last in ``order`` wins.  Null keys match nothing, so all rows of
+    one are added, as many as there are.  A source of
     keys alone changes no row.  With ``guard`` rows equal in every given column are left as they are [SNK-13].
     """
-    rows = last_by(source, keys, order).drop(*[c for c in order if c not in target.columns]) if order else source.dropDuplicates(list(keys))
+    whole, loose = keyed(source, keys)
+    rows = (last_by(whole, keys, order) if order else whole.dropDuplicates(list(keys))).unionByName(loose)
+    rows = rows.drop(*[c for c in order or () if c not in target.columns])
     given = [c for c in rows.columns if c in target.columns and c not in keys]
     rows = rows.withColumn("__new", F.lit(True))
     joined = target.withColumn("__old", F.lit(True)).alias("t").join(rows.alias("s"), _equal("t", "s", keys), "full_outer")
@@ -59,9 +68,10 @@ def delete_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """Only keys that the target lacks are added, of several rows of a key the first in ``order`` [SNK-09]."""
-    rows = source if order is None else last_by(source, keys, order, first=True)
-    fresh = rows.dropDuplicates(list(keys)).join(target, list(keys), "left_anti")
+    """Only keys that the target lacks are added, of several rows of a key the first in ``order`` [SNK-09]; all rows of a null key are."""
+    whole, loose = keyed(source, keys)
+    rows = whole.dropDuplicates(list(keys)) if order is None else last_by(whole, keys, order, first=True)
+    fresh = rows.join(target, list(keys), "left_anti").select(*source.columns).unionByName(loose)
     return target.unionByName(fresh.select(*[c for c in target.columns if c in fresh.columns]), allowMissingColumns=True)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.scalars import content_hash
 from tallyloom.operators.checks import extra_checks
-from tallyloom.operators.fingerprint import add, compare, differing_parts, fingerprint, open_partition_diff
+from tallyloom.operators.fingerprint import add, compare, differing_parts, fingerprint
 from tallyloom.plans.commits import CommitLog, ConflictError, Snapshot
 from tallyloom.specs import PublishSpec
 from tallyloom.staged import staged
@@ -205,7 +205,9 @@ class Store:
         names = [spec.partition, *spec.document]
         left = fingerprint(tagged.join(differ, by, "left_semi"), spec.checksum, spec.measures, names)
         right = self.spark.read.parquet(*folders) if folders else left.limit(0)
-        return open_partition_diff(left, right, names)
+        found = compare(left, right, names)
+        lacks = lambda side: F.bool_or((F.col("metric") == "n") & F.col(side).isNull())
+        return found.groupBy(*names).agg(F.when(lacks("b"), "new").when(lacks("a"), "deleted").otherwise("changed").alias("state"))
 
 
 def promote(shadow: Store, live: Store) -> str:

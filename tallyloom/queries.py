@@ -344,6 +344,28 @@ def insert_missing(spark, sf):
     return merge.insert_missing(base(spark, sf), fresh(spark, sf).drop("o_orderdate"), ["o_orderkey"])
 
 
+_HOLES = "t as (select case when o_orderkey % 5 <> 0 then o_orderkey end as k, o_totalprice as v, 'old' as src from orders where o_orderkey % 3 <> 0), s as (select case when o_orderkey % 7 <> 0 then o_orderkey end as k, o_totalprice * 2 as v, 'new' as src from orders where o_orderkey % 2 = 0)"
+
+
+def with_holes(spark, sf):
+    """A target and a source some of whose keys are null."""
+    rows, k = t(spark, sf, "orders"), F.col("o_orderkey")
+    target = rows.where(k % 3 != 0).select(F.when(k % 5 != 0, k).alias("k"), F.col("o_totalprice").alias("v"), F.lit("old").alias("src"))
+    return target, rows.where(k % 2 == 0).select(F.when(k % 7 != 0, k).alias("k"), (F.col("o_totalprice") * 2).alias("v"), F.lit("new").alias("src"))
+
+
+@query(f"with {_HOLES} select k, v, src from t where k is null or k not in (select k from s where k is not null) union all select k, v, src from s")
+def upsert_null_keys(spark, sf):
+    """SNK-02, SNK-03, SNK-06: null keys on both sides match nothing, and all of their rows stay"""
+    return merge.load(*with_holes(spark, sf), "upsert", ["k"])
+
+
+@query(f"with {_HOLES} select k, v, src from t union all select k, v, src from s where k is null or k not in (select k from t where k is not null)")
+def insert_missing_null_keys(spark, sf):
+    """SNK-09: as above"""
+    return merge.insert_missing(*with_holes(spark, sf), ["k"])
+
+
 @query(f"with {_BASE}, src as (select o_orderkey as k, o_totalprice + (case when o_orderkey % 10 = 0 then 1 else 0 end) as v, o_orderdate as m from orders where o_orderkey % 5 = 0) select o_orderkey, o_custkey, o_orderstatus, coalesce(v, o_totalprice) as o_totalprice, coalesce(v is distinct from o_totalprice and v is not null, false) as touched from base left join src on o_orderkey = k")
 def update_if_different(spark, sf):
     """SNK-10, SNK-11, STR-22"""
@@ -378,12 +400,6 @@ def signal_union_latest(spark, sf):
     return signalled(spark, sf, start="2024-01-05", end="2024-01-20", zone="Asia/Aqtobe")
 
 
-@query(f"with {_SIG} select k.uid, s.updated_at from (select distinct o_orderkey::varchar as uid from orders where o_orderkey % 97 = 0) k left join sig s using (uid)")
-def signal_for_keys(spark, sf):
-    """SRC-13"""
-    return changes.signal_for(t(spark, sf, "orders").where("o_orderkey % 97 = 0").select(F.col("o_orderkey").cast("string").alias("uid")), signalled(spark, sf))
-
-
 @query(f"with {_SIG} select k.uid, s.updated_at from (select distinct o_orderkey::varchar as uid from orders) k left join sig s using (uid)")
 def signal_for_all_keys(spark, sf):
     """SRC-13, over every order"""
@@ -470,16 +486,6 @@ def patch_adds_up(spark, sf):
     return double(publish.patch_findings(old, changed, new, publish.patch(old, changed, new, SPEC.document), SPEC), "a", "b")
 
 
-@query(f"with {_NEW} select part, arg_min(reason, k) as reason from (select distinct {_PART} as part, 0 as k, 'hot' as reason from orders where o_orderdate >= timestamp '1998-11-01' union all select {_PART}, 1, 'changed' from orders where {_CHANGED} and o_orderkey < 3000 union all select {_PART}, 2, 'unequal' from orders where o_orderkey % 1000 = 7) group by 1")
-def affected_partitions(spark, sf):
-    """STR-07, STR-08, JOI-20"""
-    rows = parted(spark, sf)
-    moved = publish.touched_partitions(rows.where("o_orderkey < 3000"), rows.where("o_orderkey % 11 = 0 and o_orderkey < 3000"), rows.where("o_orderkey % 22 = 0 and o_orderkey < 3000"), SPEC)
-    other = fingerprint.fingerprint(rows.where("o_orderkey % 1000 <> 7"), SPEC.checksum, SPEC.measures, ["part"])
-    unequal = fingerprint.differing_parts(fingerprint.fingerprint(rows, SPEC.checksum, SPEC.measures, ["part"]), other, ["part"])
-    return changes.affected_partitions([("hot", relational.partitions(rows.where("o_orderdate >= '1998-11-01'"), "part")), ("changed", moved), ("unequal", unequal)])
-
-
 @query(f"select part, arg_min(reason, k) as reason from (select distinct {_PART} as part, 0 as k, 'hot' as reason from orders where o_orderdate >= timestamp '1998-11-01' union all select {_PART}, 1, 'changed' from orders where o_orderstatus = 'P' and o_orderdate >= timestamp '1996-01-01' union all select {_PART}, 2, 'unequal' from orders where o_orderkey % 1000 = 7) group by 1")
 def affected_partitions_all_orders(spark, sf):
     """STR-07, STR-08, JOI-20, over every order: those of a status since a date changed"""
@@ -491,6 +497,17 @@ def affected_partitions_all_orders(spark, sf):
     return changes.affected_partitions([("hot", relational.partitions(rows.where("o_orderdate >= '1998-11-01'"), "part")), ("changed", moved), ("unequal", unequal)])
 
 
+@query(f"""with {_NEW}, was as (select {_PART} as part, o_orderkey, o_totalprice::decimal(18,4) as v from orders where not {_CHANGED} union all select {_PART}, o_orderkey, o_totalprice::decimal(18,4) from fresh),
+  wrong as (select part, case when part = 199701 then v + 1 else v end as v from was)
+select w.part, m.metric, m.a, m.b from (select part, sum(v) as a1, sum(v::decimal(19,4) * v::decimal(19,4)) as a2 from was group by 1) w join (select part, sum(v) as b1, sum(v::decimal(19,4) * v::decimal(19,4)) as b2 from wrong group by 1) x using (part),
+  lateral (values ('sum_o_totalprice', a1::double, b1::double), ('sq_o_totalprice', a2::double, b2::double)) m(metric, a, b) where m.a <> m.b""")
+def patch_does_not_add_up(spark, sf):
+    """STR-11, AGG-08, CHK-03: one partition of a patch has wrong amounts, and is found by its sums"""
+    old, changed, new = change_set(spark, sf)
+    wrong = publish.patch(old, changed, new, SPEC.document).withColumn("o_totalprice", F.col("o_totalprice") + (F.col("part") == 199701).cast("int"))
+    return double(publish.patch_findings(old, changed, new, wrong, SPEC), "a", "b")
+
+
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
 def duplicate_keys(spark, sf):
     """AGG-09, AGG-10"""
@@ -579,7 +596,25 @@ def null_profile(spark, sf):
 @query(" union all ".join(f"select '{c}' as column_name, count(distinct {c}) as n_distinct, round(avg(({c} is null)::int) * 100, 4) as null_pct, round(avg(length({c}::varchar)), 4) as avg_width from customer" for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")))
 def column_profile(spark, sf):
     """AGG-27"""
-    return audit.column_profile(t(spark, sf, "customer"), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    return audit.column_profile(t(spark, sf, "customer"), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]).drop("n_empty_refs")
+
+
+_REFS = "select c_custkey, case when c_custkey % 4 = 0 then '00000000-0000-0000-0000-000000000000' when c_custkey % 4 = 1 then null else c_name end as ref from customer"
+
+
+@query(f"select column_name, round(null_pct, 4) as null_pct, n_empty_refs, true as close from (with r as ({_REFS}) select 'c_custkey' as column_name, 0.0 as null_pct, 0::bigint as n_empty_refs union all select 'ref', avg((ref is null)::int) * 100, count(*) filter (ref = '00000000-0000-0000-0000-000000000000') from r)")
+def column_profile_one_scan(spark, sf):
+    """AGG-27: distinct values as sketches, and empty references, in one scan; whether the sketches are within 5 per cent of the counts"""
+    rows = t(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 4 == 0, F.lit("00000000-0000-0000-0000-000000000000")).when(F.col("c_custkey") % 4 != 1, F.col("c_name")).alias("ref"))
+    near, exact = (audit.column_profile(rows, ["c_custkey", "ref"], exact=e) for e in (False, True))
+    joined = near.join(exact.select("column_name", F.col("n_distinct").alias("d")), "column_name")
+    return joined.select("column_name", "null_pct", "n_empty_refs", (F.abs(F.col("n_distinct") - F.col("d")) <= F.col("d") * 0.05).alias("close"))
+
+
+@query("select l_returnflag, median(l_extendedprice) as middle from lineitem group by 1")
+def group_medians(spark, sf):
+    """AGG-20: exact medians of large groups, by selection"""
+    return audit.medians(t(spark, sf, "lineitem"), "l_extendedprice", ["l_returnflag"])
 
 
 @query("with d as (select l_shipdate::date as day, count(*) as n from lineitem group by 1) select day, n, (select median(n) from d) as middle from d where n > 1.3 * (select median(n) from d)")

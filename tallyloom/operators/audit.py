@@ -57,53 +57,57 @@ def column_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
     return one.select(F.explode(rows).alias("x")).select("x.*")
 
 
-#: Values of a group that are brought together at last, and a selection's grid and sketch size.
+#: Values of a group that are brought together at last, and the grid and the size of a selection's sketches.
 FEW, GRID, ACCURACY = 20_000, 256, 8192
 
 
 def medians(df: DataFrame, measure: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, middle): the exact median of each group, of any size [AGG-20, WIN-08].
 
-    A selection by rounds: quantile sketches, which merge, give values between which the middle lies;
-    counting what is below them says which place it has among those between, and only these go on.  A round
-    leaves about one value in a hundred; groups of ``FEW`` or less are sorted.  A sketch that was wrong
-    is seen by the counts, and its bound is taken back.  Nulls do not count; a group without values has no row.
+    A selection by rounds: quantile sketches, which merge, propose two values about the wanted place; counting
+    what is below and up to them says whether one of them is it, and if not, between which bounds it lies
+    and at which place there.  A round leaves about one value in a hundred, and always fewer than
+    before; groups of ``FEW`` or less are sorted.  Nulls do not count; a group without values has no row.
     """
     keys = [f"__k{k}" for k in range(len(by))] or ["__k"]
     renamed = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("__k")]
     values = df.select(*renamed, F.col(measure).cast("double").alias("v")).where("v is not null")
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
-    side = lambda state: state.select(*[F.col(k).alias(f"{k}_") for k in keys], "lo", "hi", "first", "second")
+
+    def inside(state: DataFrame) -> DataFrame:
+        side = state.withColumnsRenamed({k: f"{k}_" for k in keys})
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+        within = (F.col("lo").isNull() | (F.col("v") > F.col("lo"))) & (F.col("hi").isNull() | (F.col("v") < F.col("hi")))
+        return values.join(side, same).where(within)
+
     counts = values.groupBy(*keys).agg(F.count("*").alias("n"))
-    low, high = F.lit(float("-inf")), F.lit(float("nan"))  # which sorts after all
-    # places count from 0 among the values between lo and hi
-    state = staged(counts.select(*keys, "n", low.alias("lo"), high.alias("hi"), F.expr("(n - 1) div 2").alias("first"), F.expr("n div 2").alias("second")), "median-state")
-    done, margin = [], 4
+    no_bound = F.lit(None).cast("double")
+    # the two middle places, which are one where n is odd, counted from 0 among the values between lo and hi
+    places = F.explode(F.array_distinct(F.array(F.expr("(n - 1) div 2"), F.expr("n div 2")))).alias("place")
+    state = staged(counts.select(*keys, "n", places).select(*keys, F.col("place").alias("which"), "n", "place", no_bound.alias("lo"), no_bound.alias("hi")), "median-state")
+    own, small, found = [*keys, "which"], [], []
     while True:
-        done.append(state.where((F.col("n") <= FEW) | (F.col("lo") == F.col("hi"))))
-        state = state.where((F.col("n") > FEW) & (F.col("lo") < F.col("hi")))
+        small.append(state.where(F.col("n") <= FEW))
+        state = state.where(F.col("n") > FEW)
         if state.isEmpty():
             break
-        inside = values.join(side(state), same).where("v between lo and hi")
         grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-        cut = inside.groupBy(*keys).agg(F.percentile_approx("v", grid, F.lit(ACCURACY)).alias("g"))
-        whole = state.withColumnsRenamed({k: f"{k}_" for k in keys}).join(cut, same)
-        at = lambda place, sign: F.floor((F.col(place) / F.col("n") + sign * margin / ACCURACY) * GRID)
-        lower, upper = at("first", -1), at("second", 1) + 1
-        near = staged(whole.select(*keys, "lo", "hi", "first", "second", F.when(lower >= 0, F.try_element_at("g", lower.cast("int") + 1)).alias("l"), F.when(upper <= GRID, F.try_element_at("g", upper.cast("int") + 1)).alias("h")), "median-near")
-        bounds = near.select(*[F.col(k).alias(f"{k}_") for k in keys], "lo", "hi", "first", "second", F.coalesce("l", "lo").alias("l"), F.coalesce("h", "hi").alias("h"))
-        seen = values.join(bounds, same).where("v between lo and hi")
-        counted = seen.groupBy(*keys, "lo", "hi", "first", "second", "l", "h").agg(F.count_if(F.col("v") < F.col("l")).alias("less"), F.count_if(F.col("v") <= F.col("h")).alias("up_to"), F.count("*").alias("n"))
-        keep_low, keep_high = F.col("less") <= F.col("first"), F.col("up_to") > F.col("second")
-        less = F.when(keep_low, F.col("less")).otherwise(0)
-        state = staged(counted.select(*keys, (F.when(keep_high, F.col("up_to")).otherwise(F.col("n")) - less).alias("n"), F.when(keep_low, F.col("l")).otherwise(F.col("lo")).alias("lo"), F.when(keep_high, F.col("h")).otherwise(F.col("hi")).alias("hi"), (F.col("first") - less).alias("first"), (F.col("second") - less).alias("second")), "median-state")
-        margin *= 2
-    small = staged(reduce(DataFrame.unionByName, done), "median-small")
-    alike = small.where(F.col("lo") == F.col("hi")).select(*keys, F.col("lo").alias("middle"))
-    sorted_ = values.join(side(small.where(F.col("lo") < F.col("hi"))), same).where("v between lo and hi")
-    picked = sorted_.groupBy(*keys, "first", "second").agg(F.sort_array(F.collect_list("v")).alias("a"))  # FEW at most
-    pick = lambda c: F.element_at("a", F.col(c).cast("int") + 1)
-    out = alike.unionByName(picked.select(*keys, ((pick("first") + pick("second")) / 2).alias("middle")))
+        cut = inside(state).groupBy(*own, "n", "place", "lo", "hi").agg(F.percentile_approx("v", grid, F.lit(ACCURACY)).alias("g"))
+        at = lambda more: F.element_at("g", F.least(F.lit(GRID), F.floor(F.col("place") / F.col("n") * GRID) + more).cast("int") + 1)
+        asked = staged(cut.select(*own, "n", "place", "lo", "hi", at(0).alias("l"), at(1).alias("h")), "median-asked")
+        sums = [F.count_if(F.col("v") < F.col("l")).alias("less_l"), F.count_if(F.col("v") <= F.col("l")).alias("to_l"), F.count_if(F.col("v") < F.col("h")).alias("less_h"), F.count_if(F.col("v") <= F.col("h")).alias("to_h")]
+        seen = staged(inside(asked).groupBy(*own, "n", "place", "lo", "hi", "l", "h").agg(*sums), "median-seen")
+        is_l, is_h = (F.expr(f"place >= less_{x} and place < to_{x}") for x in "lh")
+        found.append(seen.where(is_l | is_h).select(*own, F.when(is_l, F.col("l")).otherwise(F.col("h")).alias("v")))
+        under, over = F.col("place") < F.col("less_l"), F.col("place") >= F.col("to_h")
+        three = lambda a, b, c: F.when(under, a).when(over, b).otherwise(c)
+        state = seen.where(~is_l & ~is_h).select(
+            *own, three(F.col("less_l"), F.col("n") - F.col("to_h"), F.col("less_h") - F.col("to_l")).alias("n"), (F.col("place") - three(F.lit(0), F.col("to_h"), F.col("to_l"))).alias("place"),
+            three(F.col("lo"), F.col("h"), F.col("l")).alias("lo"), three(F.col("l"), F.col("hi"), F.col("h")).alias("hi"),
+        )
+        state = staged(state, "median-state")
+    last = inside(staged(reduce(DataFrame.unionByName, small), "median-small")).groupBy(*own, "place").agg(F.sort_array(F.collect_list("v")).alias("a"))  # FEW at most
+    picked = reduce(DataFrame.unionByName, [*found, last.select(*own, F.element_at("a", F.col("place").cast("int") + 1).alias("v"))])
+    out = picked.groupBy(*keys).agg(F.avg("v").alias("middle"))
     return out.select(*[F.col(k).alias(c) for c, k in zip(by, keys)], "middle")
 
 

@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.staged import scratch, staged
+
 #: Column names that operators use inside start with this, so that they clash with no column of the input.
 OWN = "__loom_"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that the driver and all executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``.  Where that is unset (Spark then reports
-    its built-in default), a local master gets a temporary folder; a cluster must name one.
-    Tables of one application lie together below its application id, and may go when it ends.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(f"spark.{OWN}dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set(f"spark.{OWN}dir", base)
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path below the folder that the driver and all executors share."""
+    return scratch(spark, name)
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -34,9 +22,7 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: what follows survives lost executors without repeating what came before,
     and rows, partitions and any choice among ties are the same for every later reader.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

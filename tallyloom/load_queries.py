@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import scalars as S
 from tallyloom.operators import audit, changes, checks, datasets, dimensions, fingerprint, hierarchy, integrity, keys, loads, merge, state
 from tallyloom.plans import publish
+from tallyloom.plans.buckets import BucketTable, Registry
 from tallyloom.queries import _BASE, _DIM, _FP, _LI, _PART, _RUNS, _SIG, CUT, SPEC, base, dim_frames, double, kind, lines, money, parted, query, runs, signalled, t, uuid_of, uuid_sql
 from tallyloom.sources import csvs, relational
 from tallyloom.specs import ColumnSpec, PublishSpec, TargetSpec
@@ -269,6 +270,25 @@ def swept_partitions(spark, sf):
     return store.sweep(source)
 
 
+@query(f"with {_BASE}, fresh as (select o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 5 = 0) select coalesce(b.o_orderkey, f.o_orderkey) as o_orderkey, o_custkey, o_orderstatus, coalesce(f.o_totalprice, b.o_totalprice) as o_totalprice from base b full join fresh f on b.o_orderkey = f.o_orderkey")
+def bucketed_upsert(spark, sf):
+    """SNK-02, SNK-03: as a load of the touched buckets of a keyed table"""
+    table = BucketTable(spark, scratch(spark, "keyed"), ["o_orderkey"])
+    table.upsert(base(spark, sf))
+    table.upsert(t(spark, sf, "orders").where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")))
+    return table.read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query(f"with old as (select g, row_number() over (order by g) as id from (select distinct {uuid_sql('o_custkey')} as g from orders where o_orderdate < timestamp '{CUT}')), fresh as (select distinct {uuid_sql('o_custkey')} as g from orders except select g from old) select g as guid, id from old union all select g, row_number() over (order by g) + (select max(id) from old) from fresh")
+def bucketed_registry(spark, sf):
+    """KEY-01, KEY-02: ids issued by buckets, the second batch known in part"""
+    registry = Registry(spark, scratch(spark, "registry"), ["guid"])
+    orders = t(spark, sf, "orders").withColumn("guid", uuid_of(F.col("o_custkey")))
+    registry.issue(orders.where(F.col("o_orderdate") < CUT))
+    registry.issue(orders)
+    return registry.read()
+
+
 @query(f"select {_PART} as part, o_orderkey, case o_orderkey % 3 when 0 then 'changed' when 1 then 'deleted' else 'new' end as state from orders where o_orderkey % 500 between 3 and 5")
 def swept_by_tree(spark, sf):
     """STR-09, CHK-05, CHK-06: documents that differ, over all orders; of the store only its tree is read"""

@@ -5,6 +5,7 @@ Built over the same tables and helpers as ``tallyloom.queries``, which imports t
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tallyloom.plans import publish
 from tallyloom.plans.buckets import BucketTable, Registry
 from tallyloom.queries import _BASE, _DIM, _FP, _LI, _PART, _RUNS, _SIG, CUT, SPEC, base, dim_frames, double, kind, lines, money, parted, query, runs, signalled, t, uuid_of, uuid_sql
 from tallyloom.sources import csvs, relational
+from tallyloom.sources.signal_stream import SignalSource
 from tallyloom.specs import ColumnSpec, PublishSpec, TargetSpec
 from tallyloom.staged import scratch
 from tallyloom.streaming import ticks
@@ -355,6 +357,18 @@ def reloaded_documents(spark, sf):
 # ---- ticks
 
 
+@query("select user_id::varchar as uid, max(ts) as updated_at, count(distinct event_type) as n_sources from events where event_type in ('purchase', 'click', 'view') group by 1")
+def streamed_signals(spark, sf):
+    """SRC-12, STR-01: three sources as one stream with an offset each; the latest signal of each key"""
+    spark.dataSource.register(SignalSource)
+    tables = [{"path": f"{sf}/events.parquet", "key": "user_id", "at": "ts", "where": ["event_type", x], "name": x} for x in ("purchase", "click", "view")]
+    signals = spark.readStream.format("change_signals").option("tables", json.dumps(tables)).load()
+    out, home = scratch(spark, "signals"), scratch(spark, "signals-checkpoint")
+    signals.writeStream.format("parquet").option("path", out).option("checkpointLocation", home).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema("uid string, updated_at timestamp, source string").parquet(out)
+    return rows.groupBy("uid").agg(F.max(F.timestamp_add("MICROSECOND", F.unix_micros("updated_at"), F.lit("1970-01-01").cast("timestamp_ntz"))).alias("updated_at"), F.count_distinct("source").alias("n_sources"))
+
+
 @query(f"with {_SIG} select * from sig where updated_at >= timestamp '2024-01-28' - interval 5 minute and updated_at < timestamp '2024-01-31' - interval 5 second")
 def tick_window(spark, sf):
     """STR-01"""

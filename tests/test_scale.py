@@ -189,5 +189,30 @@ def test_jdbc_reads_a_database(spark):
     assert none.count() == 0
 
 
+@pytest.mark.parametrize("split_on", ["ID", "NAME"])
+def test_jdbc_reads_even_ranges(spark, split_on):
+    """Keys crowded at one end, a null key, and a text key: every task reads about its share."""
+    from tallyloom.sources import relational
+
+    url, driver = "jdbc:derby:memory:even;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    key = F.when(F.col("id") < 9000, F.col("id")).when(F.col("id") < 9999, F.col("id") * 100_000)
+    rows = spark.range(10_000).select(key.alias("ID"), F.concat(F.lit("it's "), F.lpad(F.coalesce(key, F.lit(0)).cast("string"), 12, "0")).alias("NAME"))
+    rows.write.format("jdbc").options(url=url, driver=driver, dbtable="crowded", createTableColumnTypes="NAME VARCHAR(40)").mode("overwrite").save()
+    got = relational.read_even(spark, url, "select * from crowded", split_on, parts=8, driver=driver)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 8 and max(sizes) <= 2 * 10_000 / 8
+    assert got.select("ID").distinct().count() == 10_000
+    assert relational.read_even(spark, url, "select * from crowded where id < 0", split_on, driver=driver).count() == 0
+
+
+def test_even_bounds(spark):
+    keys = lambda *k: spark.createDataFrame([(x,) for x in k], "k int")
+    from tallyloom.sources.relational import even_bounds
+
+    assert even_bounds(keys(), 4) == [] == even_bounds(keys(None, 5), 4)
+    assert even_bounds(keys(*range(100)), 4) == [25, 50, 75]
+    assert even_bounds(keys(*[7] * 90, *range(10, 20)), 4) == [] and even_bounds(keys(*range(5), *[7] * 90), 4) == [7]
+
+
 def test_schema_checks(spark):
     assert checks.schema_changes(spark.range(1).schema, spark.range(1).schema) == []

@@ -30,6 +30,8 @@ FAMILIES = {
 }
 DIM = 4096
 SAMPLE = 800
+#: Languages that are learned at most, and the distinct texts that one must have.
+LANGUAGES, LEAST = 64, 3
 EPOCHS, PENALTY = 12, 1e-5
 UNKNOWN = "und"
 #: Characters counted at a time.
@@ -108,38 +110,45 @@ def hash_bound(share: float) -> int:
     return min((1 << 63) - 1, -(1 << 63) + int(min(1.0, share) * (1 << 64)))
 
 
-def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> dict:
+def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES, least: int = LEAST) -> dict:
     """The model, from rows with a text and a non-null language.
 
     ``sample`` distinct texts of each language, those with the smallest hash, are used; repeated texts
     count once.  Texts without a letter teach nothing.  With no usable row the model is empty and
     knows no language; with one language it always answers that.
 
+    Learned are the ``languages`` languages of the most distinct texts, among equals the first by code, of those with at
+    least ``least``; other values of the column, such as misspelt codes, are never answered.  A machine
+    between two families takes of each family as many texts as two languages have, spread evenly over its languages,
+    so no machine's rows grow with the number of languages.
+
     A language's number of texts gives the hash below which about twice the sample lies; only texts
     below it are ranked, so no language, whatever its share of the rows, fills a task.
     """
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("text is not null and lang is not null").withColumn("h", F.xxhash64("text"))
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()  # a row a language
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "lang").limit(languages).collect()
     within = F.lit(False)
     for r in counts:
         within = within | ((F.col("lang") == r.lang) & (F.col("h") <= hash_bound((2 * sample + 200) / max(1, r.n))))
     smallest = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     near = rows.where(within).groupBy("lang", "h").agg(F.first("text").alias("text"))
-    chosen = settled(near.withColumn("k", smallest).where(F.col("k") <= sample).drop("k"), "language-sample")
+    chosen = settled(near.withColumn("k", smallest).where(F.col("k") <= sample), "language-sample")
     langs = sorted(r.lang for r in counts)
     families = sorted({family_of(x) for x in langs})
     pairs = [("family", *p) for p in combinations(families, 2)] + [(f, *p) for f in families for p in combinations([x for x in langs if family_of(x) == f], 2)]
     if not pairs:
         return {"langs": langs, "families": families, "pairs": {}}
     member = {p: {x: (family_of(x) if p[0] == "family" else x) for x in langs} for p in pairs}
-    sides = [(p_id, x, 1 if member[p][x] == p[1] else -1) for p_id, p in enumerate(pairs) for x in langs if member[p][x] in p[1:]]
+    held = {f: sum(family_of(x) == f for x in langs) for f in families}
+    most = lambda p, x: min(sample, max(1, 2 * sample // held[family_of(x)])) if p[0] == "family" else sample
+    sides = [(p_id, x, 1 if member[p][x] == p[1] else -1, most(p, x)) for p_id, p in enumerate(pairs) for x in langs if member[p][x] in p[1:]]
 
     def vectors(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            found = [(x, h, v.tobytes()) for x, h, t in zip(*(batch.column(k).to_pylist() for k in range(3))) if (v := features(t)) is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.binary()))], ["lang", "h", "v"])
+            found = [(x, h, k, v.tobytes()) for x, h, t, k in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text", "k"))) if (v := features(t)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], kind) for c, kind in enumerate((pa.string(), pa.int64(), pa.int32(), pa.binary()))], ["lang", "h", "k", "v"])
 
     def fit(key, pdf):
         import numpy as np
@@ -147,8 +156,8 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang", sample
         pdf = pdf.sort_values(["lang", "h"])
         return pd.DataFrame({"pair": [key[0]], "w": [fit_pair(np.stack([np.frombuffer(v, np.float32) for v in pdf["v"]]), pdf["side"].to_numpy(np.float64)).tobytes()]})
 
-    chosen = chosen.select("lang", "h", "text").mapInArrow(vectors, "lang string, h long, v binary")
-    by_pair = chosen.join(labelled.sparkSession.createDataFrame(sides, "pair int, lang string, side int"), "lang")
+    chosen = chosen.select("lang", "h", "text", "k").mapInArrow(vectors, "lang string, h long, k int, v binary")
+    by_pair = chosen.join(labelled.sparkSession.createDataFrame(sides, "pair int, lang string, side int, most int"), "lang").where("k <= most").select("pair", "lang", "h", "side", "v")
     fitted = by_pair.groupBy("pair").applyInPandas(fit, "pair int, w binary").collect()  # a row a pair of languages
     return {"langs": langs, "families": families, "pairs": {pairs[r.pair]: bytes(r.w) for r in fitted}}
 

@@ -87,6 +87,20 @@ def term_counts(url: Column, vocabulary: Mapping[str, float] = VOCABULARY, rejec
     return count(url)
 
 
+def vocabulary_of(terms: DataFrame, *, term: str = "term", weight: str = "weight", most: int = 100_000) -> dict[str, float]:
+    """A vocabulary from a table of terms and weights, for ``filter_urls``.
+
+    Terms are lower-cased; of a term given twice the larger weight counts, and rows without a term or a
+    weight do not.  Every task holds the automaton, so more than ``most`` terms are refused.
+    """
+    low = F.translate(F.col(f"`{term}`").cast("string"), _UPPER, _LOWER)
+    rows = terms.select(low.alias("term"), F.col(f"`{weight}`").cast("double").alias("weight")).where("term <> '' and weight is not null")
+    found = rows.groupBy("term").agg(F.max("weight").alias("weight")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} terms")
+    return {r.term: r.weight for r in sorted(found)}
+
+
 def filter_urls(pages: DataFrame, *, url: str = "url", vocabulary: Mapping[str, float] = VOCABULARY, reject: float = REJECT, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """``pages`` and ``url_host``, ``url_path``, ``url_rule``, ``url_strict``, ``url_soft``, ``url_weight``, ``url_verdict``.
 

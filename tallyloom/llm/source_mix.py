@@ -50,7 +50,7 @@ def unit(*parts: Column) -> Column:
 
 
 def word_count(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def source_targets(sizes: DataFrame, source: str, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -110,7 +110,7 @@ def mix_plan(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", sou
 
 def hashed_plan(docs: DataFrame, id_col: str, text: str, source: str, weights: Sequence[float], share: float, cap: float, seed: str) -> DataFrame:
     """``mix_plan`` with ``h``, the row's ``content_hash``."""
-    rows = settled(numbered(docs.select(F.col(id_col).alias("d"), F.col(source).alias("source"), word_count(text).alias("size"), content_hash(docs).alias("h"))), "mix-rows")
+    rows = settled(numbered(docs.select(F.col(f"`{id_col}`").alias("d"), F.col(f"`{source}`").alias("source"), word_count(text).alias("size"), content_hash(docs).alias("h"))), "mix-rows")
     targets = settled(source_targets(rows, "source", weights, share, cap), "mix-targets")
     most = targets.agg(F.max("n")).first()[0] or 0
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "n")
@@ -147,7 +147,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
     """
     key, own = f"{OWN}key", f"{OWN}copies"
     plan = hashed_plan(docs, id_col, text, source, weights, share, cap, seed)
-    total = plan.where("copies > 0").groupBy(content_key(F.col(id_col), F.col("h")).alias(key)).agg(F.sum("copies").cast("int").alias(own))
+    total = plan.where("copies > 0").groupBy(content_key(F.col(f"`{id_col}`"), F.col("h")).alias(key)).agg(F.sum("copies").cast("int").alias(own))
     marked = docs.withColumn(key, content_key(F.col(f"`{id_col}`"), content_hash(docs)))
     one = marked.withColumn(f"{OWN}n", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))).where(F.col(f"{OWN}n") == 1)
     return one.join(total, key).withColumn(f"{OWN}copy", F.explode(F.sequence(F.lit(1), F.col(own)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -25,3 +25,14 @@ def test_many_rows_of_one_id(spark, monkeypatch):
     assert all(0 < n <= 2 * Counter(rows)[r] for r, n in taken.items())
     physical = mixed._jdf.queryExecution().executedPlan().toString()
     assert "map_from_entries" not in physical and "collect_list(struct(occ" not in physical
+
+
+def test_names_with_dots(spark):
+    rows = [(k, f"{'word ' * (k % 5)}", f"s{k % 3}") for k in range(60)]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    dotted = plain.toDF("the.id", "the.text", "the.source")
+    names = {"id_col": "the.id", "text": "the.text", "source": "the.source"}
+    once = lambda df, **kw: sorted(tuple(r) for r in source_mix.mix(df, **kw).collect())
+    assert {r[0] for r in once(dotted, **names)} <= set(range(60)) and len(once(dotted, **names)) > 20
+    plan = source_mix.mix_plan(dotted, **names)
+    assert plan.columns[0] == "the.id" and plan.count() == 60

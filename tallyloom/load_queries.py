@@ -272,6 +272,20 @@ def swept_partitions(spark, sf):
     return store.sweep(source)
 
 
+@query(f"with {_BASE}, fresh as (select o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 5 = 0), loaded as (select coalesce(b.o_orderkey, f.o_orderkey) as o_orderkey, o_custkey, coalesce(f.o_totalprice, b.o_totalprice) as o_totalprice from base b full join fresh f on b.o_orderkey = f.o_orderkey) select c_nationkey, count(*) as n, sum(o_totalprice::decimal(18,4))::double as amount from loaded join customer on o_custkey = c_custkey group by 1")
+def sql_after_load(spark, sf):
+    """UDF-03: a user's SQL over the tables that a load has left"""
+    loaded = merge.load(base(spark, sf), t(spark, sf, "orders").where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice")), "upsert", ["o_orderkey"])
+    sql = "select c_nationkey, count(*) as n, cast(sum(cast(o_totalprice as decimal(18,4))) as double) as amount from {facts} join {dims} on o_custkey = c_custkey group by 1"
+    return datasets.after_load(spark, sql, facts=loaded, dims=t(spark, sf, "customer"))
+
+
+@query(f"with {_SIG} select uid, updated_at from sig order by updated_at desc, uid limit 100")
+def newest_signals(spark, sf):
+    """SRT-02, SRT-03: the newest change signals"""
+    return changes.newest(signalled(spark, sf), 100)
+
+
 @query(f"with {_BASE}, fresh as (select o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 5 = 0) select coalesce(b.o_orderkey, f.o_orderkey) as o_orderkey, o_custkey, o_orderstatus, coalesce(f.o_totalprice, b.o_totalprice) as o_totalprice from base b full join fresh f on b.o_orderkey = f.o_orderkey")
 def bucketed_upsert(spark, sf):
     """SNK-02, SNK-03: as a load of the touched buckets of a keyed table"""

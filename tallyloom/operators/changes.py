@@ -74,6 +74,11 @@ def missing(asked: DataFrame, returned: DataFrame, key: str) -> DataFrame:
     return asked.select(key).distinct().join(returned.select(key).distinct(), key, "left_anti")
 
 
+def newest(signalled: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest signals, ties by key; each task gives its own n at most [SRT-02, SRT-03]."""
+    return signalled.orderBy(F.desc_nulls_last("updated_at"), "uid").limit(n)
+
+
 def with_unresolved(changes: DataFrame, target: DataFrame, key: str, link: str, at: str, since: Column) -> DataFrame:
     """Changed keys and recent target rows whose link is still 0 [JOI-21]."""
     open_rows = target.where((F.col(link) == 0) & (F.col(at) >= since)).select(key).distinct()

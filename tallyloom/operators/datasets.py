@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.scalars import binary_auto, fix_year, hex_dump, norm_key, pack_refs, parse_date
@@ -220,3 +220,8 @@ def with_raw(df: DataFrame, to: str = "raw_hex") -> DataFrame:
 def over_frame(df: DataFrame, sql: str, name: str = "frame") -> DataFrame:
     """User SQL over the frame, named as ``{frame}`` in the text [AGG-04, UDF-03]."""
     return df.sparkSession.sql(sql, **{name: df})
+
+
+def after_load(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """User SQL over what a load has left, each table by its name in braces [UDF-03]."""
+    return spark.sql(sql, **tables)

@@ -119,8 +119,7 @@ class Store:
         own = f"{self.path}/{folder}"
         rows.withColumn("__part", F.col(spec.partition)).hint("rebalance", "__part").write.partitionBy("__part").option("compression", "zstd").parquet(f"{own}/all")
         staged_rows = self.spark.read.schema(rows.schema).parquet(f"{own}/all").select(*rows.columns)
-        self._grow(staged_rows, own)
-        have = add([self.spark.read.parquet(f"{own}/buckets").drop("bucket", "__part")], by)
+        have = add([self._grow(staged_rows, own).drop("bucket", "__part")], by)
         if want is not None and (bad := compare(want, have, by).take(5)):
             raise ValueError(f"fingerprints differ: {bad}")
         if spec.business_key or spec.not_zero or spec.not_empty:
@@ -140,16 +139,16 @@ class Store:
             self.log.commit(base, moved, parts, allows)
         return done
 
-    def _grow(self, rows: DataFrame, own: str) -> None:
-        """Writes the tree of ``rows``, each level from the one below."""
+    def _grow(self, rows: DataFrame, own: str) -> DataFrame:
+        """Writes the tree of ``rows``, each level from the one below; returns the upper one."""
         spec = self.spec
         tagged = bucketed(rows.withColumn("__part", F.col(spec.partition)), spec.document)
-        names = ["__part", "__bucket", spec.partition, *spec.document]
-        fingerprint(tagged, spec.checksum, spec.measures, names).hint("rebalance", "__part").write.partitionBy("__part", "__bucket").option("compression", "zstd").parquet(f"{own}/docs")
-        types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fingerprint(tagged, spec.checksum, spec.measures, names).schema)
-        docs = self.spark.read.schema(types).parquet(f"{own}/docs")
+        leaves = fingerprint(tagged, spec.checksum, spec.measures, ["__part", "__bucket", spec.partition, *spec.document])
+        leaves.hint("rebalance", "__part").write.partitionBy("__part", "__bucket").option("compression", "zstd").parquet(f"{own}/docs")
+        docs = self.spark.read.schema(leaves.schema).parquet(f"{own}/docs")
         sums = add([docs.withColumn("bucket", F.col("__bucket")).drop("__bucket", *spec.document)], ["__part", spec.partition, "bucket"])
         sums.repartition(1, "__part").write.partitionBy("__part").option("compression", "zstd").parquet(f"{own}/buckets")
+        return self.spark.read.schema(sums.schema).parquet(f"{own}/buckets")
 
     def apply(self, changed: DataFrame, fresh: DataFrame) -> dict[int, str]:
         """A document patch of every partition it touches [STR-11].

@@ -122,6 +122,17 @@ def test_tree_is_kept_up_and_descended(spark, tmp_path):
     assert read and all("/docs/" in f for f in read) and len({f.rsplit("/", 1)[0] for f in read}) <= 3  # of the store's rows none, of its tree a bucket a document
 
 
+def test_a_store_that_loses_all(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "t"), SPEC)
+    rows = spark.createDataFrame([(1, 10, 1, 5, 1.0)], FACTS)
+    assert store.publish(rows.limit(0), [1]) == {1: "cleared"} and store.current() is None
+    store.publish(rows, [1])
+    assert store.apply(rows.select("doc"), rows.limit(0)) == {1: "cleared"}
+    assert store.current() is None and store.documents() is None and store.sums() is None
+    assert [tuple(r) for r in store.differing_documents(rows).collect()] == [(1, 10, "new")]
+    assert [r.part for r in store.sweep(rows).collect()] == [1] and store.sweep(rows.limit(0)).isEmpty()
+
+
 def test_null_keys_stay(spark):
     target = spark.createDataFrame([(1, "a"), (None, "b"), (None, "b")], "k int, v string")
     source = spark.createDataFrame([(1, "c"), (2, "d"), (None, "e"), (None, "e"), (None, "f")], "k int, v string")

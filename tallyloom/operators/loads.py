@@ -12,6 +12,7 @@ from tallyloom.operators.audit import is_vanished
 from tallyloom.operators.integrity import require
 from tallyloom.operators.keys import fill_links, issue_ids, repair_links
 from tallyloom.operators.merge import last_by, load
+from tallyloom.plans.commits import ConflictError
 from tallyloom.specs import TargetSpec
 from tallyloom.staged import staged
 
@@ -96,8 +97,8 @@ def feed(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequenc
     return target.limit(0).unionByName(last.select(*[c for c in last.columns if c in target.columns]), allowMissingColumns=True)
 
 
-def rebuild(run: Callable[[], object], findings: Callable[[], DataFrame], unequal: Callable[[], DataFrame], retries: int = 2, race: type[Exception] = BlockingIOError) -> object:
-    """Loads, validates, reconciles [PIP-08]: only the race error is tried again, and the load succeeds only if nothing is found."""
+def rebuild(run: Callable[[], object], findings: Callable[[], DataFrame], unequal: Callable[[], DataFrame], retries: int = 2, race: type[Exception] | tuple[type[Exception], ...] = (BlockingIOError, ConflictError)) -> object:
+    """Loads, validates, reconciles [PIP-08]: only a lost race, such as with another publisher of the same partitions, is tried again, and the load succeeds only if nothing is found."""
     for attempt in range(retries + 1):
         try:
             done = run()

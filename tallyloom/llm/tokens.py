@@ -2,10 +2,11 @@
 
 A tokenizer that splits texts into words before it merges gives a word the same ids wherever it
 stands, so a text's ids are its words' ids in a row.  ``Encoder`` cuts a text before single spaces
-and line feeds that stand between two characters that are no white space, looks the pieces up in a
-bounded table, and passes only unseen pieces to the library.  Both kinds of vocabulary in use here
-never form a token across such a cut: the byte-level one starts a token at the space, and has a token
-for a single line feed; the word-end one drops white space.
+and line feeds that stand between two characters that are no white space, numbers the distinct pieces
+of some millions of characters in Arrow, looks each of these up once in a bounded table, and passes
+only unseen pieces to the library.  Both kinds of vocabulary in use here never form a token across such
+a cut: the byte-level one starts a token at the space, and has a token for a single line feed; the
+word-end one drops white space.
 
 Unseen pieces of Latin letters, digits and ASCII punctuation (no apostrophe) are cut here where the
 vocabularies' patterns cut them, at each change of class, and go to the library's merges in one call
@@ -24,11 +25,11 @@ ODD_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Characters on whose classes all versions of Unicode, and on whose lower case Python and the library, agree: Latin letters, digits, punctuation.
 _LETTER, _DIGIT, _MARK = "A-Za-zÀ-ÖØ-öø-įı-ſ", "0-9", r"!-&(-/:-@\[-`{-~"
-_PLAIN = re.compile(rf"\n?[{_LETTER}{_DIGIT}{_MARK}]+")
+_PLAIN = rf"\A\n?[{_LETTER}{_DIGIT}{_MARK}]+\z"
 #: Pieces in the table at most; beyond it the table starts anew.
 TABLE = 900_000
 #: Characters encoded at a time.
-STEP = 2_000_000
+STEP = 4_000_000
 
 
 class Encoder:
@@ -66,7 +67,7 @@ class Encoder:
         # a byte from 128 on is seen in a two-byte character: its second byte, or its first
         pairs = [ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(c))[0][0] for c in range(128, 2048)]
         shown |= {chr(b): pairs[k][j] for k in range(len(pairs)) for j, b in enumerate(chr(128 + k).encode())}
-        self.shown = str.maketrans(shown)
+        self.shown = np.array([ord(shown.get(chr(b), chr(b))) for b in range(256)], "<u4")
         first = (shown[" "], shown["\n"])
         marks = [w.endswith(suffix) if suffix else w.startswith(first) for w in map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))]
         self.marks = np.array(marks, bool)
@@ -78,26 +79,44 @@ class Encoder:
         self.pool, self.start, self.length = (np.zeros(1 << 16, kind) for kind in ("<u4", np.int64, np.int64))
         self.filled = self.known = 0
 
-    def pieces(self, text: str) -> list[str]:
-        """The first piece behind a NUL, the others without the space before them; line feeds stay.  A text that holds a NUL, or a special token's string, stays whole."""
+    def odd_pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text whose white space is not all single spaces and line feeds inside it; None for other texts.  One that holds a NUL, or a special token's string, stays whole."""
         if any(w in text for w in self.whole):
             return ["\0" + text]
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1:] in ("\n", " ") or text[:1] in ("\n", " ") or any(c in text for c in ODD_SPACE):
             cut = _CUT.split(text)
             return ["\0" + cut[0], *[p[1:] if p[0] == " " else p for p in cut[1:]]]
-        return ("\0" + text.replace("\n", " \n")).split(" ")
+        return None
+
+    def pieces(self, texts: list[str]):
+        """(pieces of all texts in a row as a dictionary, numbers of pieces, places of the texts in that row).
+
+        A text's first piece stands behind a NUL, the others without the space before them; line feeds stay.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        odd = {k: found for k, t in enumerate(texts) if (found := self.odd_pieces(t)) is not None}
+        even = [k for k in range(len(texts)) if k not in odd]
+        split = pc.split_pattern(pa.array(["\0" + texts[k].replace("\n", " \n") for k in even], pa.large_string()), " ")
+        flat = pa.concat_arrays([split.flatten(), pa.array(list(chain.from_iterable(odd.values())), pa.large_string())])
+        place = np.argsort(np.array([*even, *odd], np.int64))
+        return flat.dictionary_encode(), np.array([*split.value_lengths().to_pylist(), *map(len, odd.values())], np.int64), place
 
     def encode(self, keys: list[str]):
         """(ids of all keys in a row, numbers of ids)."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        plain = [k for k, key in enumerate(keys) if _PLAIN.fullmatch(key)]
-        others = sorted({*range(len(keys))}.difference(plain))
+        fits = pc.match_substring_regex(pa.array(keys, pa.large_string()), _PLAIN).to_numpy(zero_copy_only=False)
+        plain, others = np.flatnonzero(fits), np.flatnonzero(~fits).tolist()
         ids, owner = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
-        if plain:
-            found, place = self.encode_plain([keys[k] for k in plain])
+        if len(plain):
+            found, place = self.encode_plain([keys[k] for k in plain.tolist()])
             ids.append(found)
-            owner.append(np.array(plain)[place])
+            owner.append(plain[place])
         for k, e in zip(others, self.tokenizer.encode_batch_fast([keys[k][1:] if keys[k][0] == "\0" else keys[k] if keys[k][0] == "\n" else " " + keys[k] for k in others], add_special_tokens=False)):
             ids.append(np.array(e.ids, "<u4"))
             owner.append(np.full(len(e.ids), k))
@@ -119,7 +138,7 @@ class Encoder:
             parts = list(chain.from_iterable(cut))
         else:
             parts = self.parts(written)
-        text = "\0".join(parts).encode().decode("latin-1").translate(self.shown)
+        text = self.shown[np.frombuffer("\0".join(parts).encode(), np.uint8)].tobytes().decode("utf-32-le")
         ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         marks = self.marks[ids]
         if self.word_ends:
@@ -153,15 +172,16 @@ class Encoder:
                 upto += 1
             if len(self.code) > TABLE:
                 self.clear()
-            split = [self.pieces(t) for t in texts[at:upto]]
-            sizes = np.array([len(p) for p in split])
-            codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+            pieces, sizes, place = self.pieces(texts[at:upto])
+            distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+            codes = np.fromiter(map(self.code.__getitem__, distinct), np.int64, len(distinct))[pieces.indices.to_numpy()]
             self.learn()
             n = self.length[codes]
             ends = np.cumsum(n)
             raw = self.pool[np.repeat(self.start[codes] - ends + n, n) + np.arange(ends[-1])].tobytes()
             last = ends[np.cumsum(sizes) - 1]
-            for a, b in zip((last - np.add.reduceat(n, np.cumsum(sizes) - sizes)).tolist(), last.tolist()):
+            first = last - np.add.reduceat(n, np.cumsum(sizes) - sizes)
+            for a, b in zip(first[place].tolist(), last[place].tolist()):
                 yield raw[4 * a : 4 * b]
             at = upto
 

@@ -38,3 +38,20 @@ def test_plain_characters(name):
     assert have == [plain.encode(t, add_special_tokens=False).ids for t in texts]
     again = [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)]
     assert again == have
+
+
+def test_distinct_pieces_are_looked_up_once():
+    """A piece that a step holds often costs one look into the table; odd texts between others keep their places."""
+
+    class Looks(tokens.Codes):
+        def __getitem__(self, piece):
+            looks.append(piece)
+            return super().__getitem__(piece)
+
+    from tokenizers import Tokenizer
+
+    looks, plain, encoder = [], Tokenizer.from_file(tokenizer("byte_bpe_50k.json")), tokens.Encoder(tokenizer("byte_bpe_50k.json"))
+    encoder.code = Looks()
+    texts = ["one two\none two", "  odd  text\n", "", "two one, two", "\0", "one two\ttwo one"] * 50
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(looks) == len(set(looks))

@@ -3,12 +3,12 @@
 Documents are cut into chunks at ASCII whitespace, which no term crosses.  Chunks are counted document by
 document, and added up within a bounded run of documents: for a language and chunk, the documents that hold
 it, and its occurrences in each source.  Each globally distinct chunk is cut into terms once, and its terms are
-joined back to the chunks' sums.
+joined back to the chunks' sums; a chunk without an ASCII character but small letters is a term as it stands.
 
 A document may have a term in several chunks.  The chunk that most documents of the language have bounds a
 term's documents from below, the sum over its chunks from above.  Where the wanted number lies between the
 two no chunk of the term is in that many documents, and of such chunks the documents' numbers are kept, so they are
-joined and counted.
+joined and counted.  Terms that cannot be in that many documents go before their occurrences are written.
 
 Sources are compared in tiles: a block of sources against another over a block of terms, as arrays of
 whole numbers, so no row is made for a pair of sources and a term.  Terms that neither of two sources has
@@ -22,10 +22,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import settled
+from tallyloom.llm.shared import settled, shuffles_freed
 
 #: A term: no ASCII character but letters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: In a chunk that is no term as it stands: an ASCII character but a small letter.
+OTHER = r"[\x00-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text whose chunks are added up at a time.
 RUN = 1 << 25
@@ -101,24 +103,30 @@ def chunked(docs: DataFrame, least: int) -> DataFrame:
     return docs.select("no", "lang", "text").mapInArrow(count, "lang string, chunk string, docs long, sources array<long>, ids array<long>")
 
 
-def counted(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(no, lang, term, n), a term's occurrences in each source, and (lang, term) of those in ``least`` documents of the language."""
+def counted(docs: DataFrame, least: int) -> DataFrame:
+    """(no, lang, term, n): occurrences in each source of the terms in ``least`` documents of the language."""
     rows = settled(chunked(docs, least), "divergence-chunks")
-    cut = F.explode(F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0))
-    terms = settled(rows.select("chunk").distinct().select("chunk", cut.alias("term")), "divergence-terms")
+    cut, other = F.explode(F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0)), F.col("chunk").rlike(OTHER)
+    terms = settled(rows.select("chunk").where(other).distinct().select("chunk", cut.alias("term")), "divergence-terms")
 
     # dealt by chunk, which serves the window and the join with the terms alike; a row's documents are added once, with its first source
     sums = rows.select("lang", "chunk", "docs", "sources").repartition("chunk").withColumn("most", F.sum("docs").over(Window.partitionBy("chunk", "lang")))
-    each = sums.join(terms, "chunk").select("lang", "term", "docs", "most", F.posexplode("sources").alias("pos", "source"))
+    each = sums.join(terms, "chunk", "left").withColumn("term", F.coalesce("term", F.when(~other, F.col("chunk")))).where("term is not null")
+    each = each.select("lang", "term", "docs", "most", F.posexplode("sources").alias("pos", "source"))
     each = each.select(F.shiftrightunsigned("source", 32).alias("no"), "lang", "term", F.col("source").bitwiseAND(F.lit(0xFFFFFFFF)).alias("n"), F.when(F.col("pos") == 0, F.col("docs")).otherwise(0).alias("docs"), "most")
     counts = settled(each.groupBy("no", "lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max("most").alias("most")), "divergence-counts")
 
-    bounds = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.max("most").alias("most")).where(F.col("docs") >= least)
-    bounds = settled(bounds.select("lang", "term", (F.col("most") >= least).alias("sure")), "divergence-bounds")
-    unsure = settled(terms.distinct().join(bounds.where("not sure"), "term").select("chunk", "lang", "term"), "divergence-unsure")
-    exact = rows.select("lang", "chunk", "ids").join(unsure, ["chunk", "lang"]).select("lang", "term", F.explode("ids").alias("id")).distinct()
+    # a term has a row for each of its sources here
+    term = Window.partitionBy("lang", "term")
+    bounds = counts.select("no", "lang", "term", "n", F.sum("docs").over(term).alias("docs"), F.max("most").over(term).alias("most")).where(F.col("docs") >= least)
+    counts = settled(bounds.select("no", "lang", "term", "n", (F.col("most") >= least).alias("sure")), "divergence-bounds")
+
+    unsure = settled(counts.where("not sure").select("lang", "term").distinct(), "divergence-open")
+    chunks = terms.join(unsure, "term").select("chunk", "lang", "term").unionByName(unsure.select(F.col("term").alias("chunk"), "lang", "term"))
+    exact = rows.select("lang", "chunk", "ids").join(settled(chunks, "divergence-unsure"), ["chunk", "lang"]).select("lang", "term", F.explode("ids").alias("id")).distinct()
     exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
-    return counts.select("no", "lang", "term", "n"), bounds.where("sure").select("lang", "term").unionByName(exact.select("lang", "term"))
+    found = counts.where("not sure").join(exact.select("lang", "term"), ["lang", "term"])
+    return counts.where("sure").drop("sure").unionByName(found.drop("sure"))
 
 
 def share(n: str, total: str) -> Column:
@@ -184,8 +192,8 @@ def audit(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
     # a row a source of a language; the result has a row for each two of them
     no = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")
     named = settled(given.select(*_GROUP).distinct().withColumn("no", no), "divergence-sources")
-    counts, kept = counted(given.join(named, [*_GROUP]).select("no", "lang", "text"), least)
-    kept = settled(counts.join(kept, ["lang", "term"]), "divergence-kept")
+    with shuffles_freed(docs.sparkSession):
+        kept = settled(counted(given.join(named, [*_GROUP]).select("no", "lang", "text"), least), "divergence-kept")
     whole = kept.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
     terms = whole.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
     totals = kept.groupBy("lang", "no").agg(F.sum("n").alias("total"))

@@ -122,7 +122,8 @@ def counted(docs: DataFrame, least: int) -> DataFrame:
     counts = settled(bounds.select("no", "lang", "term", "n", (F.col("most") >= least).alias("sure")), "divergence-bounds")
 
     unsure = settled(counts.where("not sure").select("lang", "term").distinct(), "divergence-open")
-    chunks = terms.join(unsure, "term").select("chunk", "lang", "term").unionByName(unsure.select(F.col("term").alias("chunk"), "lang", "term"))
+    chunks = terms.join(unsure.hint("merge"), "term")  # it grows with the input, so it is never broadcast
+    chunks = chunks.select("chunk", "lang", "term").unionByName(unsure.select(F.col("term").alias("chunk"), "lang", "term"))
     exact = rows.select("lang", "chunk", "ids").join(settled(chunks, "divergence-unsure"), ["chunk", "lang"]).select("lang", "term", F.explode("ids").alias("id")).distinct()
     exact = exact.groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
     found = counts.where("not sure").join(exact.select("lang", "term"), ["lang", "term"])

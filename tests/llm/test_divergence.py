@@ -72,10 +72,11 @@ def test_none(spark):
 
 def test_steps_hold_what_they_must(spark, monkeypatch):
     """Chunks that are terms as they stand are not cut, terms that cannot reach ``least`` documents go, and the large steps free their shuffle files."""
-    settled, steps, frees, key = divergence.settled, {}, set(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    settled, steps, plans, frees, key = divergence.settled, {}, {}, set(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
     def seen(df, name):
         frees.update([name] if spark.conf.get(key, "false") == "true" else [])
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
         return steps.setdefault(name, settled(df, name))
 
     monkeypatch.setattr(divergence, "settled", seen)
@@ -83,6 +84,7 @@ def test_steps_hold_what_they_must(spark, monkeypatch):
     said = ["alone", "é\u0080", "alone-alone", "Alone,", "b", "b.", "(b)", "[", "12"]
     rows = [("en", f"s{k % 3}", f"{said[k % 9]} {said[k % 4]} rare{'abcdefghij'[k % 10]}{'xyz'[k % 3]} {said[k % 7]}") for k in range(40)]
     assert found(spark, rows) == brute(rows)
+    assert "SortMergeJoin" in plans["divergence-unsure"] and "Broadcast" not in plans["divergence-unsure"]
     assert {r.chunk for r in steps["divergence-terms"].collect()} == {"alone-alone", "Alone,", "b.", "(b)"}
     assert {"divergence-counts", "divergence-bounds", "divergence-kept"} <= frees and spark.conf.get(key, None) == before
     kept = {(r.term, r.sure) for r in steps["divergence-bounds"].collect()}
